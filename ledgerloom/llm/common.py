@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,3 +87,9 @@ def pieces(batch: pa.RecordBatch, most: int) -> Iterator[tuple[pa.Array, list]]:
 def held_out(id_col) -> F.Column:
     """Whether crc32 of the id as text leaves 2 when divided by 4; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def share(spark: SparkSession, value) -> Callable:
+    """Broadcast a value of known size, classes of this package included; the result reads it in a worker."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
