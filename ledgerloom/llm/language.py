@@ -14,6 +14,8 @@ from ledgerloom.llm.common import held_out, id_text, pieces, share
 #: Orders of the blended spectrum.
 ORDERS = (1, 2, 3)
 BITS = 18
+#: Which code points below U+3000 are letters; those above all count as such.
+LETTER = np.array([chr(c).isalpha() for c in range(0x3000)])
 
 
 def codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -26,8 +28,7 @@ def spectrum(texts: list[str]):
     """(rows, hashed n-grams) of each order over whole texts; n-grams do not cross texts."""
     chars, row = codes(texts)
     # A run of other signs is one space, so that layout does not count.
-    letter = np.frombuffer(bytes(c.isalpha() for c in map(chr, range(0x3000))), np.uint8).astype(bool)
-    plain = np.where(chars < 0x3000, letter[np.minimum(chars, 0x2FFF)], True)
+    plain = (chars >= 0x3000) | LETTER[np.minimum(chars, 0x2FFF)]
     chars = np.where(plain | (chars == 0), chars, 32)
     keep = np.ones(len(chars), bool)
     keep[1:] = ~((chars[1:] == 32) & (chars[:-1] == 32))
