@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,115 +22,136 @@ class Chains:
     """Texts as chains of tokens, in blocks of equal length so that whole arrays move at once."""
 
     def __init__(self, lengths: np.ndarray):
-        self.lengths = lengths
         self.per = -(-lengths // BLOCK)
         self.first = np.concatenate([[0], np.cumsum(self.per)])
-        self.text = np.repeat(np.arange(len(lengths)), self.per)
-        within = np.arange(self.first[-1]) - self.first[self.text]
-        place = within[:, None] * BLOCK + np.arange(BLOCK)
-        self.real = place < lengths[self.text][:, None]
-        self.token = np.repeat(np.arange(len(lengths)), lengths)
+        text = np.repeat(np.arange(len(lengths)), self.per)
+        left = lengths[text] - (np.arange(self.first[-1]) - self.first[text]) * BLOCK
+        self.real = np.arange(BLOCK)[:, None] < left  # place x block
+        self.cut = [np.flatnonzero(~row) for row in self.real]
+        self.begins = self.first[:-1][lengths > 0]
+        place = (np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths), np.repeat(self.first[:-1], lengths))
+        self.at = (place[0] % BLOCK, place[1] + place[0] // BLOCK)  # of each token
 
     def marginals(self, energy: np.ndarray, move: np.ndarray, start: np.ndarray, pairs: bool = False):
         """Of each token, the probability of state 1 by forward-backward; with pairs also expected moves.
 
         energy: log-odds of state 1 by token; move: 2 x 2 weights; start: weights of
-        the state before the first token. Messages run over products of the tokens'
-        2 x 2 matrices by block, then over blocks, then inside them, all exact.
+        the state before the first token. Messages are ratios of the two states. They
+        pass over products of the tokens' 2 x 2 matrices, block by block, and then
+        inside all blocks at once; nothing is cut off.
         """
-        n = len(self.real)
-        x = np.ones((n, BLOCK))
-        x[self.real] = np.exp(np.clip(energy, -20, 20))
-        product = np.broadcast_to(np.eye(2), (n, 2, 2)).copy()
-        step = np.zeros((n, BLOCK, 2, 2))
-        step[..., 0] = move[:, 0]
-        step[..., 1] = move[:, 1] * x[..., None]
-        step[~self.real] = np.eye(2)
+        (a, b), (c, d) = move.tolist()
+        n = self.real.shape[1]
+        x = np.ones((BLOCK, n))
+        x[self.at] = np.exp(np.clip(energy, -20, 20))
+        p, q, r, s = np.ones(n), np.zeros(n), np.zeros(n), np.ones(n)
         for t in range(BLOCK):
-            product = np.einsum("nij,njk->nik", product, step[:, t])
-            product /= product.sum((1, 2), keepdims=True)
-        into = np.zeros((n, 2))
-        out = np.ones((n, 2))
-        most = int(self.per.max(initial=0))
-        for k in range(most):
+            cut = self.cut[t]
+            old = p[cut], q[cut], r[cut], s[cut]
+            p, q, r, s = p * a + q * c, (p * b + q * d) * x[t], r * a + s * c, (r * b + s * d) * x[t]
+            if t % 8 == 7:
+                size = p + q + r + s
+                p, q, r, s = p / size, q / size, r / size, s / size
+                old = tuple(v / size[cut] for v in old)
+            p[cut], q[cut], r[cut], s[cut] = old
+        into, out = np.full(n, start[1] / start[0]), np.ones(n)
+        for k in range(1, int(self.per.max(initial=0))):
             at = self.first[:-1][self.per > k] + k
-            into[at] = start if k == 0 else unit(np.einsum("ni,nij->nj", into[at - 1], product[at - 1]))
-        for k in range(most):
+            into[at] = (q[at - 1] + into[at - 1] * s[at - 1]) / (p[at - 1] + into[at - 1] * r[at - 1])
             at = self.first[1:][self.per > k] - 1 - k
-            if k:
-                out[at] = unit(np.einsum("nij,nj->ni", product[at + 1], out[at + 1]))
-        forward = np.empty((n, BLOCK + 1, 2))
-        backward = np.empty((n, BLOCK + 1, 2))
-        forward[:, 0], backward[:, BLOCK] = into, out
+            out[at] = (r[at + 1] + s[at + 1] * out[at + 1]) / (p[at + 1] + q[at + 1] * out[at + 1])
+        odds = np.empty((BLOCK, n))
+        before = np.empty((BLOCK, n)) if pairs else None
+        f = into
         for t in range(BLOCK):
-            forward[:, t + 1] = unit(np.einsum("ni,nij->nj", forward[:, t], step[:, t]))
-            u = BLOCK - 1 - t
-            backward[:, u] = unit(np.einsum("nij,nj->ni", step[:, u], backward[:, u + 1]))
-        both = forward[:, 1:] * backward[:, 1:]
-        chance = (both[..., 1] / both.sum(-1))[self.real]
+            if pairs:
+                before[t] = f
+            f = odds[t] = (b + f * d) * x[t] / (a + f * c)
+        g, after = out, np.empty((BLOCK, n)) if pairs else None
+        for t in range(BLOCK - 1, -1, -1):
+            odds[t] *= g
+            if pairs:
+                after[t] = g
+            g = (c + d * x[t] * g) / (a + b * x[t] * g)
+            g[self.cut[t]] = 1.0
+        chance = (odds / (1 + odds))[self.at]
         if not pairs:
             return chance
-        joint = forward[:, :-1, :, None] * step * backward[:, 1:, None, :]
-        joint /= joint.sum((2, 3), keepdims=True)
-        return chance, joint[self.real].sum(0)
+        f, g = before[self.at], (after * x)[self.at]
+        joint = np.stack([np.full(len(f), a), b * g, c * f, d * f * g])
+        return chance, (joint / joint.sum(0)).sum(1).reshape(2, 2)
 
 
-def unit(v: np.ndarray) -> np.ndarray:
-    return v / v.sum(-1, keepdims=True)
+def features(word: str) -> list[str]:
+    """A whole word, marked by its end, and its proper beginnings of three to eight letters."""
+    return [word + "$", *(word[:k] for k in range(3, min(9, len(word))))]
 
 
 @dataclass
 class Model:
-    number: dict[str, int]  # word -> feature, 0 for all other words
-    weight: np.ndarray  # log-odds of state 1 by feature
+    weight: dict[str, float]  # log-odds of state 1 by feature
+    bias: float
     move: np.ndarray
     start: np.ndarray
-    score: np.ndarray  # of 1, the largest marginal and the log of one plus their sum
-
-    def tag(self, texts: list[str | None]) -> tuple[list[int], np.ndarray]:
+    score: np.ndarray  # by the columns of summary()
+
+    def energies(self, words: list[str], known: dict[str, float], most: int = 300_000) -> list[float]:
+        """Log-odds of state 1 of each word; known keeps those of words seen before, up to `most`."""
+        if len(known) > most:
+            known.clear()
+        out = list(map(known.get, words))
+        if None in out:
+            for i, e in enumerate(out):
+                if e is None:
+                    w = words[i]
+                    out[i] = known[w] = self.bias + sum([self.weight.get(f, 0.0) for f in features(w.lower())])
+        return out
+
+    def tag(self, texts: list[str | None], known: dict[str, float]) -> tuple[list[int], np.ndarray]:
         """(numbers of tokens, marginals of all tokens) of whole texts."""
-        get = self.number.get
-        ids = [[get(w.lower(), 0) for w in TOKEN.findall(t)] if t else [] for t in texts]
-        lengths = [len(x) for x in ids]
-        flat = np.fromiter((i for x in ids for i in x), np.int64, sum(lengths))
-        return lengths, Chains(np.array(lengths)).marginals(self.weight[flat], self.move, self.start)
+        found = [self.energies(TOKEN.findall(t), known) if t else [] for t in texts]
+        lengths = [len(x) for x in found]
+        flat = np.fromiter(chain.from_iterable(found), float, sum(lengths))
+        return lengths, Chains(np.array(lengths)).marginals(flat, self.move, self.start)
 
     def scores(self, lengths: list[int], chance: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-summary(lengths, chance) @ self.score))
 
 
 def summary(lengths: list[int], chance: np.ndarray) -> np.ndarray:
-    """By text: 1, its largest marginal, and the log of one plus the expected number of toxic tokens."""
-    text = np.repeat(np.arange(len(lengths)), lengths)
-    most = np.zeros(len(lengths))
+    """By text: 1, its largest marginal, the expected number of toxic tokens and their share, as logs."""
+    n = np.array(lengths)
+    text = np.repeat(np.arange(len(n)), n)
+    most = np.zeros(len(n))
     np.maximum.at(most, text, chance)
-    return np.stack([np.ones(len(lengths)), most, np.log1p(np.bincount(text, chance, len(lengths)))], 1)
+    total = np.bincount(text, chance, len(n))
+    return np.stack([np.ones(len(n)), most, np.log1p(total), np.log1p(100 * total / (n + 10))], 1)
 
 
-def label_tokens(tokens: list[list[str]], toxic: np.ndarray, least: int = 4, ratio: float = 6.0) -> tuple[dict[str, int], set[str]]:
-    """(features, words taken as toxic) from labels of whole texts.
+def label_tokens(tokens: list[list[str]], toxic: np.ndarray, least: int = 5, ratio: float = 8.0) -> tuple[dict[str, int], set[str]]:
+    """(numbers of features, features that mark a word as toxic) from labels of whole texts.
 
-    A word labels its tokens in toxic texts if texts that hold it are toxic
-    `ratio` times as often as not, with shares smoothed by a half and taken from
-    the lower end of their interval, and if it occurs between `least` different
-    pairs of neighbours there: copies of one text repeat its neighbours.
+    A word is toxic in a toxic text if it has a feature that toxic texts hold
+    `ratio` times as often as others, with shares smoothed by a half and taken
+    from the lower end of their interval, and that occurs between `least`
+    different pairs of neighbours there: copies of one text repeat its neighbours.
     """
     inside = [Counter(), Counter()]
     near: dict[str, set] = {}
     for words, y in zip(tokens, toxic):
-        inside[y].update(set(words))
+        inside[y].update({f for w in set(words) for f in features(w)})
         if y:
             for a, w, b in zip(["", *words], words, [*words[1:], ""]):
-                near.setdefault(w, set()).add((a, b))
+                for f in features(w):
+                    near.setdefault(f, set()).add((a, b))
     n = np.maximum(1, [np.sum(toxic == 0), np.sum(toxic == 1)])
     bad = set()
-    for w, a in inside[1].items():
-        if a >= least and len(near[w]) >= least:
-            low = max(0.0, a - 1.64 * a**0.5) / n[1]
-            if low > ratio * (inside[0][w] + 0.5) / n[0]:
-                bad.add(w)
-    common = [w for w, c in sorted((inside[0] + inside[1]).items(), key=lambda x: (-x[1], x[0])) if c >= 3 or w in bad]
-    return {w: i + 1 for i, w in enumerate([*sorted(bad), *(w for w in common if w not in bad)][:20_000])}, bad
+    for f, a in inside[1].items():
+        if a >= least and len(near[f]) >= least and len(f) > 3:
+            if max(0.0, a - 1.64 * a**0.5) / n[1] > ratio * (inside[0][f] + 0.5) / n[0]:
+                bad.add(f)
+    common = [f for f, c in sorted((inside[0] + inside[1]).items(), key=lambda x: (-x[1], x[0])) if c >= 3 and f not in bad]
+    return {f: i for i, f in enumerate([*sorted(bad), *common][:40_000])}, bad
 
 
 def fit(rows: list[tuple[str | None, int]], prior: float, *, rounds: int = 40, ridge: float = 1e-3) -> Model | None:
@@ -139,37 +161,44 @@ def fit(rows: list[tuple[str | None, int]], prior: float, *, rounds: int = 40, r
         return None
     tokens = [[w.lower() for w in TOKEN.findall(t or "")] for t, _ in rows]
     number, bad = label_tokens(tokens, toxic)
+    words = {w: i for i, w in enumerate(dict.fromkeys(w for t in tokens for w in t))}
+    own = [[number[f] for f in features(w) if f in number] for w in words]
+    of_word, feature = np.repeat(np.arange(len(words)), [len(x) for x in own]), np.array([f for x in own for f in x], np.int64)
+    marked = np.array([any(f in bad for f in features(w)) for w in words], bool)
     lengths = np.array([len(t) for t in tokens])
-    flat = np.array([number.get(w, 0) for t in tokens for w in t], np.int64)
-    gold = np.array([bool(y) and w in bad for t, y in zip(tokens, toxic) for w in t], bool)
+    flat = np.array([words[w] for t in tokens for w in t], np.int64)
+    gold = marked[flat] & (np.repeat(toxic, lengths) == 1) if len(flat) else np.zeros(0, bool)
     chains = Chains(lengths)
     begins = np.zeros(len(flat), bool)
     begins[np.concatenate([[0], np.cumsum(lengths)])[:-1][lengths > 0]] = True
     before = np.concatenate([[False], gold[:-1]]) & ~begins
     moved = np.array([[np.sum(~before & ~gold), np.sum(~before & gold)], [np.sum(before & ~gold), np.sum(before & gold)]], float)
-    size = len(number) + 1
-    observed, seen = np.bincount(flat, gold, size), np.bincount(flat, minlength=size)
-    # Log-likelihood of gold tags: emissions by word, moves between tags; gradients are expected counts.
-    weight, log_move = np.zeros(size), np.zeros((2, 2))
-    scale = np.zeros(size), np.zeros((2, 2))
+    by_feature = lambda x: np.bincount(feature, x[of_word], len(number))
+    observed, seen = np.bincount(flat, gold, len(words)), np.bincount(flat, minlength=len(words)).astype(float)
+    often = 1 + by_feature(seen)
+    # Log-likelihood of gold tags: emissions by feature, moves between tags; gradients are expected counts.
+    weight, bias, log_move = np.zeros(len(number)), np.full(1, -3.0), np.zeros((2, 2))
+    scale = np.zeros(len(number)), np.zeros(1), np.zeros((2, 2))
     start = np.array([1.0, 1e-6])
+    energy = lambda: (np.bincount(of_word, weight[feature], len(words)) + bias)[flat]
     for r in range(rounds if len(flat) else 0):
-        chance, joint = chains.marginals(weight[flat], np.exp(log_move), start, pairs=True)
-        steps = ((observed - np.bincount(flat, chance, size)) / (1 + seen) - ridge * weight, (moved - joint) / max(1, moved.sum()))
-        for value, step, s in zip((weight, log_move), steps, scale):
+        chance, joint = chains.marginals(energy(), np.exp(log_move), start, pairs=True)
+        missed = observed - np.bincount(flat, chance, len(words))
+        steps = (by_feature(missed) / often - ridge * weight, missed.sum() / len(flat), (moved - joint) / len(flat))
+        for value, step, s in zip((weight, bias, log_move), steps, scale):
             s *= 0.9
             s += 0.1 * step**2
-            value += 0.5 * 0.97**r * step / (np.sqrt(s) + 1e-4)
+            value += 0.3 * 0.96**r * step / (np.sqrt(s) + 1e-4)
     move = np.exp(log_move - log_move.max())
-    x = summary(lengths.tolist(), chains.marginals(weight[flat], move, start))
+    x = summary(lengths.tolist(), chains.marginals(energy(), move, start))
     shift = np.log(prior / (1 - prior)) - np.log(toxic.mean() / (1 - toxic.mean()))
-    beta = np.zeros(3)
+    beta = np.zeros(x.shape[1])
     for _ in range(30):  # Newton's method for the logistic regression of labels on marginals
         p = 1 / (1 + np.exp(-x @ beta))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(3)
+        h = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(beta))
         beta += np.linalg.solve(h, x.T @ (toxic - p) - 0.1 * beta)
     beta[0] += shift
-    return Model(number, weight, move, start, beta)
+    return Model({f: float(weight[i]) for f, i in number.items() if abs(weight[i]) > 1e-3}, float(bias[0]), move, start, beta)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, per_class: int) -> tuple[list[tuple[str | None, int]], float]:
@@ -190,11 +219,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 800, threshold: float = 0.3) -> DataFrame:
     """Toxicity of each whole text, with the offending passages.
 
-    Labels of texts label tokens: words that toxic texts hold far more often than
-    clean ones. A linear-chain CRF is fitted to them by gradient ascent on about
+    Labels of texts label tokens: words and beginnings of words that toxic texts
+    hold far more often than clean ones. A linear-chain CRF is fitted to them by gradient ascent on about
     per_class texts of each label; forward-backward gives every token of every
-    text its marginal, and a logistic regression on the largest marginal and their
-    sum, fitted on the same rows, gives the score.
+    text its marginal, and a logistic regression on the largest marginal, their
+    sum and their share, fitted on the same rows, gives the score.
 
     Learns from labelled rows whose id is not held out; scores come from the text
     alone. Null and empty texts: no tokens, the score of a text without offence.
@@ -210,12 +239,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        model = get()
+        model, known = get(), {}
         for b in batches:
             for ids, texts in pieces(b, 400_000):
                 scores, spans = np.zeros(len(texts)), [[]] * len(texts)
                 if model is not None:
-                    lengths, chance = model.tag(texts)
+                    lengths, chance = model.tag(texts, known)
                     scores = model.scores(lengths, chance)
                     ends = np.cumsum(lengths)
                     for i in np.unique(np.repeat(np.arange(len(texts)), lengths)[chance > 0.5]).tolist():
