@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html_extract, language, secrets, toxicity
+from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op5(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,6 +37,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
+    "op5_mixing": op5_mixing,
     "op7_toxicity": op7_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
