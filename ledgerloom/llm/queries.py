@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, toxicity
+from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, sharding, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op5_mixing": op5_mixing,
     "op7_toxicity": op7_toxicity,
+    "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
 }
