@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, sharding, toxicity
+from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, sharding, topk, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.op4(table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op5(table(spark, sf_dir, "documents"))
 
@@ -41,10 +45,13 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
+    "op4_topk": op4_topk,
     "op5_mixing": op5_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_topk": topk.OP4_SQL,
+}
