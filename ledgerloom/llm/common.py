@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -40,6 +41,8 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and outlives executors."""
     folder = new_folder(df.sparkSession, what)
     df.write.parquet(folder)
+    gc.collect()
+    df.sparkSession._jvm.System.gc()  # shuffle files of what is written now go with the objects that own them
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

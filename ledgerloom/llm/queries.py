@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, sharding, topk, toxicity
+from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, sharding, suffix_dedup, topk, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op5(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.op6(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op4_topk": op4_topk,
     "op5_mixing": op5_mixing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
