@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html_extract, language, mixing, secrets, sharding, suffix_dedup, topk, toxicity
+from ledgerloom.llm import decontaminate, html_extract, jaccard_join, language, mixing, secrets, sharding, suffix_dedup, topk, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.op3(table(spark, sf_dir, "documents"))
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.op4(table(spark, sf_dir, "embeddings"))
 
@@ -49,6 +53,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_topk": op4_topk,
     "op5_mixing": op5_mixing,
     "op6_suffix_dedup": op6_suffix_dedup,
@@ -58,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10_html_extraction,
 }
 ORACLES: dict[str, str] = {
+    "op3_jaccard_join": jaccard_join.OP3_SQL,
     "op4_topk": topk.OP4_SQL,
 }
