@@ -55,27 +55,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_kept(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
+    """(id, text) where id also carries the columns to keep, as (own, kept)."""
+    kept = F.struct(*[F.col(c) for c in keep]) if keep else F.lit(None).cast("int")
+    return df.select(F.struct(F.col(id_col).alias("own"), kept.alias("kept")).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
 def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator works on, so that other columns cannot clash."""
     return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
 
-def map_texts(df: DataFrame, make: Callable[[], Callable], schema: str, arrow: pa.Schema, most: int = 2_000_000) -> DataFrame:
-    """Run a function over (id, text) rows in pieces of about `most` characters.
-
-    make() is called once in each Python worker and returns
-    f(ids: pa.Array, texts: list[str | None]) -> list of columns.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
-        for batch in batches:
-            for ids, texts in pieces(batch, most):
-                yield pa.record_batch([x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, t.type) for x, t in zip(work(ids, texts), arrow)], schema=arrow)
-
-    return df.mapInArrow(run, schema)
-
-
 def pieces(batch: pa.RecordBatch, most: int) -> Iterator[tuple[pa.Array, list]]:
     """Runs of rows of about `most` characters; a longer text stands alone."""
     texts, start, size = batch.column(1), 0, 0

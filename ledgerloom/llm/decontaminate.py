@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import id_text, written
+from ledgerloom.llm.common import with_kept, written
 
 #: Bytes to bytes: ASCII letters in lower case, digits and non-ASCII bytes as they are, all else a separator.
 KEPT = bytes(32 if b < 0x30 or 0x3A <= b <= 0x40 or 0x5B <= b <= 0x60 or 0x7B <= b <= 0x7F else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -94,7 +94,7 @@ def runs(hit: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).tolist()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, gram: int = 5, index_bytes: int = 16 << 20) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, gram: int = 5, index_bytes: int = 16 << 20, keep: tuple[str, ...] = ()) -> DataFrame:
     """Words of docs that lie in a passage shared with a benchmark item.
 
     Winnowing over word grams of `gram` words keeps the least hash of every
@@ -111,15 +111,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     Equal item ids: one item. Empty benchmark: nothing is hit. Other columns of
     the inputs are ignored.
 
-    Returns id_col, n_words, n_hit, items (array of string, sorted), spans (array
+    Returns id_col, the columns of docs named in keep, n_words, n_hit, items (array of string, sorted), spans (array
     of word offsets: start, end, start, end and so on).
     """
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("words"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()[0]
     parts = max(1, -(-total // index_bytes))
-    df = id_text(docs, id_col, text_col)
+    df = with_kept(docs, id_col, text_col, keep)
+    kind = df.schema["id"].dataType.simpleString()
     df = df.select("id", "text", F.lit(None).cast("array<int>").alias("spans"), F.lit(None).cast("array<string>").alias("items"))
     for part in range(parts):
         chunk = items.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == part) if parts > 1 else items
@@ -145,7 +145,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
         df = df.mapInArrow(run, f"id {kind}, spans array<int>, items array<string>, n_words long, n_hit long" if last else f"id {kind}, text string, spans array<int>, items array<string>")
         if not last:
             df = written(df, "decontaminate")
-    return df.select(F.col("id").alias(id_col), "n_words", "n_hit", "items", "spans")
+    return df.select(F.col("id.own").alias(id_col), *[F.col(f"id.kept.{c}") for c in keep if c != id_col], "n_words", "n_hit", "items", "spans")
 
 
 def is_contaminated() -> F.Column:

@@ -123,6 +123,13 @@ def mixture(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return mix(rows.withColumn("row", F.struct(F.col("id").alias(id_col))), **options)
 
 
+def repeated(docs: DataFrame, columns: tuple[str, ...], *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The columns of docs, each row as often as mix() takes it."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), n_words(F.col(text_col).cast("string")).alias("size"), F.struct(*columns).alias("row"))
+    taken = mix(rows, **options).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+
+
 def op5(docs: DataFrame) -> DataFrame:
     out = mixture(docs)
     return out.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies", "rate")

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import held_out, pieces, share
+from ledgerloom.llm.common import held_out, pieces, share, with_kept
 
 TOKEN = re.compile(r"\w+")
 BLOCK = 32
@@ -216,7 +216,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
     return rows, counts[1] / (counts[0] + counts[1])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 800, threshold: float = 0.3) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 800, threshold: float = 0.3, keep: tuple[str, ...] = ()) -> DataFrame:
     """Toxicity of each whole text, with the offending passages.
 
     Labels of texts label tokens: words and beginnings of words that toxic texts
@@ -230,13 +230,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     Labels of one kind only or none: score 0. Several labels of an id: toxic if
     one is. Repeated rows: each scored alone. Other columns are ignored.
 
-    Returns id_col, held_out, score, predicted, spans (start and end of each
+    Returns id_col, the columns of docs named in keep, held_out, score, predicted, spans (start and end of each
     passage of tokens more likely toxic than not, in turn, in code points).
     """
     spark = docs.sparkSession
     rows, prior = training_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, per_class=per_class)
     get = share(spark, fit(rows, prior))
-    kind = docs.schema[id_col].dataType.simpleString()
+    texts = with_kept(docs, id_col, text_col, keep)
+    kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches):
         model, known = get(), {}
@@ -252,9 +253,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
                         spans[i] = passages(texts[i], own)
                 yield pa.record_batch([ids, pa.array(scores, pa.float64()), pa.array(spans, pa.list_(pa.int32()))], names=["id", "score", "spans"])
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = texts.mapInArrow(run, f"id {kind}, score double, spans array<int>")
-    return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"), "spans")
+    kept = [F.col(f"id.kept.{c}") for c in keep if c != id_col]
+    return out.select(F.col("id.own").alias(id_col), *kept, held_out(F.col("id.own")).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"), "spans")
 
 
 def passages(text: str, own: np.ndarray) -> list[int]:
