@@ -150,7 +150,8 @@ def find_repeats(texts: DataFrame, *, length: int, batch_bytes: int, hot: int) -
     spots = texts.select("d", "text").mapInArrow(places, "key long, d binary, at long")
     place = F.xxhash64("d", "at")
     keys = spots.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
-    wanted = spots.join(keys.select("key", (F.col("n") > hot).alias("hot")), "key").groupBy("d").agg(F.collect_set(F.struct("at", "hot")).alias("places"))
+    keys = written(keys.select("key", (F.col("n") > hot).alias("hot")), "keys")  # a table, so that a large bucket can be split in the join
+    wanted = spots.join(keys, "key").groupBy("d").agg(F.collect_set(F.struct("at", "hot")).alias("places"))
     wanted = written(wanted, "places")
 
     def segments(batches):
@@ -178,7 +179,7 @@ def find_repeats(texts: DataFrame, *, length: int, batch_bytes: int, hot: int) -
             yield spans_of(group, length)
 
     spans = cold.mapInArrow(refine, "d binary, start long, end long")
-    if keys.where(F.col("n") > hot).isEmpty():
+    if keys.where("hot").isEmpty():
         return spans
     return spans.unionByName(hot_spans(found.where("hot"), length))
 
@@ -266,6 +267,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     copies = long.groupBy("d").agg(F.count(F.lit(1)).alias("copies"))
     spans = written(find_repeats(long, length=length, batch_bytes=batch_bytes, hot=hot), "repeats")
     known = copies.where("copies > 1").select("d", F.lit(True).alias("whole")).join(spans.groupBy("d").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "d", "full")
+    known = written(known, "known")
 
     def cut(batches):
         for b in batches:
