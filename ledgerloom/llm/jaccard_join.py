@@ -14,26 +14,120 @@ from ledgerloom.llm.components import components
 from ledgerloom.llm.decontaminate import grams
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+#: Bytes of white space; what a byte adds to the hash of its word, capital letters as small ones; a base and its inverse.
+SPACE = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
+VALUE = mixed(np.where((np.arange(256) > 0x40) & (np.arange(256) < 0x5B), np.arange(256) + 32, np.arange(256)).astype(np.uint64) + np.uint64(1))
+BASE = 0x9E3779B97F4A7C15
+
+
 class Shingler:
-    """Sets of hashed shingles of whole texts; hashes of words are kept between texts."""
-
-    def __init__(self, words: int, most: int = 400_000):
-        self.words, self.most, self.known = words, most, {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        """The distinct shingles of a text, sorted; fewer words than a shingle has are one shingle."""
-        words = text.encode().lower().split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(self.known) > self.most:
-            self.known.clear()
-        ids = list(map(self.known.get, words))
-        if None in ids:
-            for i, x in enumerate(ids):
-                if x is None:
-                    ids[i] = self.known[words[i]] = xxhash.xxh3_64_intdigest(words[i])
-        h = grams(np.array(ids, np.uint64), min(self.words, len(ids)))
-        return np.unique(h if len(ids) >= self.words else h ^ np.uint64(len(ids)))
+    """Sets of hashed shingles of whole texts, for many texts at once."""
+
+    def __init__(self, words: int, step: int = 1 << 22):
+        self.words, self.step = words, step
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def powers(self, n: int) -> None:
+        """The base to the power of all places below n, and the inverses."""
+        if len(self.power) < n:
+            for name, base in (("power", BASE), ("inverse", pow(BASE, -1, 1 << 64))):
+                x, size = np.ones(1, np.uint64), 1
+                while size < n:
+                    x = np.concatenate([x, x * np.uint64(pow(base, size, 1 << 64))])
+                    size *= 2
+                setattr(self, name, x)
+
+    def word_hashes(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, start) of every word: polynomials in the base, as differences of one running sum."""
+        hashes, starts, pos = [], [], 0
+        while pos < len(raw):
+            end = min(len(raw), pos + self.step)
+            while end < len(raw) and not SPACE[raw[end - 1]]:
+                end += 1
+            b = np.frombuffer(raw, np.uint8, end - pos, pos)
+            self.powers(len(b) + 1)
+            space = SPACE[b]
+            value = VALUE[b]
+            value *= self.power[: len(b)]
+            value[space] = 0
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
+            edge = np.diff(np.concatenate([[1], space.view(np.int8), [1]]))
+            first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+            hashes.append(mixed((total[last] - total[first]) * self.inverse[first]))
+            starts.append(first + pos)
+            pos = end
+        return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate([np.zeros(0, np.int64), *starts])
+
+    def sets(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The distinct shingles of each text, sorted; fewer words than a shingle has are one shingle."""
+        parts = [t.encode() if t else b"" for t in texts]
+        bounds = np.cumsum([0, *(len(p) + 1 for p in parts)])
+        h, start = self.word_hashes(b"\n".join(parts) + b"\n")
+        at = np.searchsorted(start, bounds).tolist()
+        n = self.words
+        g = grams(h, n) if len(h) >= n else h[:0]
+        out = []
+        for s, e in zip(at[:-1], at[1:]):
+            if e - s >= n:
+                x = np.sort(g[s : e - n + 1])
+                out.append(x[np.concatenate([[True], x[1:] != x[:-1]])])
+            else:
+                out.append(grams(h[s:e], e - s) ^ np.uint64(e - s) if e > s else h[:0])
+        return out
+
+
+def signature(shingles: np.ndarray) -> bytes:
+    """The parity of the number of shingles in each bit; about a bit for each shingle.
+
+    Two sets differ in at least as many shingles as their signatures do in bits. A
+    longer signature is cut to a shorter one by adding its halves.
+    """
+    bits = 256
+    while bits < len(shingles):
+        bits *= 2
+    return np.packbits(np.bincount((mixed(shingles) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def folded(rows: np.ndarray, words: int) -> np.ndarray:
+    while rows.shape[1] > words:
+        rows = rows[:, : rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2 :]
+    return rows
+
+
+def alike(sizes: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarray:
+    """For each set the first that it reaches over pairs whose sizes and signatures admit a link."""
+    n = len(sizes)
+    length = np.array([len(s) // 8 for s in signatures])
+    at = {w: np.flatnonzero(length == w) for w in np.unique(length).tolist()}
+    rows = {w: np.frombuffer(b"".join(signatures[i] for i in x), np.uint64).reshape(-1, w) for w, x in at.items()}
+    cut = {(w, v): folded(r, v) for w, r in rows.items() for v in at if v <= w}
+    place = np.zeros(n, np.int64)
+    for x in at.values():
+        place[x] = np.arange(len(x))
+    reached, root = np.zeros(n, bool), np.arange(n)
+    for seed in range(n):
+        if reached[seed]:
+            continue
+        reached[seed], todo = True, [seed]
+        while todo:
+            i = todo.pop()
+            w = int(length[i])
+            for v, x in at.items():
+                x = x[~reached[x]]
+                x = x[(100 * sizes[x] >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes[x])]
+                if len(x):
+                    u = min(v, w)
+                    far = np.bitwise_count(cut[v, u][place[x]] ^ cut[w, u][place[i]]).sum(1, dtype=np.int64)
+                    x = x[far * (100 + percent) <= (sizes[x] + sizes[i]) * (100 - percent)]
+                    reached[x], root[x] = True, seed
+                    todo.extend(x.tolist())
+    return root
 
 
 def class_of(shingles: np.ndarray) -> int | None:
@@ -123,8 +217,7 @@ def blocks(batches, shingler: Shingler, percent: int):
 
     def done():
         seen, classes, sets, labels = set(), [], [], []
-        for c, k, t in rows:
-            s = shingler(t)
+        for (c, k, _), s in zip(rows, shingler.sets([t for _, _, t in rows])):
             if c not in seen and class_of(s) == c:  # another text may have the same id
                 seen.add(c)
                 classes.append(c)
@@ -145,22 +238,39 @@ def blocks(batches, shingler: Shingler, percent: int):
         yield done()
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, block_shingles: int = 4 << 20, rounds: int = 2) -> DataFrame:
+def grouped(batches, columns: list[str]):
+    """Runs of rows of one value of the first column, as lists; rows come sorted by it."""
+    held, rows = None, []
+    for b in batches:
+        for r in zip(*(b.column(c).to_pylist() for c in columns)):
+            if rows and r[0] != held:
+                yield rows
+                rows = []
+            held = r[0]
+            rows.append(r)
+    if rows:
+        yield rows
+
+
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 2048, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
     """Components of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
 
     1. Texts of one set are one class. Shingles that repeat within a task are counted;
        the `frequent` most frequent ones come last in a common order of shingles.
     2. The rarest shingles of each class, as many as make sure that linked classes
-       share one, are dealt by shingle. Within a shingle classes of like size are
-       joined to one of them; the components of these pairs hold all links.
-       Shingles counted more than `hot` times are dealt in parts, which are then joined.
-    3. Each component is a block of a sparse product that finds its links exactly.
-       A component of more than 2 * block_shingles is cut at random into blocks, in
-       several rounds; classes that are then outside its largest linked part are
-       compared with all blocks, so that no link between two parts is missed.
-
-    Shingles and sets are told apart by 64-bit hashes. The order of shingles affects
-    speed alone.
+       share one, are dealt by shingle; classes that share one form a group around
+       the least of them. Shingles counted more than `hot` times are dealt in parts,
+       whose least classes form a group in turn.
+    3. In a group, pairs that sizes or bit signatures rule out are dropped, and what
+       hangs together stays a block; groups of more than `most` classes stay whole,
+       as pairs of each class and the least one.
+    4. Each block is a sparse product that finds its links exactly. A block of more
+       than 2 * block_shingles is cut at random, in several rounds; classes that are
+       then outside its largest linked part are compared with all parts of it, so that
+       no link between two parts is missed.
+
+    Shingles and sets are told apart by 64-bit hashes. The order of shingles and the
+    bounds on groups affect speed alone.
 
     Null and empty texts: no shingles, linked with nothing. Repeated rows and equal
     texts: one component. Null ids: no one's component_id. Ties cannot matter.
@@ -171,21 +281,22 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = id_text(docs, id_col, text_col)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def survey(batches):
-        """Each row's class and size, and shingles that several classes of a piece have."""
+        """Each row's class, size and signature, and shingles that several classes of a piece have."""
         shingler = Shingler(words)
         for b in batches:
             for ids, found in pieces(b, 4_000_000):
-                sets = [shingler(t) for t in found]
+                sets = shingler.sets(found)
                 classes = [class_of(s) for s in sets]
                 distinct = {c: s for c, s in zip(classes, sets) if c is not None}
                 token, count = np.unique(np.concatenate([*distinct.values(), np.zeros(0, np.uint64)]), return_counts=True)
                 token, count = token[count > 2], count[count > 2]
                 n, none = len(ids), pa.nulls(len(token))
-                yield pa.record_batch([pa.concat_arrays([ids, none.cast(ids.type)]), pa.array(classes + token.view(np.int64).tolist(), pa.int64()), pa.array([len(s) for s in sets] + count.tolist(), pa.int64()), pa.array([True] * n + [False] * len(token))], names=["id", "c", "n", "is_row"])
+                yield pa.record_batch([pa.concat_arrays([ids, none.cast(ids.type)]), pa.array(classes + token.view(np.int64).tolist(), pa.int64()), pa.array([len(s) for s in sets] + count.tolist(), pa.int64()), pa.array([signature(s) if len(s) else None for s in sets] + [None] * len(token), pa.binary()), pa.array([True] * n + [False] * len(token))], names=["id", "c", "n", "bits", "is_row"])
 
-    surveyed = written(texts.mapInArrow(survey, f"id {kind}, c long, n long, is_row boolean"), "survey")
+    surveyed = written(texts.mapInArrow(survey, f"id {kind}, c long, n long, bits binary, is_row boolean"), "survey")
     members = surveyed.where("is_row").drop("is_row")
     counted = surveyed.where("not is_row").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(frequent).collect()
     order = share(spark, Order(np.array([r["c"] for r in counted], np.int64).view(np.uint64), np.array([r["n"] for r in counted], np.int64)))
@@ -195,68 +306,78 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         seen: set = set()
         for b in batches:
             for _, found in pieces(b, 1_000_000):
-                cols = ([], [], [], [])
-                for t in found:
-                    s = shingler(t)
+                cols = ([], [], [])
+                for s in shingler.sets(found):
                     c = class_of(s)
                     if c is None or c in seen:
                         continue
                     seen.add(c)
                     token, count = by.prefix(s, int(prefix_length(np.int64(len(s)), percent)))
-                    parts = np.where(count > hot, 1 + count // hot, 0)
-                    for col, x in zip(cols, (token.view(np.int64), np.where(parts > 0, 1 + c % np.maximum(parts, 1), 0), np.full(len(token), c), np.full(len(token), len(s)))):
+                    split = count // hot
+                    for col, x in zip(cols, (token.view(np.int64), np.where(split > 0, 1 + c % np.maximum(split + 1, 1), 0), np.full(len(token), c))):
                         col.append(x)
                 if len(seen) > 500_000:
                     seen.clear()
-                yield pa.record_batch([pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), pa.int64()) for x in cols], names=["token", "part", "c", "n"])
-
-    # Sizes of one band differ by less than the least ratio, those of links by one band at most.
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent))).cast("int")
-    dealt = texts.mapInArrow(rarest, "token long, part long, c long, n long").select("token", "part", band.alias("band"), "c")
-    one = W.partitionBy("token", "part", "band").orderBy("c")
-    all_bands = W.partitionBy("token", "part").orderBy("band", "c")
-    hub = dealt.repartition("token", "part").withColumn("hub", F.first("c").over(one.rowsBetween(W.unboundedPreceding, 0)))
-    hub = hub.withColumn("before", F.when(F.lag("band").over(all_bands) == F.col("band") - 1, F.lag("hub").over(all_bands)))
-    hub = hub.select("c", F.when(F.col("c") != F.col("hub"), F.col("hub")).alias("hub"), "before", F.when(F.col("part") > 0, F.col("token")).alias("token"), "band")
-    near = written(hub.where("hub is not null or before is not null or token is not null and hub is null"), "near")
-    across = near.where("token is not null and hub is null").withColumns({"earlier": F.lag("c").over(W.partitionBy("token").orderBy("band", "c")), "step": F.col("band") - F.lag("band").over(W.partitionBy("token").orderBy("band", "c"))})
-    pairs = near.where("hub is not null").select(F.col("c").alias("a"), F.col("hub").alias("b")).unionByName(near.where("before is not null").select(F.col("c").alias("a"), F.col("before").alias("b")))
-    pairs = pairs.unionByName(across.where("earlier is not null and step <= 1").select(F.col("c").alias("a"), F.col("earlier").alias("b")))
-    candidates = written(components(pairs), "candidates")
-
-    classes = members.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.max("n").alias("n"))
-    placed = classes.join(candidates.withColumnRenamed("node", "c"), "c")
+                yield pa.record_batch([pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), pa.int64()) for x in cols], names=["token", "part", "c"])
+
+    dealt = texts.mapInArrow(rarest, "token long, part long, c long")
+    least = F.first("c").over(W.partitionBy("token", "part").orderBy("c").rowsBetween(W.unboundedPreceding, 0))
+    near = dealt.withColumn("hub", least).where("c <> hub or part > 0").select("c", "hub", F.when((F.col("part") > 0) & (F.col("c") == F.col("hub")), F.col("token")).alias("token")).distinct()
+    near = written(near, "near")
+    across = near.where("token is not null").withColumn("top", F.min("c").over(W.partitionBy("token"))).where("c <> top").select("c", F.col("top").alias("hub"))
+    stars = near.where("c <> hub").select("c", "hub").unionByName(across).distinct()
+    # A group around a part's least class also needs the classes of the other parts: they hang together through `top`.
+    stars = written(stars, "stars")
+    classes = members.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.first("bits").alias("bits"))
+    sizes = stars.groupBy("hub").agg(F.count(F.lit(1)).alias("k"))
+    large = sizes.where(F.col("k") >= most).select("hub").unionByName(near.where("token is not null").select("hub").unionByName(across.select("hub"))).distinct()
+    large = written(large, "large")
+    small = stars.join(large, "hub", "left_anti")
+    small = small.unionByName(small.select(F.col("hub").alias("c"), "hub").distinct()).join(classes.select("c", "n", "bits"), "c")
+
+    def prune(batches):
+        for rows in grouped(batches, ["hub", "c", "n", "bits"]):
+            root = alike(np.array([r[2] for r in rows], np.int64), [r[3] for r in rows], percent)
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            yield pa.record_batch([pa.array([rows[i][1] for i in moved], pa.int64()), pa.array([rows[root[i]][1] for i in moved], pa.int64())], names=["a", "b"])
+
+    pruned = small.select("hub", "c", "n", "bits").repartition(parts, "hub").sortWithinPartitions("hub", "c").mapInArrow(prune, "a long, b long")
+    whole = stars.join(large, "hub").select(F.col("c").alias("a"), F.col("hub").alias("b"))
+    candidates = written(components(pruned.unionByName(whole)), "candidates")
+
+    placed = classes.drop("bits").join(candidates.withColumnRenamed("node", "c"), "c")
     weights = placed.groupBy("root").agg(F.sum("n").alias("weight"))
     placed = written(placed.join(weights, "root"), "placed")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = written(placed.join(texts, "id").select("c", "root", "weight", "text"), "held")
 
     def linked(places: DataFrame) -> DataFrame:
-        """Links within the blocks of rows (id, c, block, label)."""
-        found = places.join(texts, "id").select("block", "c", "label", "text")
-        return found.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(lambda b: blocks(b, Shingler(words), percent), "a long, b long")
+        """Links within the blocks of rows (block, c, label, text)."""
+        return places.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(lambda b: blocks(b, Shingler(words), percent), "a long, b long")
 
-    small, large = placed.where(F.col("weight") <= 2 * block_shingles), placed.where(F.col("weight") > 2 * block_shingles)
+    fits = F.col("weight") <= 2 * block_shingles
     none = F.lit(None).cast("long")
-    links = written(linked(small.select("id", "c", F.col("root").alias("block"), none.alias("label"))), "links")
-    if not large.isEmpty():
+    links = written(linked(held.where(fits).select(F.col("root").alias("block"), "c", none.alias("label"), "text")), "links")
+    big = held.where(~fits)
+    if not placed.where(~fits).isEmpty():
         cut = F.ceil(F.col("weight") / block_shingles)
         for r in range(rounds):
             block = F.xxhash64("root", F.pmod(F.xxhash64("c", F.lit(r)), cut))
-            links = links.unionByName(written(linked(large.select("id", "c", block.alias("block"), none.alias("label"))), "links"))
+            links = links.unionByName(written(linked(big.select(block.alias("block"), "c", none.alias("label"), "text")), "links"))
         label = components(links).select(F.col("node").alias("c"), F.col("root").alias("label"))
-        labelled = large.join(label, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        sizes = labelled.groupBy("root", "label").agg(F.count(F.lit(1)).alias("k"))
-        main = sizes.groupBy("root").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
-        labelled = written(labelled.join(main, "root"), "labelled")
-        inside = labelled.where("label = main").withColumn("at", F.pmod(F.xxhash64("c", F.lit(-1)), cut))
-        outside = labelled.where("label <> main").withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), cut.cast("long") - 1)))
-        last = inside.unionByName(outside).select("id", "c", F.xxhash64("root", "at").alias("block"), "label")
+        labelled = placed.where(~fits).join(label, "c", "left").withColumn("label", F.coalesce("label", "c"))
+        sized = labelled.groupBy("root", "label").agg(F.count(F.lit(1)).alias("k"))
+        main = sized.groupBy("root").agg(F.max_by("label", F.struct("k", "label")).alias("main"))
+        labelled = written(labelled.join(main, "root").select("c", "label", "main"), "labelled")
+        rows = big.join(labelled, "c")
+        inside = rows.where("label = main").withColumn("at", F.pmod(F.xxhash64("c", F.lit(-1)), cut))
+        outside = rows.where("label <> main").withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), cut.cast("long") - 1)))
+        last = inside.unionByName(outside).select(F.xxhash64("root", "at").alias("block"), "c", "label", "text")
         links = links.unionByName(written(linked(last), "links"))
         links = components(links).select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = classes.join(links.select(F.col("a").alias("c"), F.col("b").alias("root")).distinct(), "c", "left").select("c", "id", F.coalesce("root", "c").alias("root"))
-    least = roots.groupBy("root").agg(F.min("id").alias("component_id"))
-    named = roots.join(least, "root").select("c", "component_id")
-    out = members.join(named, "c", "left")
+    smallest = roots.groupBy("root").agg(F.min("id").alias("component_id"))
+    named = written(roots.join(smallest, "root").select("c", "component_id"), "named")
+    out = members.select("id", "c", "n").join(named, "c", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
