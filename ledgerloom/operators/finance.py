@@ -113,5 +113,7 @@ def analyse(records: DataFrame) -> DataFrame:
     )
 
 
-def metrics_long(analysed: DataFrame, *keys: str) -> DataFrame:
-    return analysed.select(*keys, F.explode("metrics").alias("m")).select(*keys, F.col("m.name").alias("metric"), F.col("m.category").alias("category"), F.col("m.value").alias("value"), F.col("m.risk_level").alias("risk_level"))
+def metrics_long(records: DataFrame, *keys: str) -> DataFrame:
+    """One row per record and ratio that it has."""
+    rows = records.select(*keys, F.explode(F.array(*[metric(r) for r in RATIOS])).alias("m")).where("m is not null")
+    return rows.select(*keys, F.col("m.name").alias("metric"), F.col("m.category").alias("category"), F.col("m.value").alias("value"), F.col("m.risk_level").alias("risk_level"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import relational
+from ledgerloom.plans import classification, financial, relational, texts, work
 
-MODULES = [relational]
+MODULES = [relational, classification, financial, texts, work]
 QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
 ORACLES = {k: s for m in MODULES for k, s in m.ORACLES.items()}
