@@ -348,7 +348,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     placed = classes.drop("bits").join(candidates.withColumnRenamed("node", "c"), "c")
     weights = placed.groupBy("root").agg(F.sum("n").alias("weight"))
     placed = written(placed.join(weights, "root"), "placed")
-    held = written(placed.join(texts, "id").select("c", "root", "weight", "text"), "held")
+    held = written(placed.join(texts.hint("merge"), "id").select("c", "root", "weight", "text"), "held")  # one plan at every size
 
     def linked(places: DataFrame) -> DataFrame:
         """Links within the blocks of rows (block, c, label, text)."""
