@@ -29,7 +29,7 @@ BASE = 0x9E3779B97F4A7C15
 class Shingler:
     """Sets of hashed shingles of whole texts, for many texts at once."""
 
-    def __init__(self, words: int, step: int = 1 << 22):
+    def __init__(self, words: int, step: int = 1 << 20):
         self.words, self.step = words, step
         self.power = self.inverse = np.ones(1, np.uint64)
 
@@ -287,7 +287,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         """Each row's class, size and signature, and shingles that several classes of a piece have."""
         shingler = Shingler(words)
         for b in batches:
-            for ids, found in pieces(b, 4_000_000):
+            for ids, found in pieces(b, 2_000_000):
                 sets = shingler.sets(found)
                 classes = [class_of(s) for s in sets]
                 distinct = {c: s for c, s in zip(classes, sets) if c is not None}
