@@ -252,7 +252,7 @@ def grouped(batches, columns: list[str]):
         yield rows
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 2048, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 16_384, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
     """Components of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
 
     1. Texts of one set are one class. Shingles that repeat within a task are counted;
