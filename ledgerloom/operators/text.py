@@ -289,3 +289,42 @@ def language_mix(text: Column) -> Column:
     ja, en = F.regexp_count(text, F.lit(JAPANESE)), F.regexp_count(text, F.lit("[A-Za-z]"))
     a, b = ja / F.when(letters > 0, letters), en / F.when(letters > 0, letters)
     return F.when((a >= 0.3) & (b >= 0.3), "mixed").when(a > 0.7, "ja").when(b > 0.7, "en").otherwise("ja")
+
+
+def overlapping(chunks: DataFrame, group: list[str], content: str, order: str, most: float = 0.6) -> DataFrame:
+    """Chunks of a page without those that repeat the last one kept; of two the longer stays.
+
+    What is compared depends on what was kept, so a page is one call.
+    """
+
+    def share(a: str, b: str) -> float:
+        least = min(len(a), len(b))
+        return sum(m.size for m in difflib.SequenceMatcher(None, a, b).get_matching_blocks()) / least if least else 0.0
+
+    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, kept = pdf.sort_values(order), []
+        for i, text in enumerate(pdf[content]):
+            if kept and share(pdf[content].iloc[kept[-1]], text) > most:
+                if len(text) > len(pdf[content].iloc[kept[-1]]):
+                    kept[-1] = i
+            else:
+                kept.append(i)
+        return pdf.iloc[kept]
+
+    return chunks.groupBy(*group).applyInPandas(keep, chunks.schema)
+
+
+def without_repeated_sentences(text: Column, least: int = 20) -> Column:
+    """A text of three sentences and more with each longer sentence once."""
+    parts = F.transform(F.split(text, "(?<=[。！？])"), strip)
+    parts = F.filter(parts, lambda x: x != "")
+    seen = F.filter(parts, lambda x, i: (F.length(x) < least) | (F.array_position(parts, x) == i + 1))
+    return F.when(F.size(parts) >= 3, F.array_join(seen, "")).otherwise(text)
+
+
+def standard_chunks(*kinds: DataFrame) -> DataFrame:
+    """Chunks of several origins as one table; columns that an origin lacks are null."""
+    out = kinds[0]
+    for k in kinds[1:]:
+        out = out.unionByName(k, allowMissingColumns=True)
+    return out
