@@ -99,7 +99,7 @@ def rebased(path: Column, old: str, new: str) -> Column:
     old, new = old.rstrip("/"), new.rstrip("/")
     inside = (path == old) | path.startswith(old + "/")
     rest = F.when(inside, F.substring(path, len(old) + 2, 100_000)).otherwise(path)
-    return F.when(path.startswith("/"), path).otherwise(F.concat_ws("/", F.lit(new), F.nullif(rest, F.lit(""))))
+    return F.when(path.isNull() | path.startswith("/"), path).otherwise(F.concat_ws("/", F.lit(new), F.nullif(rest, F.lit(""))))
 
 
 def english_part(name: Column) -> Column:
