@@ -156,3 +156,27 @@ def is_contaminated() -> F.Column:
 def op9(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = contamination(docs, benchmark)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), is_contaminated().alias("contaminated"))
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s + 1 : s + n], ' ') AS win
+  FROM (SELECT item_id, w, least(13, len(w)) AS n FROM b WHERE len(w) > 0), LATERAL (SELECT unnest(range(len(w) - n + 1)) AS s)
+), dw AS (
+  SELECT doc_id, n, s, array_to_string(w[s + 1 : s + n], ' ') AS win
+  FROM d, (SELECT DISTINCT n FROM bw) k, LATERAL (SELECT unnest(range(greatest(0, len(w) - n + 1))) AS s)
+), h AS (
+  SELECT dw.doc_id, dw.s, dw.n, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.win = bw.win
+), hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, s, n FROM h)) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY 1
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
