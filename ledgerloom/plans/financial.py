@@ -118,10 +118,10 @@ def metric_choice(t):
     return timeseries.best_value(rows, ["l_suppkey"], F.lit("NetSales"), "name", "l_extendedprice", "cons", ORDER.split(", "))
 
 
-@query("consolidated_preferred", f"""WITH x AS (SELECT *, CASE l_returnflag WHEN 'R' THEN TRUE WHEN 'A' THEN FALSE END AS cons FROM lineitem WHERE l_linenumber <= 2), y AS (
+@query("consolidated_preferred", f"""WITH x AS (SELECT *, CASE l_returnflag WHEN 'R' THEN TRUE WHEN 'A' THEN FALSE END AS cons FROM lineitem), y AS (
   SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY CASE WHEN cons THEN 0 ELSE 1 END, {ORDER}) AS rn FROM x) SELECT l_partkey, l_extendedprice AS value, coalesce(cons, FALSE) AS is_consolidated FROM y WHERE rn = 1""")
 def consolidated_preferred(t):
-    rows = t.raw("lineitem").where("l_linenumber <= 2").withColumn("cons", F.when(F.col("l_returnflag") == "R", True).when(F.col("l_returnflag") == "A", False))
+    rows = t.raw("lineitem").withColumn("cons", F.when(F.col("l_returnflag") == "R", True).when(F.col("l_returnflag") == "A", False))
     return timeseries.preferred(rows, ["l_partkey"], "cons", "l_extendedprice", ORDER.split(", "))
 
 
