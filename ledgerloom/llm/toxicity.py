@@ -143,7 +143,9 @@ def label_tokens(tokens: list[list[str]], toxic: np.ndarray, least: int = 5, rat
         if y:
             for a, w, b in zip(["", *words], words, [*words[1:], ""]):
                 for f in features(w):
-                    near.setdefault(f, set()).add((a, b))
+                    held = near.setdefault(f, set())
+                    if len(held) < least:  # more are not asked for
+                        held.add((a, b))
     n = np.maximum(1, [np.sum(toxic == 0), np.sum(toxic == 1)])
     bad = set()
     for f, a in inside[1].items():
