@@ -335,6 +335,14 @@ def test_nested_secrets_map_to_their_place(encode):
     assert any(k == 0 for _, k, _ in all_)
 
 
+@pytest.mark.parametrize("extra", ["\u00a0", "\u3000", "\u200b", "\ufeff", "\u00ad", "\f", "\0", "\x1b"])
+def test_secrets_beside_illegible_characters(extra):
+    raw = f"{extra}{PLAIN}{extra}".encode()
+    for data in (raw, b"\xff\xfe" + raw + b"\x80", gzip.compress(raw), zlib.compress(raw + b"\xff")):
+        blob = base64.b64encode(data).decode()
+        assert any(k == 0 and 6 <= s < e <= 6 + len(blob) for s, k, e in secret(f"start {blob} end")[1])
+
+
 def test_decoding_ends():
     for text in ("%2525252541" * 50, "\\u005cu005c" * 50, base64.b64encode(b"aGVsbG8gd29ybGQgaGVsbG8=" * 3).decode(), "%" * 100, "=" * 100):
         secret(text)
