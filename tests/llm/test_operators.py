@@ -343,6 +343,27 @@ def test_secrets_beside_illegible_characters(extra):
         assert any(k == 0 and 6 <= s < e <= 6 + len(blob) for s, k, e in secret(f"start {blob} end")[1])
 
 
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+@pytest.mark.parametrize("width, end", [(76, "\n"), (64, "\r\n"), (64, "\n    "), (76, "\\n")])
+def test_secrets_in_wrapped_base64(pack, width, end):
+    rng = random.Random(width)
+    noise = lambda: "".join(rng.choice("ghjkmnpqr ,") for _ in range(200))
+    for gap in range(0, 60, 7):
+        blob = base64.b64encode(pack((noise() + "." * gap + PLAIN + noise()).encode())).decode()
+        blob = end.join(blob[i : i + width] for i in range(0, len(blob), width))
+        for before in ("at: ", "word\n", "-----BEGIN-----\n"):
+            found = [(s, e) for s, k, e in secret(f"{before}{blob} end")[1] if k == 0]
+            assert any(len(before) <= s < e <= len(before) + len(blob) for s, e in found)
+
+
+@pytest.mark.parametrize("before", ["/v1/", "key-", "x_", "a/b-c_", "z", "zz", "zzz"])
+def test_secrets_in_base64_beside_its_characters(before):
+    for data in (PLAIN.encode(), gzip.compress(PLAIN.encode()), zlib.compress(PLAIN.encode())):
+        blob = base64.b64encode(data).decode()
+        found = [(s, e) for s, k, e in secret(f"at {before}{blob} end")[1] if k == 0]
+        assert any(3 + len(before) <= s < e <= 3 + len(before) + len(blob) for s, e in found)
+
+
 def test_decoding_ends():
     for text in ("%2525252541" * 50, "\\u005cu005c" * 50, base64.b64encode(b"aGVsbG8gd29ybGQgaGVsbG8=" * 3).decode(), "%" * 100, "=" * 100):
         secret(text)
