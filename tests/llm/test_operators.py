@@ -1,9 +1,11 @@
 """The corpus operators against brute force on small tables, with all the odd rows."""
 
 import base64
+import bz2
 import collections
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -364,6 +366,37 @@ def test_secrets_in_base64_beside_its_characters(before):
         assert any(3 + len(before) <= s < e <= 3 + len(before) + len(blob) for s, e in found)
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+def test_compressed_layers_are_read_to_their_end(pack):
+    long = b"plain line of a log, \xc3\xa9\n" * 800_000
+    for raw in (pack(long + PLAIN.encode()), pack(b"first") + pack(b"second") + pack(PLAIN.encode()), pack(pack(long + PLAIN.encode()))):
+        blob = base64.b64encode(raw).decode()
+        assert any(k == 0 and 6 <= s and e == 6 + len(blob) for s, k, e in secret(f"start {blob} end")[1])
+
+
+@pytest.mark.parametrize("most", [64, 100, 1000, 1 << 20])
+@pytest.mark.parametrize(
+    "encode",
+    [
+        bytes,
+        lambda s: s.replace(b" ", b" " * 300),
+        lambda s: "".join(f"%{c:02x}" for c in s).encode(),
+        lambda s: "".join(f"\\u{c:04x}" for c in s).encode(),
+        lambda s: b" " + base64.b64encode(b"." * 3000 + s + b"." * 3000) + b" ",
+        lambda s: b" " + base64.encodebytes(b"." * 3000 + s + b"." * 3000) + b" ",
+        lambda s: b" " + base64.b64encode(bz2.compress(random.Random(1).randbytes(3000) + s)) + b" ",
+        lambda s: gzip.compress(random.Random(1).randbytes(3000) + s),
+        lambda s: base64.b64encode(gzip.compress(random.Random(1).randbytes(3000) + s)).replace(b"+", b"%2B"),
+    ],
+)
+def test_streams_do_not_depend_on_their_pieces(most, encode):
+    for pad in range(0, 130, 13):
+        raw = b". " * 60 + b"." * pad + encode(PLAIN.encode()) + b" ." * 60
+        kinds = set()
+        secrets.kinds_of(lambda: (raw[i : i + 50] for i in range(0, len(raw), 50)), kinds, most)
+        assert kinds == {0}
+
+
 def test_decoding_ends():
     for text in ("%2525252541" * 50, "\\u005cu005c" * 50, base64.b64encode(b"aGVsbG8gd29ybGQgaGVsbG8=" * 3).decode(), "%" * 100, "=" * 100):
         secret(text)
