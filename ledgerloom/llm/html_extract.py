@@ -30,13 +30,14 @@ PARAGRAPHS = frozenset("p pre td th blockquote li dd dt figcaption".split()) | H
 
 
 class Node:
-    __slots__ = ("tag", "up", "down", "bad", "header", "weight", "score", "text", "links", "paragraphs")
+    __slots__ = ("tag", "up", "down", "bad", "header", "main", "weight", "score", "text", "links", "paragraphs")
 
     def __init__(self, tag: str, up: "Node | None", names: str = "", role: str = "", hidden: bool = False):
         self.tag, self.up, self.down = tag, up, []
         self.bad = tag in DROPPED or role in ROLES or hidden or tag not in ("html", "body", "article", "main") and bool(NAMES.search(names))
         self.header = tag == "header"
-        self.weight = 1.25 if tag in ("article", "main") or role in ("main", "article") or GOOD.search(names) else 1.0
+        self.main = tag in ("article", "main") or role in ("main", "article")
+        self.weight = 1.25 if self.main or GOOD.search(names) else 1.0
         self.score, self.text, self.links, self.paragraphs = 0.0, 0, 0, False
 
 
@@ -166,7 +167,7 @@ def flush(out: list[str], open_: list[str]) -> None:
 
 
 def main_blocks(source: str) -> list[str]:
-    """The blocks of the best container and of those siblings that read as text too."""
+    """The blocks of the outermost article around the best container, or of it and all beside it that is not mainly links."""
     root = parse(source)
     nodes = order(root)
     for node in reversed(nodes):
@@ -205,11 +206,35 @@ def main_blocks(source: str) -> list[str]:
         best = best.up
     if best.up is None or best.tag in ("body", "html"):
         return blocks(best)
-    out = []
-    for x in best.up.down:
-        if isinstance(x, Node) and not x.bad and x.text:
-            if x is best or x.tag in HEADINGS or x.links <= 0.25 * x.text and (x.score >= max(3, most / 5) or x.tag == "p"):
-                out += blocks(x)
+    up, whole = best, None
+    while up is not None:
+        if up.main:
+            whole = up
+        up = up.up
+    if whole is not None:
+        return blocks(whole)
+    kept = []
+    for run in runs(best.up.down):
+        size = sum(x.text if isinstance(x, Node) else len(clean(x)) for x in run)
+        heading = isinstance(run[0], Node) and run[0].tag in HEADINGS
+        if best in run or heading or 2 * sum(x.links for x in run if isinstance(x, Node)) <= size:
+            kept += run
+    best.up.down = kept
+    return blocks(best.up)
+
+
+def runs(down: list) -> list[list]:
+    """Kept children: each block alone, text and inline elements that follow one another together."""
+    out, open_ = [], False
+    for x in down:
+        if isinstance(x, Node) and x.bad:
+            continue
+        inline = not isinstance(x, Node) or x.tag in INLINE
+        if inline and open_:
+            out[-1].append(x)
+        else:
+            out.append([x])
+        open_ = inline
     return out
 
 
@@ -222,8 +247,9 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
 
     Paragraphs pass one point, one for each comma and up to three for length to
     their ancestors (all, half, a third and so on), less the share of link text;
-    the container of the most points is kept with siblings that have a fifth of
-    its points, are headings or are paragraphs with few links. Navigation,
+    of the container of the most points the outermost article or main element around
+    it is kept, or, without one, it and all beside it that is not mainly links, bare
+    text included. Navigation,
     headers and footers of the page, asides, forms, adverts, notices, comments
     and hidden elements are cut before scoring.
 

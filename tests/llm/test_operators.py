@@ -477,6 +477,16 @@ def test_pages(spark):
     assert out == {i: (t, len(t)) for i, (_, t) in enumerate(PAGES)}
 
 
+def test_pages_keep_what_stands_beside_the_best_container():
+    many = "".join(f"<p>Paragraph {i}, with some words, and more of them, to read.</p>" for i in range(30))
+    plain = " ".join(f"Paragraph {i}, with some words, and more of them, to read." for i in range(30))
+    for tag in ("article", "main", "section"):
+        found = html_extract.main_text(f"<body><{tag}><header><h1>T</h1></header><div>{many}</div><blockquote>long quote</blockquote><pre>x = 1</pre><ul><li>a</li></ul><table><tr><td>c</td></tr></table><em>soft</em> tail</{tag}></body>")
+        assert found == f"T {plain} long quote x = 1 a c soft tail"
+    found = html_extract.main_text(f"<body><div><div>{many}</div><div><a href=x>One</a> <a href=y>Two</a></div>see <a href=z>this</a> in the tail<p></p><a href=v>Three</a> | <a href=w>Four</a></div></body>")
+    assert found == f"{plain} see this in the tail"
+
+
 def test_pages_survive_anything():
     rng = random.Random(6)
     bits = ["<p>", "</p>", "<div", ">", "<", "a", " ", "</", "<b>", "</div>", "<!--", "-->", "<script>", "</script>", "&amp;", "&#x41;", "<a href=x>", "</a>", '"', "<td>", "<li>", "</ul>"]
