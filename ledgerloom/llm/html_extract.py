@@ -22,21 +22,27 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 #: An opening tag on the left ends an open element on the right, if none of the fences lies between.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}), "option": ({"option"}, {"select"}), "tbody": ({"tbody", "thead", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "thead", "tr", "td", "th"}, {"table"})}
 #: Elements that never belong to an article, and roles and names that say so.
-DROPPED = frozenset("head script style noscript template nav footer aside form button select option input textarea svg canvas iframe object embed audio video map dialog menu".split())
+DROPPED = frozenset("head script style noscript template nav footer aside form button select option input textarea svg canvas iframe object embed audio video map dialog menu".split()) - {"form"}
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert toolbar".split())
 NAMES = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|side-?bar\w*|comments?|comment-?list|respond|replies|disqus\w*|nav\w*|menu\w*|breadcrumbs?|footer|masthead|(?:site|page|top)-?header|cookie\w*|consent\w*|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe\w*|subscription|signup|login|share\w*|sharing|social\w*|related|recommend\w*|widget\w*|skip|pagination|pager|toolbar|search)(?:$|[^a-z])")
+#: What people write below an article can be longer than it.
+REPLIES = re.compile(r"(?:^|[^a-z])(?:comments?|comment-?list|respond|replies|disqus\w*)(?:$|[^a-z])")
 GOOD = re.compile(r"(?:^|[^a-z])(?:article|main|content|body|entry|post|story|text)(?:$|[^a-z])")
 PARAGRAPHS = frozenset("p pre td th blockquote li dd dt figcaption".split()) | HEADINGS
 
 
 class Node:
-    __slots__ = ("tag", "up", "down", "bad", "header", "main", "weight", "score", "text", "links", "paragraphs")
+    __slots__ = ("tag", "up", "down", "bad", "doubt", "named", "header", "main", "weight", "score", "text", "links", "paragraphs")
 
     def __init__(self, tag: str, up: "Node | None", names: str = "", role: str = "", hidden: bool = False):
         self.tag, self.up, self.down = tag, up, []
-        self.bad = tag in DROPPED or role in ROLES or hidden or tag not in ("html", "body", "article", "main") and bool(NAMES.search(names))
+        self.bad = tag in DROPPED or hidden
+        named = bool(NAMES.search(names))
+        #: The share of the page's plain text up to which it is cut, if it does not hold the main article.
+        self.doubt = 0.0 if tag in ("html", "body", "article", "main") else 0.8 if REPLIES.search(names) else 0.5 if named or tag == "form" or role in ROLES else 0.0
         self.header = tag == "header"
         self.main = tag in ("article", "main") or role in ("main", "article")
+        self.named = named
         self.weight = 1.25 if self.main or GOOD.search(names) else 1.0
         self.score, self.text, self.links, self.paragraphs = 0.0, 0, 0, False
 
@@ -125,6 +131,27 @@ def order(root: Node) -> list[Node]:
     return out
 
 
+def judge(root: Node) -> None:
+    """Cuts elements whose name, role or tag tells of furniture, if they hold neither the main article (not a teaser) nor most text."""
+    nodes, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if not node.bad:
+            nodes.append(node)
+            todo.extend(x for x in node.down if isinstance(x, Node))
+    if not any(x.doubt for x in nodes):
+        return
+    plain: dict[Node, int] = {}
+    for node in reversed(nodes):
+        plain[node] = 0 if node.tag == "a" else sum(len(clean(x)) if isinstance(x, str) else plain.get(x, 0) for x in node.down)
+    article = max((x for x in nodes if x.main and not x.named and 10 * plain[x] > plain[root]), key=plain.__getitem__, default=None)
+    while article is not None:
+        article.doubt = 0.0
+        article = article.up
+    for node in nodes:
+        node.bad = node.doubt > 0 and plain[node] <= node.doubt * plain[root]
+
+
 def inside(node: Node) -> bool:
     """Whether a header belongs to an article and not to the page."""
     while node.up is not None:
@@ -169,6 +196,7 @@ def flush(out: list[str], open_: list[str]) -> None:
 def main_blocks(source: str) -> list[str]:
     """The blocks of the outermost article around the best container, or of it and all beside it that is not mainly links."""
     root = parse(source)
+    judge(root)
     nodes = order(root)
     for node in reversed(nodes):
         own = 0
@@ -251,7 +279,8 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     it is kept, or, without one, it and all beside it that is not mainly links, bare
     text included. Navigation,
     headers and footers of the page, asides, forms, adverts, notices, comments
-    and hidden elements are cut before scoring.
+    and hidden elements are cut before scoring; those that only a name, a role or a
+    form tells of not if they hold the main article or most of the page's plain text.
 
     Null and empty sources: empty text. Pages without containers: all text that
     is left. Broken markup: elements end as in browsers. Repeated rows: each

@@ -487,6 +487,19 @@ def test_pages_keep_what_stands_beside_the_best_container():
     assert found == f"{plain} see this in the tail"
 
 
+@pytest.mark.parametrize("page", ['<div class="layout has-sidebar">{}</div>', '<div class="page-with-nav">{}</div>', '<div id="search-page"><div>{}</div></div>', "<form>{}<input></form>", '<div role="search">{}</div>'])
+@pytest.mark.parametrize("body", ["<article>{}</article>", "<div>{}</div>", '<div class="post share-enabled">{}</div>', '<main class="comments">{}</main>'])
+def test_pages_are_not_lost_by_a_name(page, body):
+    text = "Some long text, with commas, and more of it."
+    rest = "<div class='sidebar'><p>Side</p></div><form>Name <input></form><div class='related'><article>Other</article></div>"
+    assert html_extract.main_text("<body><nav><a href=x>Home</a></nav>" + page.format(body.format(f"<p>{text}</p><p>{text}</p>") + rest) + "</body>") == f"{text} {text}"
+
+
+def test_pages_without_comments():
+    page = "<body><article><p>Some long text, with commas.</p></article><div class='comments'><article class='comment-body'><p>Nice, very nice, and one more.</p></article><p>So, so, so.</p></div></body>"
+    assert html_extract.main_text(page) == "Some long text, with commas."
+
+
 def test_pages_survive_anything():
     rng = random.Random(6)
     bits = ["<p>", "</p>", "<div", ">", "<", "a", " ", "</", "<b>", "</div>", "<!--", "-->", "<script>", "</script>", "&amp;", "&#x41;", "<a href=x>", "</a>", '"', "<td>", "<li>", "</ul>"]
