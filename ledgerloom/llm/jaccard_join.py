@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -211,31 +213,129 @@ def link(sets: list[np.ndarray], percent: int, label: np.ndarray | None = None)
     return root
 
 
-def blocks(batches, shingler: Shingler, percent: int):
-    """(c, root) links from rows (block, c, label, text), sorted by block; the rows of a block are together."""
-    held, rows = None, []
-
-    def done():
-        seen, classes, sets, labels = set(), [], [], []
-        for (c, k, _), s in zip(rows, shingler.sets([t for _, _, t in rows])):
-            if c not in seen and class_of(s) == c:  # another text may have the same id
-                seen.add(c)
-                classes.append(c)
-                sets.append(s)
-                labels.append(k)
-        root = link(sets, percent, np.array(labels, np.int64) if labels and labels[0] is not None else None)
-        moved = np.flatnonzero(root != np.arange(len(root)))
-        return pa.record_batch([pa.array([classes[i] for i in moved], pa.int64()), pa.array([classes[root[i]] for i in moved], pa.int64())], names=["a", "b"])
+def pairs(sets: list[np.ndarray], percent: int, side: list | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(set, later sets linked to it, which of these join sets not yet joined) for all links, each once.
 
+    As in link(), but a row's product is with all later rows. side: rows of one side
+    are not compared; rows without a side are.
+    """
+    n = len(sets)
+    size = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets) if n else np.zeros(0, np.uint64)
+    _, token, df = np.unique(flat, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), size)
+    token = token[np.lexsort((token, df[token], row))]
+    ptr = np.concatenate([[0], np.cumsum(size)])
+    first = np.arange(len(token)) - ptr[row] < prefix_length(size, percent)[row]
+    first &= df[token] > 1
+    by = np.argsort(token[first], kind="stable")
+    posting, posted = row[first][by], np.searchsorted(token[first][by], np.arange(len(df) + 1))
+    number: dict = {}
+    sides = None if side is None else np.array([-1 if x is None else number.setdefault(x, len(number)) for x in side], np.int64)
+    label, together = np.arange(n), {i: [i] for i in range(n)}
+    mark = np.zeros(len(df), bool)
+    for i in range(n):
+        own = token[ptr[i] : ptr[i + 1]]
+        rare = own[: int(prefix_length(size[i], percent))]
+        rare = rare[df[rare] > 1]
+        if not len(rare):
+            continue
+        near = np.unique(np.concatenate([posting[posted[t] : posted[t + 1]] for t in rare.tolist()]))
+        near = near[(near > i) & (100 * size[near] >= percent * size[i]) & (100 * size[i] >= percent * size[near])]
+        if sides is not None and sides[i] >= 0:
+            near = near[sides[near] != sides[i]]
+        if not len(near):
+            continue
+        mark[own] = True
+        found = []
+        for x in np.split(near, np.arange(256, len(near), 256)):
+            held = np.concatenate([token[ptr[j] : ptr[j + 1]] for j in x.tolist()])
+            shared = np.add.reduceat(mark[held], np.concatenate([[0], np.cumsum(size[x])[:-1]]), dtype=np.int64)
+            found.append(x[100 * shared >= percent * (size[i] + size[x] - shared)])
+        mark[own] = False
+        found = np.concatenate(found)
+        if len(found):
+            joins = np.zeros(len(found), bool)
+            other, at = np.unique(label[found], return_index=True)
+            mine = int(label[i])
+            for k, where in zip(other.tolist(), at.tolist()):
+                if k != mine:
+                    joins[where] = True
+                    if len(together[k]) > len(together[mine]):
+                        k, mine = mine, k
+                    label[together[k]] = mine
+                    together[mine] += together.pop(k)
+            yield i, found, joins
+
+
+def linked_blocks(batches, shingler: Shingler, percent: int):
+    """(a, b) for all links from rows (block, c, label, text), sorted by block; the rows of a block are together."""
+    for rows in blocked(batches):
+        classes, sets, labels = distinct_sets(rows, shingler)
+        c, held, size = np.array(classes, np.int64), ([], []), 0
+        for i, found, _ in pairs(sets, percent, labels if any(k is not None for k in labels) else None):
+            held[0].append(np.full(len(found), c[i]))
+            held[1].append(c[found])
+            size += len(found)
+            if size >= 1 << 18:
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in held], names=["a", "b"])
+                held, size = ([], []), 0
+        if size:
+            yield pa.record_batch([pa.array(np.concatenate(x)) for x in held], names=["a", "b"])
+
+
+def counted_blocks(batches, shingler: Shingler, percent: int):
+    """As linked_blocks, but of all links only (a, b, null) for those that hold components together and (a, null, rows that a links to)."""
+    for rows in blocked(batches):
+        classes, sets, labels = distinct_sets(rows, shingler)
+        weight = {r[0]: r[3] for r in rows}
+        weight = np.array([weight[c] for c in classes], np.int64)
+        near, joined, c = np.zeros(len(classes), np.int64), ([], []), np.array(classes, np.int64)
+        for i, found, joins in pairs(sets, percent, labels if any(k is not None for k in labels) else None):
+            near[i] += weight[found].sum()
+            near[found] += weight[i]
+            joined[0].extend([i] * int(joins.sum()))
+            joined[1].extend(found[joins].tolist())
+        at, none = np.flatnonzero(near), len(joined[0])
+        a = pa.array(np.concatenate([c[np.array(joined[0], np.int64)], c[at]]), pa.int64())
+        b = pa.concat_arrays([pa.array(c[np.array(joined[1], np.int64)], pa.int64()), pa.nulls(len(at), pa.int64())])
+        yield pa.record_batch([a, b, pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(near[at], pa.int64())])], names=["a", "b", "near"])
+
+
+def blocked(batches) -> Iterator[list[tuple]]:
+    """The rows (c, label, text, rows of the class if given) of each block."""
+    held, rows = None, []
     for b in batches:
-        for k, c, label, t in zip(b.column("block").to_pylist(), b.column("c").to_pylist(), b.column("label").to_pylist(), b.column("text")):
+        more = [b.column("rows").to_pylist()] if "rows" in b.schema.names else []
+        for k, c, label, t, *x in zip(b.column("block").to_pylist(), b.column("c").to_pylist(), b.column("label").to_pylist(), b.column("text"), *more):
             if k != held and rows:
-                yield done()
+                yield rows
                 rows = []
             held = k
-            rows.append((c, label, t.as_py()))
+            rows.append((c, label, t.as_py(), *x))
     if rows:
-        yield done()
+        yield rows
+
+
+def distinct_sets(rows: list[tuple], shingler: Shingler) -> tuple[list[int], list[np.ndarray], list]:
+    """Classes, their sets and labels, each class once."""
+    seen, classes, sets, labels = set(), [], [], []
+    for (c, k, *_), s in zip(rows, shingler.sets([r[2] for r in rows])):
+        if c not in seen and class_of(s) == c:  # another text may have the same id
+            seen.add(c)
+            classes.append(c)
+            sets.append(s)
+            labels.append(k)
+    return classes, sets, labels
+
+
+def blocks(batches, shingler: Shingler, percent: int):
+    """(c, root) links from rows (block, c, label, text), sorted by block; the rows of a block are together."""
+    for rows in blocked(batches):
+        classes, sets, labels = distinct_sets(rows, shingler)
+        root = link(sets, percent, np.array(labels, np.int64) if labels and labels[0] is not None else None)
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        yield pa.record_batch([pa.array([classes[i] for i in moved], pa.int64()), pa.array([classes[root[i]] for i in moved], pa.int64())], names=["a", "b"])
 
 
 def grouped(batches, columns: list[str]):
@@ -252,32 +352,8 @@ def grouped(batches, columns: list[str]):
         yield rows
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 16_384, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
-    """Components of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
-
-    1. Texts of one set are one class. Shingles that repeat within a task are counted;
-       the `frequent` most frequent ones come last in a common order of shingles.
-    2. The rarest shingles of each class, as many as make sure that linked classes
-       share one, are dealt by shingle; classes that share one form a group around
-       the least of them. Shingles counted more than `hot` times are dealt in parts,
-       whose least classes form a group in turn.
-    3. In a group, pairs that sizes or bit signatures rule out are dropped, and what
-       hangs together stays a block; groups of more than `most` classes stay whole,
-       as pairs of each class and the least one.
-    4. Each block is a sparse product that finds its links exactly. A block of more
-       than 2 * block_shingles is cut at random, in several rounds; classes that are
-       then outside its largest linked part are compared with all parts of it, so that
-       no link between two parts is missed.
-
-    Shingles and sets are told apart by 64-bit hashes. The order of shingles and the
-    bounds on groups affect speed alone.
-
-    Null and empty texts: no shingles, linked with nothing. Repeated rows and equal
-    texts: one component. Null ids: no one's component_id. Ties cannot matter.
-    Other columns are ignored.
-
-    Returns id_col, n_shingles, component_id, the smallest id of the component.
-    """
+def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, frequent: int, hot: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Steps 1 to 3 of jaccard_components: rows, classes, classes in candidate components, the same with texts."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = id_text(docs, id_col, text_col)
@@ -328,7 +404,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     stars = near.where("c <> hub").select("c", "hub").unionByName(across).distinct()
     # A group around a part's least class also needs the classes of the other parts: they hang together through `top`.
     stars = written(stars, "stars")
-    classes = members.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.first("bits").alias("bits"))
+    classes = members.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("rows"))
     sizes = stars.groupBy("hub").agg(F.count(F.lit(1)).alias("k"))
     large = sizes.where(F.col("k") >= most).select("hub").unionByName(near.where("token is not null").select("hub").unionByName(across.select("hub"))).distinct()
     large = written(large, "large")
@@ -348,7 +424,38 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     placed = classes.drop("bits").join(candidates.withColumnRenamed("node", "c"), "c")
     weights = placed.groupBy("root").agg(F.sum("n").alias("weight"))
     placed = written(placed.join(weights, "root"), "placed")
-    held = written(placed.join(texts.hint("merge"), "id").select("c", "root", "weight", "text"), "held")  # one plan at every size
+    held = written(placed.join(texts.hint("merge"), "id").select("c", "root", "weight", "rows", "text"), "held")  # one plan at every size
+    return members, classes, placed, held
+
+
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 16_384, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
+    """Components of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
+
+    1. Texts of one set are one class. Shingles that repeat within a task are counted;
+       the `frequent` most frequent ones come last in a common order of shingles.
+    2. The rarest shingles of each class, as many as make sure that linked classes
+       share one, are dealt by shingle; classes that share one form a group around
+       the least of them. Shingles counted more than `hot` times are dealt in parts,
+       whose least classes form a group in turn.
+    3. In a group, pairs that sizes or bit signatures rule out are dropped, and what
+       hangs together stays a block; groups of more than `most` classes stay whole,
+       as pairs of each class and the least one.
+    4. Each block is a sparse product that finds its links exactly. A block of more
+       than 2 * block_shingles is cut at random, in several rounds; classes that are
+       then outside its largest linked part are compared with all parts of it, so that
+       no link between two parts is missed.
+
+    Shingles and sets are told apart by 64-bit hashes. The order of shingles and the
+    bounds on groups affect speed alone.
+
+    Null and empty texts: no shingles, linked with nothing. Repeated rows and equal
+    texts: one component. Null ids: no one's component_id. Ties cannot matter.
+    Other columns are ignored.
+
+    Returns id_col, n_shingles, component_id, the smallest id of the component.
+    """
+    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, hot, most)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def linked(places: DataFrame) -> DataFrame:
         """Links within the blocks of rows (block, c, label, text)."""
@@ -381,8 +488,46 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
+def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 16_384, block_shingles: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+    """All links of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
+
+    Candidates are those of jaccard_components. All pairs of classes in a block that
+    may link are counted, each once; a block of more than 2 * block_shingles is cut
+    into parts, and each part meets itself and each other part. Components follow
+    from the links.
+
+    Returns two tables: rows (id_col, n_shingles, component_id, n_links, class_id) as
+    of jaccard_components, where n_links counts the other rows a row links to, those
+    of its own class included and those with null ids too; and the linked classes
+    (a, b), each pair once. The first is summed up block by block and does not hold
+    the links; the second is only worked out where it is used.
+    """
+    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, hot, most)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fits = F.col("weight") <= 2 * block_shingles
+    none = F.lit(None).cast("long")
+    places = held.where(fits).select(F.col("root").alias("block"), "c", none.alias("label"), "text", "rows")
+    if not placed.where(~fits).isEmpty():
+        cut = F.ceil(F.col("weight") / block_shingles).cast("long")
+        parted = held.where(~fits).withColumn("part", F.pmod(F.xxhash64("c"), cut)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)))
+        block = F.xxhash64("root", F.least("part", "other"), F.greatest("part", "other"))
+        places = places.unionByName(parted.select(block.alias("block"), "c", F.when(F.col("part") != F.col("other"), F.col("part")).alias("label"), "text", "rows"))
+    dealt = places.repartition(parts, "block").sortWithinPartitions("block")
+    links = dealt.drop("rows").mapInArrow(lambda b: linked_blocks(b, Shingler(words), percent), "a long, b long")
+    counted = written(dealt.mapInArrow(lambda b: counted_blocks(b, Shingler(words), percent), "a long, b long, near long"), "counts")
+    roots = components(counted.where("b is not null").select("a", "b"))
+    near = counted.where("near is not null").groupBy(F.col("a").alias("c")).agg(F.sum("near").alias("near"))
+    named = classes.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").join(near, "c", "left")
+    named = named.select("c", "id", F.coalesce("root", "c").alias("root"), (F.col("rows") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    named = written(named, "counted")
+    named = named.join(named.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("c", "component_id", "n_links")
+    out = members.select("id", "c", "n").join(named, "c", "left")
+    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("c").alias("class_id"))
+    return out, links
+
+
 def op3(docs: DataFrame) -> DataFrame:
-    return jaccard_components(docs)
+    return jaccard_links(docs)[0].drop("class_id")
 
 
 OP3_SQL = r"""

@@ -116,6 +116,23 @@ def test_link_equals_all_pairs():
                 assert root[i] == root[j] and bits[i] == bits[j]
 
 
+@pytest.mark.parametrize("options", [{}, {"block_shingles": 200}, {"most": 2}])
+def test_all_links_are_counted(spark, docs, options):
+    rng = random.Random(8)
+    base = [word(rng, "en") + str(i) for i in range(90)]
+    near = [(10_000 + i, " ".join(base[:i] + ["x"] + base[i:])) for i in range(0, 90, 3)] + [(20_000, " ".join(base)), (20_001, " ".join(base)), (20_002, " ".join(base[:70]))]
+    data = near + [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").where("doc_id is not null").collect()]
+    out, links = jaccard_join.jaccard_links(spark.createDataFrame(data, "doc_id long, text string"), **options)
+    sets = [shingles(t or "") for _, t in data]
+    linked = [(i, j) for i in range(len(data)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    expected = collections.Counter(i for pair in linked for i in pair)
+    assert len(linked) > 400
+    rows = out.collect()
+    assert sorted((r["doc_id"], r["n_links"]) for r in rows) == sorted((data[i][0], expected[i]) for i in range(len(data)))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows), key=str) == reach(data)
+    assert links.count() == links.distinct().count() == len({frozenset((frozenset(sets[i]), frozenset(sets[j]))) for i, j in linked if sets[i] != sets[j]})
+
+
 def test_words_are_hashed_alike_across_steps():
     text = "The quick\tBROWN fox\x0bjumps  over the lazy dog\n" * 40
     a, b = jaccard_join.Shingler(5), jaccard_join.Shingler(5, step=16)
