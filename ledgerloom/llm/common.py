@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -18,8 +19,9 @@ from pyspark.sql import functions as F
 def shared_root(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which all executors share.
 
-    Only where neither the configuration nor the context has one (tests on one
-    machine) a temporary folder is made and set, and removed at exit.
+    Only where neither the configuration nor the context has one and Spark runs on
+    one machine (tests) a temporary folder is made and set, and removed at exit; a
+    cluster without a shared folder is an error.
     """
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -27,6 +29,8 @@ def shared_root(spark: SparkSession) -> str:
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = tempfile.mkdtemp(prefix="ledgerloom-")
     atexit.register(shutil.rmtree, root, True)
     spark.sparkContext.setCheckpointDir(root)
@@ -43,7 +47,15 @@ def written(df: DataFrame, what: str) -> DataFrame:
     df.write.parquet(folder)
     gc.collect()
     df.sparkSession._jvm.System.gc()  # shuffle files of what is written now go with the objects that own them
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out.folder = folder
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables of written() that only tables already written depend on."""
+    for t in tables:
+        drop_folder(t.sparkSession, t.folder)
 
 
 def drop_folder(spark: SparkSession, folder: str) -> None:

@@ -3,31 +3,70 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import pieces, written
+from ledgerloom.llm.common import forget, written
 
-#: Length of the grams that make the initial buckets; a power of two.
+#: Length of the grams that make the initial buckets.
 GRAM = 64
-MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D)
+HIGH, LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
+BASE = 0x9E3779B97F4A7C15
+SEGMENT = ("key", "seg", "d", "first", "back", "width")
 
 
-def buckets(raw: np.ndarray) -> np.ndarray:
-    """The bucket of the GRAM bytes from each place on, as a 64-bit number; doubled from single bytes."""
-    h = (raw.astype(np.uint64) + np.uint64(1)) * np.uint64(MIX[0])
-    n, level = 1, 1
-    while n < GRAM:
-        if len(h) <= n:
+def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93 ^ seed << 1)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    x, size = np.ones(1, np.uint64), 1
+    while size < n:
+        x = np.concatenate([x, x * np.uint64(pow(base, size, 1 << 64))])
+        size *= 2
+    return x
+
+
+class Hasher:
+    """Numbers of strings anywhere in some bytes, as differences of one running sum of a polynomial."""
+
+    def __init__(self):
+        self.value = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def __call__(self, raw: np.ndarray) -> "Hashed":
+        if len(self.power) < len(raw):
+            self.power, self.inverse = powers(BASE, len(raw)), powers(pow(BASE, -1, 1 << 64), len(raw))
+        total = np.zeros(len(raw) + 1, np.uint64)
+        value = self.value[raw]
+        value *= self.power[: len(raw)]
+        np.cumsum(value, out=total[1:])
+        return Hashed(total, self.inverse)
+
+
+class Hashed:
+    def __init__(self, total: np.ndarray, inverse: np.ndarray):
+        self.total, self.inverse = total, inverse
+
+    def grams(self, n: int = GRAM) -> np.ndarray:
+        """The bucket of the n bytes from each place on."""
+        if len(self.total) <= n:
             return np.zeros(0, np.uint64)
-        h = h[:-n] * np.uint64(MIX[level]) + h[n:]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(MIX[(level + 3) % 7])
-        n, level = 2 * n, level + 1
-    return h ^ (h >> np.uint64(29))
+        h = self.total[n:] - self.total[:-n]
+        h *= self.inverse[: len(h)]
+        return mixed(h)
+
+    def strings(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.total[end] - self.total[first]) * self.inverse[first])
 
 
 def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
@@ -38,83 +77,121 @@ def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(v[: len(v) - (w - n)], v[w - n :]) if w > n else v
 
 
-def anchors(raw: np.ndarray, bounds: np.ndarray, length: int):
+def anchors(raw: np.ndarray, bounds: np.ndarray, length: int, hasher: Hasher):
     """Windows of `length` bytes of some texts, by the least bucket in each.
 
     raw: the texts' bytes on end; bounds: where they begin, and the end. Returns
-    (buckets, text, anchor, first, last): for each anchor its bucket and text, its
-    place and the first and last start of the windows that it stands for, all in
-    raw. Equal windows have equal anchors at equal distances.
+    (key, segment, text, at, first, last): for each anchor its bucket, the number of
+    the bytes of all windows that it stands for, its text, its place and the first
+    and last start of those windows, all in raw. Of equal buckets the last is
+    chosen, so that equal windows have equal anchors at equal distances.
     """
-    none = (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 4)
+    none = (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 4
     if len(raw) < length:
         return none
-    h = buckets(raw)
-    sizes = np.diff(bounds)
-    inside = np.arange(len(raw)) - np.repeat(bounds[:-1], sizes)
-    left = np.repeat(sizes, sizes) - inside
-    # The upper half is the order of buckets; the lower prefers later places of a text.
-    v = (h & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - inside[: len(h)].astype(np.uint64))
-    low = sliding_min(v, length - GRAM + 1)
-    start = np.flatnonzero(left[: len(low)] >= length)
+    hashed = hasher(raw)
+    h = hashed.grams()
+    low = sliding_min((h & HIGH) | (LOW - np.arange(len(h), dtype=np.uint64)), length - GRAM + 1)
+    # Windows may start from a text's beginning to `length` bytes before its end.
+    edge = np.zeros(len(low) + 1, np.int32)
+    fits = np.diff(bounds) >= length
+    np.add.at(edge, bounds[:-1][fits], 1)
+    np.add.at(edge, bounds[1:][fits] - length + 1, -1)
+    start = np.flatnonzero(np.cumsum(edge[:-1]))
     if not len(start):
         return none
-    at = start + (0xFFFFFFFF - (low[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)) - inside[start]
-    text = np.repeat(np.arange(len(sizes)), sizes)[start]
-    new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (text[1:] != text[:-1])]))
-    last = start[np.concatenate([new[1:], [len(start)]]) - 1]
-    return h[at[new]], text[new], at[new], start[new], last
+    at = (LOW - (low[start] & LOW)).astype(np.int64)
+    new = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    first, last, at = start[new], start[np.concatenate([new[1:], [len(start)]]) - 1], at[new]
+    back = (at - first).astype(np.uint64)
+    segment = mixed(hashed.strings(first, last + length) + back * np.uint64(BASE))
+    return h[at], segment, np.searchsorted(bounds, at, "right") - 1, at, first, last
 
 
-def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of a column of texts without nulls, as Arrow holds them, and their bounds."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, bounds - bounds[0]
 
 
-def repeated(raw: np.ndarray, start: np.ndarray, owner: np.ndarray, length: int) -> np.ndarray:
-    """Which windows of raw occur again, or belong to a segment that several places share.
+def steps(bounds: np.ndarray, length: int, step: int) -> Iterator[tuple[int, np.ndarray, int]]:
+    """(first text, bounds, bytes of that text before) of pieces of about `step` bytes; a longer text is cut.
 
-    Buckets of the first GRAM bytes are refined by sorting on the bucket of a later
-    offset; what comes out are the buckets for the next round, and windows alone in
-    theirs are done. Each round compares GRAM more bytes; the last overlaps the one
-    before it. owner: how many places a window's segment has.
+    Each window of a cut text is in one piece alone.
     """
-    h = buckets(raw)
-    out = owner > 1
-    live = np.arange(len(start))
-    bucket = h[start]
-    for offset in [*range(GRAM, length - GRAM, GRAM), length - GRAM]:
-        order = np.argsort(bucket, kind="stable")
-        live, bucket = live[order], bucket[order]
-        same = bucket[1:] == bucket[:-1]
-        more = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        live, bucket = live[more], bucket[more]
-        if not len(live):
-            return out
-        pointer = (bucket ^ (bucket >> np.uint64(31))) * np.uint64(MIX[1])
-        bucket = (pointer + h[start[live] + offset]) * np.uint64(MIX[2])
-        bucket ^= bucket >> np.uint64(33)
-    order = np.argsort(bucket, kind="stable")
-    live, bucket = live[order], bucket[order]
-    same = bucket[1:] == bucket[:-1]
-    out[live[np.concatenate([[False], same]) | np.concatenate([same, [False]])]] = True
+    i, n = 0, len(bounds) - 1
+    while i < n:
+        j = i + 1
+        while j < n and bounds[j + 1] - bounds[i] <= step:
+            j += 1
+        if j == i + 1 and bounds[j] - bounds[i] > step:
+            for s in range(int(bounds[i]), max(int(bounds[j]) - length + 1, int(bounds[i]) + 1), step):
+                yield i, np.array([s, min(s + step + length - 1, int(bounds[j]))]), s - int(bounds[i])
+        else:
+            yield i, bounds[i : j + 1], 0
+        i = j
+
+
+def refined(bucket: np.ndarray, at: np.ndarray, offset: int) -> np.ndarray:
+    """The buckets with those of the places `at` refined by the bucket that each points to, `offset` further on.
+
+    Places alone in their bucket are done and keep it.
+    """
+    at = at[np.bincount(bucket)[bucket[at]] > 1]
+    pointer = bucket[at + offset]
+    order = np.lexsort((pointer, bucket[at]))
+    own, pointer = bucket[at][order], pointer[order]
+    new = np.concatenate([[1], (own[1:] != own[:-1]) | (pointer[1:] != pointer[:-1])])[: len(at)]
+    out = bucket.copy()
+    out[at[order]] = bucket.max(initial=0) + np.cumsum(new)
     return out
 
 
+def repeated(raw: np.ndarray, bounds: np.ndarray, length: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """(starts of the windows of some segments, whether each window occurs more than once among them).
+
+    Initial buckets hold places of equal GRAM bytes. A round sorts each bucket by the
+    buckets of the places as far on as its strings are long; the buckets that come
+    out are what the next round starts from and what its pointers lead to, so the
+    length told apart doubles. The last pointers overlap the string before them.
+    """
+    _, bucket = np.unique(hasher(raw).grams(), return_inverse=True)
+    left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(raw))
+    start, q = np.flatnonzero(left >= length), GRAM
+    while 2 * q <= length:
+        bucket = refined(bucket, np.flatnonzero(left >= 2 * q), q)
+        q *= 2
+    if q < length:
+        bucket = refined(bucket, start, length - q)
+    return start, np.bincount(bucket, minlength=1)[bucket[start]] > 1
+
+
+def named(raw: np.ndarray, length: int, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """The same refinement where no task sees a whole bucket: numbers of 128 bits name the bucket of each window."""
+    h = hasher(raw).grams()
+    out = []
+    for seed in (1, 2):
+        bucket, q = mixed(h, seed), GRAM
+        for offset in [*(GRAM << i for i in range(length.bit_length()) if GRAM << (i + 1) <= length), None]:
+            offset = length - q if offset is None else offset
+            if offset:
+                bucket = mixed(bucket[:-offset] * np.uint64(BASE) + bucket[offset:], seed)
+                q += offset
+        out.append(bucket)
+    return out[0], out[1]
+
+
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x, pa.int64())
 
 
-def first_seen(batch, done: set) -> tuple[list[bytes], list[bytes]]:
-    """(digest, bytes) of texts not yet seen in this task; the set of digests stays small."""
-    names, texts = [], []
-    if len(done) > 200_000:
-        done.clear()
-    for d, t in zip(batch[0].to_pylist(), batch[1]):
-        if d not in done:
-            done.add(d)
-            names.append(d)
-            texts.append((t or "").encode())
-    return names, texts
+def ints(x: np.ndarray) -> pa.Array:
+    return pa.array(x.astype(np.int32), pa.int32())
 
 
 def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -127,124 +204,154 @@ def merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def find_repeats(texts: DataFrame, *, length: int, batch_bytes: int, hot: int) -> DataFrame:
-    """(d, start, end) of repeated stretches, in bytes, of texts given as (d, text); d is a text's digest.
+def place(start) -> F.Column:
+    return F.xxhash64("d", start)
+
+
+def spots(texts: DataFrame, length: int, step: int) -> DataFrame:
+    """Anchors of texts (d, text): SEGMENT for each, and a row without key, with a number in seg, for each text.
 
-    Texts of one digest are alike and count once. Anchors, one for every 70 bytes or
-    so, are counted by bucket (partial sums before the shuffle); those of buckets
-    with several places are looked up with their segments, and each bucket's
-    segments are refined together. Buckets of more than `hot` places are not
-    brought together: their windows are counted one by one by 128-bit hashes.
+    d is a text's digest: a task lists a text once and counts how often it comes.
     """
 
-    def places(batches):
-        done: set = set()
+    def run(batches):
+        hasher, done = Hasher(), set()
         for b in batches:
-            for piece in pieces(b, 1_000_000):
-                names, found = first_seen(piece, done)
-                raw, bounds = joined(found)
-                key, text, at, _, _ = anchors(raw, bounds, length)
-                at = at - bounds[text]
-                yield pa.record_batch([signed(key), pa.array(names, pa.binary()).take(pa.array(text)), pa.array(at, pa.int64())], names=["key", "d", "at"])
-
-    spots = texts.select("d", "text").mapInArrow(places, "key long, d binary, at long")
-    place = F.xxhash64("d", "at")
-    keys = spots.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b")
-    keys = written(keys.select("key", (F.col("n") > hot).alias("hot")), "keys")  # a table, so that a large bucket can be split in the join
-    wanted = spots.join(keys, "key").groupBy("d").agg(F.collect_set(F.struct("at", "hot")).alias("places"))
-    wanted = written(wanted, "places")
-
-    def segments(batches):
-        """Segments around wanted anchors; equal ones of a piece are one row with several owners."""
-        done: set = set()
+            names = b.column("d").to_pylist()
+            many: dict = {}
+            for name in names:
+                many[name] = many.get(name, 0) + 1
+            if len(done) > 200_000:
+                done.clear()  # a text that comes again is listed again; places count once
+            new = []
+            for i, name in enumerate(names):
+                if name not in done:
+                    done.add(name)
+                    new.append(i)
+            none = pa.nulls(len(many), pa.int32())
+            yield pa.record_batch([pa.nulls(len(many), pa.int64()), pa.array(list(many.values()), pa.int64()), pa.array(list(many), pa.binary()), none, none, none], names=SEGMENT)
+            seen = b.column("d").take(pa.array(new, pa.int64())) if len(new) < len(names) else b.column("d")
+            column = b.column("text").take(pa.array(new, pa.int64())) if len(new) < len(names) else b.column("text")
+            raw, bounds = text_bytes(column)
+            for i, some, before in steps(bounds, length, step):
+                base = some[0]
+                key, seg, text, at, first, last = anchors(raw[base : some[-1]], some - base, length, hasher)
+                if len(key):
+                    begin = some[:-1][text] - base - before
+                    yield pa.record_batch([signed(key), signed(seg), seen.take(pa.array(i + text)), ints(first - begin), ints(at - first), ints(last - first + length)], names=SEGMENT)
+
+    return texts.mapInArrow(run, "key long, seg long, d binary, first int, back int, width int")
+
+
+def by_key(batches, most: int) -> Iterator[list[tuple]]:
+    """Rows (d, first, known, segment) of whole keys, each place once, as many keys at a time as make about `most` bytes."""
+    rows, size, held = {}, 0, None
+    for b in batches:
+        for k, d, first, known, s in zip(b.column("key").to_pylist(), b.column("d").to_pylist(), b.column("first").to_pylist(), b.column("known").to_pylist(), b.column("segment").to_pylist()):
+            if k != held and size >= most:
+                yield list(rows.values())
+                rows, size = {}, 0
+            held = k
+            if (d, first) not in rows:
+                rows[d, first] = (d, first, known, s)
+                size += len(s)
+    if rows:
+        yield list(rows.values())
+
+
+def spans_of(rows: list[tuple], length: int, hasher: Hasher) -> pa.RecordBatch:
+    """Repeated stretches of segments whose buckets are all here, but for segments known to be repeated as a whole."""
+    raw = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+    bounds = np.cumsum([0, *(len(r[3]) for r in rows)])
+    start, hit = repeated(raw, bounds, length, hasher)
+    row = np.searchsorted(bounds, start, "right") - 1
+    hit &= ~np.array([r[2] for r in rows], bool)[row]
+    joins = (row[1:] == row[:-1]) & hit[1:] & hit[:-1]
+    begin = np.flatnonzero(hit & ~np.concatenate([[False], joins]))
+    stop = np.flatnonzero(hit & ~np.concatenate([joins, [False]]))
+    own = row[begin]
+    shift = np.array([r[1] for r in rows], np.int64)[own] - bounds[own]
+    return pa.record_batch([pa.array([rows[i][0] for i in own.tolist()], pa.binary()), signed(start[begin] + shift), signed(start[stop] + shift + length)], names=["d", "start", "end"])
+
+
+def find_repeats(spotted: DataFrame, texts: DataFrame, *, length: int, batch_bytes: int, hot: int) -> list[DataFrame]:
+    """Tables (d, start, end) of repeated stretches, in bytes, from the anchors of texts (d, text).
+
+    An anchor's segment is what its windows cover. A bucket whose places all have one
+    segment is settled by counting, and so are segments that several places of a
+    bucket share: all of each is repeated. Only where a bucket has different segments
+    are bytes compared, those of one place for each segment.
+    """
+    spark = texts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at = place(F.col("first") + F.col("back"))
+    keys = spotted.where("key is not null").groupBy("key").agg(F.min(at).alias("a"), F.max(at).alias("b"), (F.min("seg") != F.max("seg")).alias("differs"))
+    keys = written(keys.where("a <> b").select("key", "differs"), "keys")
+    marked = written(spotted.where("key is not null").join(keys, "key"), "marked")
+    forget(keys)
+    segs = marked.where("differs").groupBy("key", "seg").agg((F.min(at) != F.max(at)).alias("known"), F.min(F.struct("d", "first", "width")).alias("one"))
+    segs = written(segs, "segments")
+    whole = marked.where("not differs").unionByName(marked.where("differs").join(segs.where("known").select("key", "seg"), ["key", "seg"]))
+    whole = whole.select("d", F.col("first").cast("long").alias("start"), (F.col("first") + F.col("width")).cast("long").alias("end"))
+    sizes = segs.groupBy("key").agg((F.count(F.lit(1)) > hot).alias("hot"), F.bool_and("known").alias("done"))
+    wanted = segs.join(sizes.where("not done"), "key").select("one.d", F.struct("key", "hot", "known", "one.first", "one.width").alias("pick"))
+    picks = written(wanted.groupBy("d").agg(F.collect_list("pick").alias("picks")), "picks")
+
+    def cut(batches):
+        done = set()
         for b in batches:
-            for rows, piece in pieces(pa.record_batch([pa.StructArray.from_arrays([b.column("d"), b.column("places")], ["d", "places"]), b.column("text")], names=["d", "text"]), 1_000_000):
-                pick = {r["d"]: {p["at"]: p["hot"] for p in r["places"]} for r in rows.to_pylist()}
-                names, found = first_seen((rows.field("d"), piece), done)
-                raw, bounds = joined(found)
-                key, text, at, first, last = anchors(raw, bounds, length)
-                whole, out = raw.tobytes(), {}
-                for k, t, p, s, e in zip(key.view(np.int64).tolist(), text.tolist(), (at - bounds[text]).tolist(), first.tolist(), last.tolist()):
-                    is_hot = pick[names[t]].get(p)
-                    if is_hot is not None:
-                        out.setdefault((k, is_hot, whole[s : e + length]), []).append((names[t], s - int(bounds[t])))
-                yield pa.record_batch([pa.array([k for k, _, _ in out], pa.int64()), pa.array([x for _, x, _ in out], pa.bool_()), pa.array([x for _, _, x in out], pa.binary()), pa.array([[{"d": d, "at": a} for d, a in o] for o in out.values()], OWNERS)], names=["key", "hot", "segment", "owners"])
-
-    found = texts.join(wanted, "d").select("d", "places", "text").mapInArrow(segments, "key long, hot boolean, segment binary, owners array<struct<d:binary,at:long>>")
-    parts = texts.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    cold = found.where(~F.col("hot")).select("key", "segment", "owners").repartition(int(parts), "key").sortWithinPartitions("key")
+            for d, t, picks in zip(b.column("d").to_pylist(), b.column("text"), b.column("picks").to_pylist()):
+                if d in done:
+                    continue
+                if len(done) > 200_000:
+                    done.clear()
+                done.add(d)
+                raw = t.as_buffer()
+                cols = [[p[c] for p in picks] for c in ("key", "hot", "known", "first")]
+                yield pa.record_batch([*(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.bool_(), pa.bool_(), pa.int32()))), pa.array([d] * len(picks), pa.binary()), pa.array([raw[p["first"] : p["first"] + p["width"]].to_pybytes() for p in picks], pa.binary())], names=["key", "hot", "known", "first", "d", "segment"])
+
+    found = written(texts.join(picks, "d").select("d", "text", "picks").mapInArrow(cut, "key long, hot boolean, known boolean, first int, d binary, segment binary"), "found")
+    cold = found.where("not hot").repartition(parts, "key").sortWithinPartitions("key")
 
     def refine(batches):
+        hasher = Hasher()
         for group in by_key(batches, batch_bytes):
-            yield spans_of(group, length)
-
-    spans = cold.mapInArrow(refine, "d binary, start long, end long")
-    if keys.where("hot").isEmpty():
-        return spans
-    return spans.unionByName(hot_spans(found.where("hot"), length))
+            yield spans_of(group, length, hasher)
 
+    spans = [written(whole, "whole"), written(cold.mapInArrow(refine, "d binary, start long, end long"), "windows")]
+    large = found.where("hot")
+    if not large.isEmpty():
+        spans.append(written(hot_spans(large, length, parts), "windows"))
+    forget(marked, segs, picks, found)
+    return spans
 
-OWNERS = pa.list_(pa.struct([("d", pa.binary()), ("at", pa.int64())]))
 
+def hot_spans(found: DataFrame, length: int, parts: int) -> DataFrame:
+    """The same for buckets of any number of segments: windows are counted by their names, with partial sums.
 
-def by_key(batches, most: int):
-    """Rows (segment, owners) of whole keys, as many keys at a time as make about `most` bytes."""
-    rows, size, last = [], 0, None
-    for b in batches:
-        for k, s, o in zip(b.column("key").to_pylist(), b.column("segment").to_pylist(), b.column("owners").to_pylist()):
-            if k != last and size >= most:
-                yield rows
-                rows, size = [], 0
-            rows.append((s, o))
-            size += len(s)
-            last = k
-    if rows:
-        yield rows
-
-
-def spans_of(rows: list, length: int) -> pa.RecordBatch:
-    """Repeated stretches of the owners of segments whose keys are all here."""
-    known, kept, owners = set(), [], []
-    for segment, own in rows:
-        own = [(o["d"], o["at"]) for o in own if (o["d"], o["at"]) not in known]
-        if own:
-            known.update(own)
-            kept.append(segment)
-            owners.append(own)
-    raw, bounds = joined(kept)
-    windows = np.diff(bounds) - length + 1
-    row = np.repeat(np.arange(len(kept)), windows)
-    start = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows) + bounds[row]
-    hit = repeated(raw, start, np.array([len(o) for o in owners])[row] if len(row) else np.zeros(0, int), length) if len(row) else np.zeros(0, bool)
-    edge = np.flatnonzero(hit & ~np.concatenate([[False], hit[:-1] & (row[1:] == row[:-1])])) if len(row) else []
-    stop = np.flatnonzero(hit & ~np.concatenate([hit[1:] & (row[1:] == row[:-1]), [False]])) if len(row) else []
-    out = ([], [], [])
-    for a, b in zip(edge, stop):
-        s, e = int(start[a] - bounds[row[a]]), int(start[b] - bounds[row[a]]) + length
-        for d, at in owners[row[a]]:
-            out[0].append(d)
-            out[1].append(at + s)
-            out[2].append(at + e)
-    return pa.record_batch([pa.array(out[0], pa.binary()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())], names=["d", "start", "end"])
-
-
-def hot_spans(found: DataFrame, length: int) -> DataFrame:
-    """The same for buckets of any size: windows are counted by hash, with partial sums before the shuffle."""
+    A window that makes up more than its share of all rows is looked up by broadcast,
+    of which there are 4 * parts at most, so that none has to meet in one task.
+    """
 
     def windows(batches):
+        hasher = Hasher()
         for b in batches:
-            for s, o in zip(b.column("segment").to_pylist(), b.column("owners").to_pylist()):
-                ids = [hashlib.md5(s[i : i + length]).digest() for i in range(len(s) - length + 1)]
-                rows = [(h, x["d"], x["at"] + i) for i, h in enumerate(ids) for x in o]
-                yield pa.record_batch([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int64())], names=["w", "d", "start"])
-
-    rows = found.select("segment", "owners").mapInArrow(windows, "w binary, d binary, start long")
-    place = F.xxhash64("d", "start")
-    twice = rows.groupBy("w").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("w")
-    return rows.join(twice, "w").select("d", "start", (F.col("start") + length).alias("end")).distinct()
-
-
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200, batch_bytes: int = 1 << 20, hot: int = 20_000) -> DataFrame:
+            for d, first, known, s in zip(b.column("d").to_pylist(), b.column("first").to_pylist(), b.column("known").to_pylist(), b.column("segment")):
+                w, x = named(np.frombuffer(s.as_buffer(), np.uint8), length, hasher)
+                yield pa.record_batch([signed(w), signed(x), pa.array([d] * len(w), pa.binary()), signed(np.arange(first, first + len(w))), pa.array([known] * len(w))], names=["w", "x", "d", "start", "known"])
+
+    rows = written(found.mapInArrow(windows, "w long, x long, d binary, start long, known boolean"), "rows")
+    many = rows.count() // (4 * parts) + 1
+    at = place("start")
+    twice = written(rows.groupBy("w", "x").agg(F.min(at).alias("a"), F.max(at).alias("b"), F.count(F.lit(1)).alias("n")).where("a <> b").select("w", "x", "n"), "twice")
+    heavy = F.broadcast(twice.where(F.col("n") >= many).select("w", "x"))
+    asked = rows.where("not known").select("w", "x", "d", "start")
+    light = asked.join(heavy, ["w", "x"], "left_anti").join(twice.where(F.col("n") < many).select("w", "x"), ["w", "x"])
+    both = asked.join(heavy, ["w", "x"]).unionByName(light)
+    return both.select("d", "start", (F.col("start") + length).alias("end"))
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 200, batch_bytes: int = 1 << 20, hot: int = 2048, step: int = 1 << 18) -> DataFrame:
     """Each text without the bytes of any `length`-byte string that also starts elsewhere.
 
     "Elsewhere" is any other place of any row, its own text included; strings do not
@@ -252,8 +359,17 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     kept need not be whole characters. Texts that occur in several rows are
     repeated as a whole, if long enough, and otherwise have no such string.
 
-    Null texts: empty. Empty and short texts: kept. Repeated rows: repeats of each
-    other. Other columns are ignored. length is 128 at least.
+    Every window of `length` bytes is filed under the least of its buckets of GRAM
+    bytes, so that one place in 70 bytes or so stands for the windows around it.
+    Buckets with several places are refined by bucket pointers; those with more than
+    `hot` different segments are not brought together but refined by name. Strings
+    are told apart by two 64-bit numbers.
+
+    Null texts: empty. Empty and short texts: kept. Very long texts are worked on in
+    overlapping steps of `step` bytes; only their own bytes and spans are held. Repeated rows: repeats of each
+    other. Rows with null ids count as any other. Ties cannot matter: all copies of a
+    string go, none is preferred. Other columns are ignored. An empty table: no rows.
+    length is 128 at least.
 
     Returns id_col, n_bytes, n_removed, n_spans, kept_sha256, kept (binary), spans
     (start and end of removed stretches in bytes, in turn).
@@ -263,18 +379,20 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32)).alias("d"), text.alias("text"))
-    long = texts.where(F.octet_length("text") >= length)
-    copies = long.groupBy("d").agg(F.count(F.lit(1)).alias("copies"))
-    spans = written(find_repeats(long, length=length, batch_bytes=batch_bytes, hot=hot), "repeats")
-    known = copies.where("copies > 1").select("d", F.lit(True).alias("whole")).join(spans.groupBy("d").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "d", "full")
-    known = written(known, "known")
-
-    def cut(batches):
+    long = texts.where(F.octet_length("text") >= length).select("d", "text")
+    spotted = written(spots(long, length, step), "spots")
+    spans = find_repeats(spotted, long, length=length, batch_bytes=batch_bytes, hot=hot)
+    copies = spotted.where("key is null").groupBy("d").agg(F.sum("seg").alias("copies")).where("copies > 1")
+    known = reduce(DataFrame.unionByName, spans).join(copies.select("d"), "d", "left_anti").groupBy("d").agg(F.collect_set(F.struct("start", "end")).alias("spans"), F.lit(False).alias("whole"))
+    known = written(known.unionByName(copies.select("d", F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("spans"), F.lit(True).alias("whole"))), "known")
+    forget(spotted, *spans)
+
+    def shorten(batches):
         for b in batches:
             cols = [[] for _ in range(6)]
-            for t, whole, spans in zip(b.column("text"), b.column("whole").to_pylist(), b.column("spans").to_pylist()):
+            for t, whole, spans in zip(b.column("text"), b.column("whole").to_pylist(), b.column("spans")):
                 raw = t.as_py().encode()
-                gone = [[0, len(raw)]] if whole else merged([(s["start"], s["end"]) for s in spans or []])
+                gone = [[0, len(raw)]] if whole else merged([(s["start"], s["end"]) for s in spans.as_py() or []])
                 edges = [0, *(x for s in gone for x in s), len(raw)]
                 kept = b"".join(raw[a:e] for a, e in zip(edges[::2], edges[1::2]))
                 for c, v in zip(cols, (len(raw), len(raw) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(), kept, edges[1:-1])):
@@ -282,7 +400,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()))
             yield pa.record_batch([b.column("id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
-    out = texts.join(known, "d", "left").select("id", "text", "whole", "spans").mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<long>")
+    out = texts.join(known, "d", "left").select("id", "text", "whole", "spans").mapInArrow(shorten, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<long>")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -146,8 +146,8 @@ def test_components(spark):
     assert out == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
 
 
-@pytest.mark.parametrize("hot", [20_000, 1])
-def test_repeated_strings(docs, hot):
+@pytest.mark.parametrize("hot, step", [(2048, 1 << 18), (0, 300)])
+def test_repeated_strings(docs, hot, step):
     data = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.select("doc_id", "text").collect()]
     seen = collections.Counter(t[s : s + 200] for _, t in data for s in range(len(t) - 199))
     expected = []
@@ -158,11 +158,27 @@ def test_repeated_strings(docs, hot):
                 gone[s : s + 200] = b"\1" * 200
         spans = sum(1 for k in range(len(t)) if gone[k] and (k == 0 or not gone[k - 1]))
         expected.append((i, len(t), sum(gone), spans, hashlib.sha256(bytes(b for b, g in zip(t, gone) if not g)).hexdigest()))
-    out = suffix_dedup.remove_repeats(docs, hot=hot, batch_bytes=500).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    out = suffix_dedup.remove_repeats(docs, hot=hot, batch_bytes=500, step=step).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert sum(e[2] for e in expected) > 0
     assert sorted(map(tuple, out.collect()), key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("length", [128, 130, 200, 256, 300])
+def test_refinement_equals_comparison(length):
+    rng = np.random.default_rng(length)
+    unit = [rng.integers(0, 2, rng.integers(20, 90)).astype(np.uint8) for _ in range(6)]
+    texts = [np.concatenate([unit[i] for i in rng.integers(0, 6, rng.integers(1, 40))]) for _ in range(20)] + [np.zeros(400, np.uint8)]
+    raw, bounds = np.concatenate(texts), np.cumsum([0, *map(len, texts)])
+    data, hasher = raw.tobytes(), suffix_dedup.Hasher()
+    windows = [s for a, b in zip(bounds, bounds[1:]) for s in range(a, b - length + 1)]
+    seen = collections.Counter(data[s : s + length] for s in windows)
+    start, hit = suffix_dedup.repeated(raw, bounds, length, hasher)
+    assert start.tolist() == windows and hit.tolist() == [seen[data[s : s + length]] > 1 for s in windows] and 0 < hit.sum()
+    w, x = suffix_dedup.named(raw, length, hasher)
+    names = collections.Counter(zip(w[start].tolist(), x[start].tolist()))
+    assert sorted(names.values()) == sorted(seen.values())
+
+
 def test_kept_bytes_and_spans_agree(docs):
     for r in suffix_dedup.remove_repeats(docs).join(docs.select("doc_id", "text").distinct(), "doc_id").collect():
         raw, edges = r["text"].encode() if r["text"] else b"", [0, *r["spans"]]
