@@ -98,7 +98,7 @@ def rebased(path: Column, old: str, new: str) -> Column:
     """Absolute paths as they are; others below the new base, without the old one if they begin with it."""
     old, new = old.rstrip("/"), new.rstrip("/")
     inside = (path == old) | path.startswith(old + "/")
-    rest = F.when(inside, F.substring(path, len(old) + 2, 100_000)).otherwise(path)
+    rest = F.when(inside, F.substring(path, F.lit(len(old) + 2), F.length(path))).otherwise(path)
     return F.when(path.isNull() | path.startswith("/"), path).otherwise(F.concat_ws("/", F.lit(new), F.nullif(rest, F.lit(""))))
 
 

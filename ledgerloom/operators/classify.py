@@ -112,3 +112,29 @@ def nearest_centroid(vectors: DataFrame, key: str, vector: str, classes: DataFra
     out = vectors.join(F.broadcast(known), how="cross").withColumn("_best", F.explode(F.array(best)))  # one row: the classes
     chosen = F.when(F.col("_best.similarity") < least, F.lit(other)).otherwise(F.col("_best.label").cast("string"))
     return out.select(key, chosen.alias("category"), F.col("_best.similarity").alias("similarity"))
+
+
+def chosen_titles(disclosures: DataFrame, labels: DataFrame | None = None, ids: DataFrame | None = None, first=None, last=None, key: str = "id", date: str = "disclosure_date") -> DataFrame:
+    """Disclosures to classify: those without labels, of a list of ids or of a span of days, each if given."""
+    out = disclosures
+    if labels is not None:
+        out = out.join(labels.select(F.col("disclosure_id").alias(key)).where(F.col(key).isNotNull()), key, "left_anti")
+    if ids is not None:
+        out = out.join(ids.select(key).distinct(), key, "left_semi")
+    if first is not None:
+        out = out.where(F.col(date) >= F.lit(first))
+    if last is not None:
+        out = out.where(F.col(date) <= F.lit(last))
+    return out
+
+
+def training_samples(classified: DataFrame, title: str, key: str) -> DataFrame:
+    """(key, sample): JSON of a title and its classes, as models are trained on."""
+    parts = lambda c: F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, ", "))
+    labels = F.struct(parts("parent_text").alias("parent_categories"), parts("sub_text").alias("subcategories"))
+    return classified.select(key, F.to_json(F.struct(F.col(title).alias("text"), labels.alias("labels"))).alias("sample"))
+
+
+def in_both_languages(labels: DataFrame, english: str, names: list[tuple[str, str]], japanese: str) -> DataFrame:
+    """Labels with the Japanese name of each class; one without is null."""
+    return labels.withColumn(japanese, F.element_at(F.create_map(*[F.lit(x) for kv in names for x in kv]), F.col(english)))

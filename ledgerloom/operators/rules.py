@@ -59,3 +59,47 @@ SUBCATEGORIES = [
     ("Legal & Regulatory Actions & Responses", "CRISIS & RISK MANAGEMENT", r"訴訟|公正取引委員会|独占禁止法|立入検査|行政処分|当局.*?命令|調査|規制|法令違反|審査|排除措置|課徴金|本日の報道について|再発防止策"),
 ]
 PARENTS = [(name, pattern) for name, _, pattern in PARENT_NAMES]
+#: (subcategory, Japanese name)
+SUBCATEGORY_NAMES = [
+    ("Earnings Reports", "決算短信"),
+    ("Earnings Corrections", "決算訂正"),
+    ("Earnings Forecasts", "業績予想"),
+    ("Earnings Flash", "決算速報"),
+    ("Earnings Summaries & Reference", "決算概要・参考資料"),
+    ("Earnings & Business Presentations", "決算・事業説明会資料"),
+    ("Supplementary Earnings Materials", "決算補足説明資料"),
+    ("Monthly Performance", "月次業績"),
+    ("Performance Variance Analysis", "業績予想差異分析"),
+    ("Dividend Notices", "配当予告・決定通知"),
+    ("Shareholder Return Policy", "株主還元方針"),
+    ("Treasury Stock Transactions", "自己株式の取得・処分"),
+    ("Stock Splits (Forward/Reverse)", "株式分割・併合"),
+    ("Reduction of Investment Unit", "単元株数の変更"),
+    ("Capital Reductions & Reserve Movements", "資本減少・準備金処分"),
+    ("Debt & Financing", "借入・資金調達"),
+    ("Equity Financing & Warrants", "増資・新株予約権"),
+    ("Covenants & Financial Agreements", "財務制限条項・金融契約"),
+    ("M&A, Alliances & Restructuring", "M&A・業務提携・組織再編"),
+    ("Restructuring: Personnel Reductions", "人員削減・構造改革"),
+    ("Corporate Strategy & Plans", "経営戦略・中期計画"),
+    ("Takeover Defense Policy Actions", "買収防衛策"),
+    ("Shareholder Proposals & AGM/EGM Agendas", "株主提案・株主総会議案"),
+    ("Governance & Senior Personnel Changes", "役員・経営陣異動"),
+    ("Executive Compensation Policy & Changes", "役員報酬方針・改定"),
+    ("Corporate Charter Changes", "定款変更"),
+    ("Stock-based Compensation & Warrants", "株式報酬・ストックオプション"),
+    ("Non-Operating & Financial P&L", "営業外損益・金融収支"),
+    ("Special P&L, Impairments & Write-offs", "特別損益・減損・償却"),
+    ("Reporting & Accounting Policy Changes", "会計方針の変更"),
+    ("Significant Accounting Provisions & Valuations", "会計上の引当金・評価"),
+    ("Controlling & Major Shareholder Info", "支配株主・主要株主の異動"),
+    ("Shareholder Benefit Programs", "株主優待制度"),
+    ("Equity Offerings (Secondary)", "株式売出し（セカンダリー）"),
+    ("Asset Transactions", "資産譲渡・取得"),
+    ("Market/Listing Changes", "上場市場区分の変更"),
+    ("ETFs & ETNs", "ETF・ETN関連"),
+    ("Crisis: Security, Misconduct, Insolvency & Supply Chain", "不祥事・安全保障・倒産・サプライチェーン問題"),
+    ("Crisis: Financial Reporting Weakness", "財務報告の内部統制不備"),
+    ("Crisis: Reporting Delays", "決算発表遅延"),
+    ("Legal & Regulatory Actions & Responses", "訴訟・規制対応"),
+]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import re
 import unicodedata
 
 import pandas as pd
@@ -13,28 +14,46 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.retrieval import contains_any
 
 # Signs replaced one by one, and those replaced by several signs.
-SINGLE = ("△▲％－−–—～〜∼０１２３４５６７８９（）［］｛｝「」『』：；，．？！／＋＝＜＞＊＃＠＆　     ", "--%----~~~0123456789()[]{}\"\"'':;,.?!/+=<>*#@&      ")
+SINGLE = (
+    "△▲％－−–—～〜∼０１２３４５６７８９（）［］｛｝「」『』：；，．？！／＋＝＜＞＊＃＠＆\u3000\u00a0\u2009\u200a\u2002\u2003",
+    "--%----~~~0123456789()[]{}\"\"'':;,.?!/+=<>*#@&      ",
+)
 SEVERAL = dict(zip("①②③④⑤⑥⑦⑧⑨⑩", [f"{i}." for i in range(1, 11)]))
+CIRCLED = re.compile(f"([{''.join(SEVERAL)}])")
+
+
+def compatible(text: str) -> str:
+    """Compatibility form of all but the circled numbers, which normalise() spells out; signs that belong together are composed."""
+    if text.isascii() or unicodedata.is_normalized("NFKC", text):
+        return text
+    return "".join(x if x in SEVERAL else unicodedata.normalize("NFKC", x) for x in CIRCLED.split(text))
 
 
 def nfkc(text: Column) -> Column:
-    """Compatibility form; no built-in has it. The circled numbers are kept for normalise()."""
+    """Compatibility form; no built-in has it."""
 
     @F.pandas_udf("string")
     def form(s: pd.Series) -> pd.Series:
-        def one(x):
-            if x is None or x.isascii():
-                return x
-            return "".join(c if c in SEVERAL else unicodedata.normalize("NFKC", c) for c in x)
-
-        return s.map(one, na_action="ignore")
+        return s.map(compatible, na_action="ignore")
 
     return form(text)
 
 
+#: All full-width ASCII signs, and others with one of their own.
+PLAIN = ("".join(chr(0xFF01 + i) for i in range(94)) + "\u3000「」『』", "".join(chr(0x21 + i) for i in range(94)) + " \"\"''")
+
+
+def spelled(text: Column) -> Column:
+    """One spelling for full-width letters, numbers and punctuation; triangles and white space stay."""
+    t = F.translate(text, *PLAIN)
+    for old, new in SEVERAL.items():
+        t = F.replace(t, F.lit(old), F.lit(new))
+    return t
+
+
 def normalise(text: Column, compatibility: bool = True) -> Column:
     """One spelling for full-width signs, dashes, quotes and numbers; white space as single spaces."""
-    t = F.translate(text, "　", " ")
+    t = F.translate(text, "\u3000", " ")
     t = F.translate(nfkc(t) if compatibility else t, *SINGLE)
     for old, new in SEVERAL.items():
         t = F.replace(t, F.lit(old), F.lit(new))
@@ -61,14 +80,20 @@ def ratio(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)) / F.length(text)
 
 
-DIGIT, MONEY, TABLE, JAPANESE = r"\p{Nd}", r"[.,|\-△▲%]", r"[|:()\[\]]", "[぀-ヿ一-龯]"
+def signs(text: Column, some: str) -> Column:
+    """How many of some signs a text has."""
+    return F.length(text) - F.length(F.translate(text, some, ""))
+
+
+DIGIT, MONEY, TABLE, JAPANESE = r"\p{Nd}", ".,|-△▲%", "|:()[]", "[぀-ヿ一-龯]"
 
 
 def is_numeric(text: Column) -> Column:
     """Whether a chunk is mostly numbers or table."""
-    digits, money, table, ja = (ratio(text, p) for p in (DIGIT, MONEY, TABLE, JAPANESE))
-    lines = F.split(text, "\n")
-    dense = F.size(F.filter(lines, lambda x: (F.length(strip(x)) > 5) & (F.regexp_count(strip(x), F.lit(r"[\p{Nd}.,|\-△▲%:()\[\]]")) / F.length(strip(x)) > 0.5)))
+    n = F.length(text)
+    digits, money, table, ja = ratio(text, DIGIT), signs(text, MONEY) / n, signs(text, TABLE) / n, ratio(text, JAPANESE)
+    lines = F.transform(F.split(text, "\n"), strip)
+    dense = F.size(F.filter(lines, lambda x: (F.length(x) > 5) & ((F.regexp_count(x, F.lit(DIGIT)) + signs(x, MONEY + ":()[]")) / F.length(x) > 0.5)))
     by_line = (F.size(lines) > 1) & (dense / F.size(lines) > 0.6)
     told = (digits > 0.15) | (money > 0.10) | (digits + money > 0.20) | ((table > 0.05) & (ja < 0.5)) | ((ja < 0.25) & (digits + money > 0.15)) | by_line
     return F.when(text.isNull() | (F.length(strip(text)) < 20), False).otherwise(told)
@@ -177,29 +202,23 @@ def word_chunks(df: DataFrame, key: str, text: str, size: int, overlap: int) ->
     return rows.select(key, "chunk_index", F.array_join(F.slice("_words", F.col("chunk_index") * step + 1, F.lit(size)), " ").alias("content"))
 
 
-def pack(text: str, size: int, least: int = 30) -> list[str]:
+SENTENCE = re.compile(r"[^。！？!?.\n]*(?:[。！？!?.\n]|\Z)")
+
+
+def pack(text: str | None, size: int, least: int = 30) -> list[str]:
     """Sentences in order, as many in a chunk as fit; a longer sentence is cut; chunks below `least` go."""
     out, held = [], ""
-    sentence = ""
-    for c in text or "":
-        sentence += c
-        if c in "。！？!?.\n":
-            held, out = put(held, sentence, size, out)
-            sentence = ""
-    held, out = put(held, sentence, size, out)
+    for sentence in SENTENCE.findall(text or ""):
+        if len(held) + len(sentence) > size:
+            if held:
+                out.append(held)
+            cut = (len(sentence) - 1) // size * size
+            out += [sentence[i : i + size] for i in range(0, cut, size)]
+            held, sentence = "", sentence[cut:]
+        held += sentence
     return [x.strip() for x in [*out, held] if len(x.strip()) >= least]
 
 
-def put(held: str, sentence: str, size: int, out: list[str]) -> tuple[str, list[str]]:
-    if len(held) + len(sentence) <= size:
-        return held + sentence, out
-    if held:
-        out = [*out, held]
-    while len(sentence) > size:
-        out, sentence = [*out, sentence[:size]], sentence[size:]
-    return sentence, out
-
-
 def sentence_chunks(df: DataFrame, key: str, text: str, size: int = 600) -> DataFrame:
     """(key, chunk_index, content) by pack(), in Arrow batches."""
 
@@ -250,6 +269,12 @@ def heading_groups(chunks: DataFrame, group: str, heading: str, content: str, or
     return marked.withColumn("_n", best).where((F.col("_n") == 1) & ~F.coalesce(table, F.lit(False))).drop("_h", "_large", "_share", "_size", "_n")
 
 
+def alike(a: str, b: str, least: float) -> bool:
+    """Whether the similarity of two texts is above `least`; cheap upper bounds come first."""
+    m = difflib.SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() > least and m.quick_ratio() > least and m.ratio() > least
+
+
 def near_duplicates(chunks: DataFrame, group: str, content: str, order: str, kind: str, threshold: float = 0.80) -> DataFrame:
     """Chunks of each group that no longer chunk contains or resembles.
 
@@ -265,15 +290,15 @@ def near_duplicates(chunks: DataFrame, group: str, content: str, order: str, kin
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
         kept: list[tuple[str, str]] = []
-        rows = []
-        for i in sorted(range(len(pdf)), key=lambda i: (-len(pdf[content].iloc[i]), pdf[order].iloc[i])):
-            text, sort = pdf[content].iloc[i].strip(), pdf[kind].iloc[i]
+        rows, texts, places, kinds = [], pdf[content].tolist(), pdf[order].tolist(), pdf[kind].tolist()
+        for i in sorted(range(len(texts)), key=lambda i: (-len(texts[i]), places[i])):
+            text, sort = texts[i].strip(), kinds[i]
             for other, its in kept:
                 if min(len(text), len(other)) < 30:
                     continue
                 if text in other and len(text) < 0.95 * len(other):
                     break
-                if min(len(text), len(other)) / max(len(text), len(other)) >= 0.6 and difflib.SequenceMatcher(None, text, other).ratio() > limit(sort, its, text, other):
+                if min(len(text), len(other)) / max(len(text), len(other)) >= 0.6 and alike(text, other, limit(sort, its, text, other)):
                     break
             else:
                 kept.append((text, sort))
@@ -291,21 +316,24 @@ def language_mix(text: Column) -> Column:
     return F.when((a >= 0.3) & (b >= 0.3), "mixed").when(a > 0.7, "ja").when(b > 0.7, "en").otherwise("ja")
 
 
+def shared(a: str, b: str) -> float:
+    """The part of the shorter text that lies in blocks common to both, in order."""
+    least = min(len(a), len(b))
+    return sum(m.size for m in difflib.SequenceMatcher(None, a, b).get_matching_blocks()) / least if least else 0.0
+
+
 def overlapping(chunks: DataFrame, group: list[str], content: str, order: str, most: float = 0.6) -> DataFrame:
     """Chunks of a page without those that repeat the last one kept; of two the longer stays.
 
     What is compared depends on what was kept, so a page is one call.
     """
 
-    def share(a: str, b: str) -> float:
-        least = min(len(a), len(b))
-        return sum(m.size for m in difflib.SequenceMatcher(None, a, b).get_matching_blocks()) / least if least else 0.0
-
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, kept = pdf.sort_values(order), []
-        for i, text in enumerate(pdf[content]):
-            if kept and share(pdf[content].iloc[kept[-1]], text) > most:
-                if len(text) > len(pdf[content].iloc[kept[-1]]):
+        texts = pdf[content].tolist()
+        for i, text in enumerate(texts):
+            if kept and shared(texts[kept[-1]], text) > most:
+                if len(text) > len(texts[kept[-1]]):
                     kept[-1] = i
             else:
                 kept.append(i)
@@ -314,17 +342,25 @@ def overlapping(chunks: DataFrame, group: list[str], content: str, order: str, m
     return chunks.groupBy(*group).applyInPandas(keep, chunks.schema)
 
 
-def without_repeated_sentences(text: Column, least: int = 20) -> Column:
-    """A text of three sentences and more with each longer sentence once."""
-    parts = F.transform(F.split(text, "(?<=[。！？])"), strip)
-    parts = F.filter(parts, lambda x: x != "")
-    seen = F.filter(parts, lambda x, i: (F.length(x) < least) | (F.array_position(parts, x) == i + 1))
-    return F.when(F.size(parts) >= 3, F.array_join(seen, "")).otherwise(text)
-
-
 def standard_chunks(*kinds: DataFrame) -> DataFrame:
     """Chunks of several origins as one table; columns that an origin lacks are null."""
     out = kinds[0]
     for k in kinds[1:]:
         out = out.unionByName(k, allowMissingColumns=True)
     return out
+
+
+def merged_metadata(old: Column, new: Column) -> Column:
+    """A map with the entries of both; the newer value of a key counts. Null maps have none."""
+    none = F.create_map().cast("map<string,string>")
+    a, b = F.coalesce(old, none), F.coalesce(new, none)
+    own = F.transform_values(a, lambda k, v: F.coalesce(F.element_at(b, k), v))
+    return F.map_concat(own, F.map_filter(b, lambda k, _: ~F.map_contains_key(a, k)))
+
+
+def distribution(rows: DataFrame, columns: list[str], n_tokens: Column, vector: Column) -> DataFrame:
+    """(kind, value, n, min, max and mean tokens, percent worth a vector) of each value of some columns, in one pass."""
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c in columns]))
+    sized = rows.select(values.alias("v"), n_tokens.alias("k"), vector.alias("w"))
+    pct = F.round(100.0 * F.count_if("w") / F.count(F.lit(1)), 4)
+    return sized.groupBy("v.kind", "v.value").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("min_tokens"), F.max("k").alias("max_tokens"), F.round(F.avg("k"), 4).alias("avg_tokens"), pct.alias("vector_pct"))

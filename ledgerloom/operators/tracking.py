@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 STATES = ("pending", "processing", "completed", "failed", "retry")
@@ -52,3 +53,45 @@ def report(states: DataFrame) -> DataFrame:
 
 def by_method(states: DataFrame) -> DataFrame:
     return states.where(F.col("method").isNotNull()).groupBy("method").agg(F.count(F.lit(1)).alias("n"), F.sum("chunks").alias("chunks"), F.avg("duration").alias("avg_duration"))
+
+
+#: Which state may follow which; an item without a state is pending.
+FOLLOWS = {"pending": ("processing",), "processing": ("completed", "failed", "retry"), "completed": ("processing",), "failed": ("processing", "retry"), "retry": ("processing",)}
+
+
+def violations(events: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Events whose state is unknown or may not follow the one before it, with that one."""
+    before = F.coalesce(F.lag("status").over(W.partitionBy(key).orderBy(*order)), F.lit("pending"))
+    rows = events.withColumn("status_before", before)
+    allowed = F.lit(False)
+    for a, after in FOLLOWS.items():
+        allowed = allowed | ((F.col("status_before") == a) & F.col("status").isin(*after))
+    return rows.where(F.col("status").isNull() | ~F.col("status").isin(*STATES) | ~allowed)
+
+
+def reset(states: DataFrame, key: str, ids: DataFrame | None = None) -> DataFrame:
+    """Items named by id, or all failed ones, are pending again without their error."""
+    if ids is None:
+        named = F.col("status") == "failed"
+        rows = states
+    else:
+        rows = states.join(ids.select(F.col(key), F.lit(True).alias("_named")).distinct(), key, "left")
+        named = F.coalesce("_named", F.lit(False))
+    out = rows.withColumns({"status": F.when(named, "pending").otherwise(F.col("status")), "error": F.when(~F.coalesce(named, F.lit(False)), F.col("error"))})
+    return out if ids is None else out.drop("_named")
+
+
+def rates(states: DataFrame, total: int | None = None) -> DataFrame:
+    """Files and chunks a second over the time worked, and the seconds left at that rate; null without time."""
+    n, seconds = F.count_if(F.col("status").isin("completed", "failed")), F.sum("duration")
+    rate = lambda x: F.when(seconds > 0, x / seconds)
+    all_ = F.count(F.lit(1)) if total is None else F.lit(total)
+    return states.agg(n.alias("n"), rate(n).alias("files_per_second"), rate(F.sum("chunks")).alias("chunks_per_second"), F.when((seconds > 0) & (n > 0), (all_ - n) * seconds / n).alias("seconds_left"))
+
+
+def to_download(disclosures: DataFrame, first=None, last=None) -> DataFrame:
+    """Disclosures with an address whose file is not there yet, of a span of days if given."""
+    rows = disclosures.where(F.col("xbrl_url").isNotNull() & F.col("xbrl_path").isNull())
+    if first is not None:
+        rows = rows.where(F.col("disclosure_date") >= first)
+    return rows if last is None else rows.where(F.col("disclosure_date") <= last)

@@ -170,3 +170,68 @@ def labels(links: DataFrame) -> DataFrame:
     by_arc = arc.join(loc, ["package", "from"]).join(text, ["package", "to"]).groupBy("package", "local_name").agg(F.max_by("label", arc["position"]).alias("by_arc"))
     guess = text.withColumn("local_name", F.regexp_extract("to", r"^[^_]+_(.+?)(?:_label.*)?$", 1)).where("local_name <> ''").groupBy("package", "local_name").agg(F.min_by("first", "at").alias("by_id"))
     return by_arc.join(guess, ["package", "local_name"], "full").select("package", "local_name", F.coalesce("by_arc", "by_id").alias("label"))
+
+
+def url_id(url: Column) -> Column:
+    """The id that the last part of an address names, null if it is no `.pdf`."""
+    return F.nullif(F.regexp_extract(F.element_at(F.split(url, "/"), -1), r"(?s)^(.*)\.pdf$", 1), F.lit(""))
+
+
+def mirror_url(base: str, code: Column, identifier: Column) -> Column:
+    return F.concat(F.lit(base.rstrip("/") + "/"), code, F.lit("/"), identifier, F.lit(".pdf"))
+
+
+def flag(text: Column) -> Column:
+    """A yes or no as reports write it; empty: unknown."""
+    return F.when(text != "", F.lower(text).isin("true", "1", "yes", "y"))
+
+
+def user_period(text: Column) -> Column:
+    """(year, quarter) of a period as people write it; the fourth quarter if none is named, null without a year."""
+    t = F.replace(F.upper(text), F.lit("\u3000"), F.lit(" "))
+    number = lambda p: F.nullif(F.regexp_extract(t, p, 1), F.lit("")).cast("int")
+    year = F.coalesce(number(r"(\d{4})"), number(r"令和(\d+)年") + 2018, number(r"平成(\d+)年") + 1988)
+    wide = F.translate(F.regexp_extract(t, "第([１-４])四半期", 1), "１２３４", "1234")
+    half = F.when(t.contains("中間") | t.contains("INTERIM") | t.contains("HALF"), 2)
+    quarter = F.coalesce(number("Q([1-4])"), number("([1-4])Q"), number("-([1-4])"), number("第([1-4])四半期"), F.nullif(wide, F.lit("")).cast("int"), half, F.lit(4))
+    return F.when(year != 0, F.struct(year.alias("year"), quarter.alias("quarter")))
+
+
+def summary_quarter(header: Column, context: Column) -> Column:
+    """The quarter of a summary: that of its header if it is one to four, else by its context's id, 99 for a year."""
+    told = F.when(F.trim(header).rlike(r"^\d+$"), F.trim(header).try_cast("int"))
+    low = F.lower(context)
+    by_id = F.when(low.contains("accumulatedq3"), 3).when(low.contains("accumulatedq2"), 2).when(low.contains("accumulatedq1"), 1).otherwise(99)
+    return F.when(told.between(1, 4), told).otherwise(by_id)
+
+
+def filled(first: DataFrame, second: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows of both by key: fields of the first, those it lacks from the second; the second as a whole where the first has no row."""
+    other = second.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
+    return first.join(other, key, "full").select(key, *[F.coalesce(c, f"_{c}").alias(c) for c in columns])
+
+
+def is_valid_context(context: Column, period: Column) -> Column:
+    """Whether a context is of the current period and consolidated, or names no member; by its kind of period."""
+    low = F.lower(context)
+    whole = low.contains("consolidatedmember") | ~low.contains("member")
+    flow = (period == "duration") & (low.contains("current") | low.contains("result")) & low.contains("duration")
+    stock = (period == "instant") & low.contains("current") & low.contains("instant")
+    return ~low.contains("nonconsolidatedmember") & whole & (flow | stock)
+
+
+def with_figures(sections: DataFrame, role: str) -> DataFrame:
+    """Sections without narrative ones, which hold no facts."""
+    return sections.where(F.col(role).isNull() | (F.col(role) != "ナラティブ"))
+
+
+def primary_file(files: DataFrame, key: str, path: str) -> DataFrame:
+    """The page of each package whose name, whatever its folder, comes first."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return files.where(F.lower(name).rlike(r"\.html?$")).groupBy(key).agg(F.min_by(path, F.struct(name, F.col(path))).alias(path))
+
+
+def is_statement_file(path: Column) -> Column:
+    """Whether a file of a package holds statements: instances, inline pages and XML but for linkbases."""
+    low = F.lower(path)
+    return low.endswith(".xbrl") | low.endswith("-ixbrl.htm") | (low.endswith(".xml") & ~low.rlike("def|pre|cal|lab"))

@@ -63,7 +63,6 @@ class Tables:
         key, year = F.col("o_orderkey"), F.year("o_orderdate")
         return (
             self.raw("orders")
-            .where(key % 3 != 0)
             .select(
                 key.alias("id"),
                 F.col("o_custkey").alias("company_id"),
@@ -84,20 +83,21 @@ class Tables:
 
     def sections(self) -> DataFrame:
         role = F.when(F.col("l_returnflag") == "R", "Summary").when(F.col("l_returnflag") == "A", "Balance sheet").otherwise("Profit-and-loss")
-        rows = self.raw("lineitem").where(F.col("l_orderkey") % 3 != 0).select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
+        rows = self.raw("lineitem").select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
         return rows.select(self._section_id().alias("id"), F.col("l_orderkey").alias("filing_id"), role.alias("statement_role_en"), F.concat(F.lower("l_returnflag"), F.lit("/"), F.lower("l_linestatus"), F.lit("-ixbrl.htm")).alias("rel_path"))
 
     def facts(self) -> DataFrame:
         context = F.element_at(F.array(*map(F.lit, CONTEXTS)), F.col("l_linenumber"))
         unit = F.when(F.col("l_linestatus") == "O", 1).when(F.col("l_linenumber") % 2 == 0, 4).otherwise(9)
         tie = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-        rows = self.raw("lineitem").where(F.col("l_orderkey") % 3 != 0)
-        return rows.select(self._section_id().alias("section_id"), (F.col("l_partkey") % 50).cast("int").alias("concept_id"), context.alias("context_id"), unit.alias("unit_id"), F.col("l_extendedprice").cast("decimal(38,2)").alias("value"), tie.alias("fact_order"))
+        return self.raw("lineitem").select(self._section_id().alias("section_id"), (F.col("l_partkey") % 50).cast("int").alias("concept_id"), context.alias("context_id"), unit.alias("unit_id"), F.col("l_extendedprice").cast("decimal(38,2)").alias("value"), tie.alias("fact_order"))
 
     def concepts(self) -> DataFrame:
-        key = F.col("p_partkey")
-        prefix = F.element_at(F.array(*map(F.lit, ("jppfs_cor", "jpcrp_cor", "jpdei_cor", "tse-ed-t"))), (key % 4 + 1).cast("int"))
-        return self.raw("part").where(key.between(1, 50)).select((key % 50).cast("int").alias("id"), prefix.alias("taxonomy_prefix"), F.col("p_name").alias("local_name"), F.when(key % 3 != 0, F.concat_ws(" ", "p_brand", "p_type")).alias("std_label_en"), F.lower("p_type").alias("item_type"))
+        """Fifty concepts, each of all parts whose key leaves its number."""
+        key = F.col("id")
+        rows = self.raw("part").groupBy((F.col("p_partkey") % 50).cast("int").alias("id")).agg(F.min("p_name").alias("local_name"), F.max(F.concat_ws(" ", "p_brand", "p_type")).alias("label"), F.min(F.lower("p_type")).alias("item_type"))
+        prefix = F.element_at(F.array(*map(F.lit, ("jppfs_cor", "jpcrp_cor", "jpdei_cor", "tse-ed-t"))), key % 4 + 1)
+        return rows.select("id", prefix.alias("taxonomy_prefix"), "local_name", F.when(key % 3 != 0, F.col("label")).alias("std_label_en"), "item_type")
 
     def units(self) -> DataFrame:
         return self.literal(UNITS, "id INT, currency STRING, scale INT, unit_code STRING")
@@ -131,22 +131,21 @@ filings AS (
     CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 5 <= 2 THEN 'JGAAP' ELSE 'IFRS' END AS accounting_standard,
     CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey % 7 < 4 END AS has_consolidated,
     CASE o_orderstatus WHEN 'P' THEN TRUE WHEN 'F' THEN FALSE END AS amendment_flag
-  FROM orders WHERE o_orderkey % 3 <> 0),
+  FROM orders),
 sections AS (
   SELECT DISTINCT {SECTION_ID} AS id, l_orderkey AS filing_id,
     CASE l_returnflag WHEN 'R' THEN 'Summary' WHEN 'A' THEN 'Balance sheet' ELSE 'Profit-and-loss' END AS statement_role_en,
     lower(l_returnflag) || '/' || lower(l_linestatus) || '-ixbrl.htm' AS rel_path
-  FROM lineitem WHERE l_orderkey % 3 <> 0),
+  FROM lineitem),
 facts AS (
   SELECT {SECTION_ID} AS section_id, CAST(l_partkey % 50 AS INTEGER) AS concept_id,
     list_extract([{", ".join(f"'{c}'" for c in CONTEXTS)}], l_linenumber) AS context_id,
     CASE WHEN l_linestatus = 'O' THEN 1 WHEN l_linenumber % 2 = 0 THEN 4 ELSE 9 END AS unit_id,
     CAST(l_extendedprice AS DECIMAL(38, 2)) AS value,
     l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate
-  FROM lineitem WHERE l_orderkey % 3 <> 0),
+  FROM lineitem),
 concepts AS (
-  SELECT CAST(p_partkey % 50 AS INTEGER) AS id, list_extract(['jppfs_cor', 'jpcrp_cor', 'jpdei_cor', 'tse-ed-t'], p_partkey % 4 + 1) AS taxonomy_prefix,
-    p_name AS local_name, CASE WHEN p_partkey % 3 <> 0 THEN p_brand || ' ' || p_type END AS std_label_en, lower(p_type) AS item_type
-  FROM part WHERE p_partkey BETWEEN 1 AND 50),
+  SELECT id, list_extract(['jppfs_cor', 'jpcrp_cor', 'jpdei_cor', 'tse-ed-t'], id % 4 + 1) AS taxonomy_prefix, local_name, CASE WHEN id % 3 <> 0 THEN label END AS std_label_en, item_type
+  FROM (SELECT CAST(p_partkey % 50 AS INTEGER) AS id, min(p_name) AS local_name, max(p_brand || ' ' || p_type) AS label, min(lower(p_type)) AS item_type FROM part GROUP BY 1)),
 units AS (SELECT * FROM (VALUES {_values(UNITS)}) t(id, currency, scale, unit_code)),
 contexts AS (SELECT * FROM (VALUES {_values(DIMS)}) t(context_id, period_base, period_type, fiscal_span, consolidated, forecast_variant))"""

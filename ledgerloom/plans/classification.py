@@ -73,7 +73,7 @@ def classification_stats(t):
     return out.withColumns({c: F.col(c).cast("double") for c in ("other_pct", "classified_pct")})
 
 
-@query("disclosures_classified", LABELLED + """, lab AS (SELECT o_orderkey AS id, l.category, l.subcategory, o_orderdate AS told FROM orders JOIN labelled l ON l.p_partkey = o_orderkey % 200 + 1 WHERE o_orderkey % 5 <> 0)
+@query("disclosures_classified", LABELLED + """, lab AS (SELECT i.l_orderkey AS id, l.category, l.subcategory, i.l_shipdate AS told FROM lineitem i JOIN labelled l ON l.p_partkey = i.l_partkey)
 SELECT d.id, d.title, c.categories, c.subcategories, c.last_labeled_at FROM disclosures d LEFT JOIN (
   SELECT id, '[' || string_agg(DISTINCT '{"en":"' || category || '","jp":' || CASE WHEN category = 'SIZE' THEN 'null' ELSE '"' || lower(category) || '"' END || '}', ',' ORDER BY '{"en":"' || category || '","jp":' || CASE WHEN category = 'SIZE' THEN 'null' ELSE '"' || lower(category) || '"' END || '}') || ']' AS categories,
     '[' || string_agg(DISTINCT '{"en":"' || subcategory || '","jp":"' || lower(subcategory) || '"}', ',' ORDER BY '{"en":"' || subcategory || '","jp":"' || lower(subcategory) || '"}') || ']' AS subcategories, CAST(max(told) AS VARCHAR) AS last_labeled_at FROM lab GROUP BY id) c USING (id)""")
@@ -83,8 +83,8 @@ def disclosures_classified(t):
     subs = t.literal([(i, s, s.lower()) for i, (s, _, _) in enumerate(SUBS)], "id INT, name STRING, name_jp STRING")
     ids = lambda table, n, i: table.select(F.col("name").alias(n), F.col("id").alias(i))
     rows = labelled(t).join(ids(categories, "category", "category_id"), "category").join(ids(subs, "subcategory", "subcat_id"), "subcategory", "left")
-    orders = t.raw("orders").where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").alias("disclosure_id"), F.col("o_orderdate").alias("labeled_at"), (F.col("o_orderkey") % 200 + 1).alias("p_partkey"))
-    labels = orders.join(rows, "p_partkey").select("disclosure_id", "category_id", "subcat_id", "labeled_at")
+    items = t.raw("lineitem").select(F.col("l_orderkey").alias("disclosure_id"), F.col("l_shipdate").alias("labeled_at"), F.col("l_partkey").alias("p_partkey"))
+    labels = items.join(rows, "p_partkey").select("disclosure_id", "category_id", "subcat_id", "labeled_at")
     return views.disclosures_classified(t.disclosures(), labels, categories, subs).select("id", "title", "categories", "subcategories", F.col("last_labeled_at").cast("string").alias("last_labeled_at"))
 
 

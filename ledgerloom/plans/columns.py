@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import columns
 from ledgerloom.operators import text
 from ledgerloom.plans.bind import Tables
+from ledgerloom.plans.texts import LINES, lines
 
 QUERIES, ORACLES = {}, {}
 
@@ -60,13 +61,9 @@ def file_choice(t):
     return t.raw("orders").select("o_orderkey", chosen["method"].alias("method"))
 
 
-@query("document_kind", "SELECT source, CASE WHEN m > 200 AND s > 0.5 THEN 'text' WHEN m < 50 AND s < 0.3 THEN 'image' ELSE 'mixed' END AS kind FROM (SELECT source, avg(n) AS m, count(*) FILTER (WHERE n > 50) / count(*) AS s FROM (SELECT source, length(trim(CASE WHEN doc_id % 3 = 0 THEN left(text, 40) ELSE left(text, 300) END)) AS n, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS page FROM documents) WHERE page < 3 GROUP BY 1)")
+@query("document_kind", f"WITH {LINES} SELECT doc_id, CASE WHEN m > 200 AND s > 0.5 THEN 'text' WHEN m < 50 AND s < 0.3 THEN 'image' ELSE 'mixed' END AS kind FROM (SELECT doc_id, avg(length(trim(content))) AS m, count(*) FILTER (WHERE length(trim(content)) > 50) / count(*) AS s FROM lines WHERE line < 3 GROUP BY 1)")
 def document_kind(t):
-    from pyspark.sql import Window as W
-
-    cut = F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 40)).otherwise(F.substring("text", 1, 300))
-    pages = t.raw("documents").select("source", cut.alias("text"), (F.row_number().over(W.partitionBy("source").orderBy("doc_id")) - 1).alias("page"))
-    return columns.document_kind(pages, "source", "page", "text")
+    return columns.document_kind(lines(t), "doc_id", "line", "content")
 
 
 @query("longest_context", "SELECT l_orderkey, max(l_linenumber) FILTER (WHERE rn = 1) AS l_linenumber FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber) AS rn FROM lineitem) GROUP BY 1")
@@ -85,11 +82,9 @@ NAMES = [("of the", "outlook"), ("une", "notes")]
 WORDS = [("segment_analysis", ["tion"]), ("per_share_info", ["der"])]
 
 
-@query("heading_sections", "SELECT doc_id, CASE WHEN h = '' THEN 'unknown' WHEN h = 'ofthe' THEN 'outlook' WHEN contains('of the', h) OR contains(h, 'of the') THEN 'outlook' WHEN contains('une', h) OR contains(h, 'une') THEN 'notes' WHEN contains(lower(h), 'tion') THEN 'segment_analysis' WHEN contains(lower(h), 'der') THEN 'per_share_info' ELSE 'general' END AS section FROM (SELECT doc_id, regexp_replace(CASE WHEN doc_id % 9 = 0 THEN ' ' WHEN doc_id % 9 = 1 THEN 'une ' ELSE left(text, 40) END, '[ \\t\\n\\r\\f\\v]+', '', 'g') AS h FROM documents)".replace("WHEN h = 'ofthe' THEN 'outlook' ", ""))
+@query("heading_sections", f"WITH {LINES} SELECT doc_id, line, CASE WHEN h = '' THEN 'unknown' WHEN contains('of the', h) OR contains(h, 'of the') THEN 'outlook' WHEN contains('une', h) OR contains(h, 'une') THEN 'notes' WHEN contains(lower(h), 'tion') THEN 'segment_analysis' WHEN contains(lower(h), 'der') THEN 'per_share_info' ELSE 'general' END AS section FROM (SELECT doc_id, line, regexp_replace(content, '[ \\t\\n\\r\\f\\v]+', '', 'g') AS h FROM lines)")
 def heading_sections(t):
-    key = F.col("doc_id") % 9
-    heading = F.when(key == 0, " ").when(key == 1, "une ").otherwise(F.substring("text", 1, 40))
-    return t.raw("documents").select("doc_id", columns.heading_section(heading, NAMES, WORDS).alias("section"))
+    return lines(t).select("doc_id", "line", columns.heading_section(F.col("content"), NAMES, WORDS).alias("section"))
 
 
 @query("page_overlap")

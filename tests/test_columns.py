@@ -29,12 +29,6 @@ def test_rebased(spark, path, expected):
     assert column(spark, path, lambda c: columns.rebased(c, "old", "new")) == expected
 
 
-def test_repeated_sentences(spark):
-    a, b = "これは二十文字を超える長い文章の例でありますから。", "別の長い文章で、これも二十文字を超えています。"
-    assert column(spark, a + b + a, text.without_repeated_sentences) == a + b
-    assert column(spark, a + a, text.without_repeated_sentences) == a + a
-
-
 def test_overlaps_keep_the_longer(spark):
     rows = [(1, 0, "abcdefghij" * 5), (1, 1, "abcdefghij" * 6), (1, 2, "something else entirely"), (2, 0, "abcdefghij" * 5)]
     out = text.overlapping(spark.createDataFrame(rows, "p int, i int, t string"), ["p"], "t", "i")

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from conftest import SF
@@ -16,7 +17,7 @@ def plain(df: pd.DataFrame) -> list[tuple]:
     def one(v):
         if v is None or (not isinstance(v, (list, dict, str)) and pd.isna(v)):
             return ""
-        if isinstance(v, bool) or type(v).__name__ == "bool_":
+        if isinstance(v, (bool, np.bool_)):
             return str(int(v)) + ".000000"
         return f"{float(v):.6f}" if isinstance(v, (int, float)) or type(v).__name__.startswith(("int", "float")) else str(v)
 
