@@ -29,7 +29,7 @@ def shared_root(spark: SparkSession) -> str:
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get().rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+    if not on_one_machine(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = tempfile.mkdtemp(prefix="ledgerloom-")
     atexit.register(shutil.rmtree, root, True)
@@ -37,6 +37,10 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def on_one_machine(spark: SparkSession) -> bool:
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
+
+
 def new_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_root(spark)}/ledgerloom-{what}-{uuid.uuid4().hex}"
 
@@ -45,8 +49,9 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and outlives executors."""
     folder = new_folder(df.sparkSession, what)
     df.write.parquet(folder)
-    gc.collect()
-    df.sparkSession._jvm.System.gc()  # shuffle files of what is written now go with the objects that own them
+    if not on_one_machine(df.sparkSession):
+        gc.collect()
+        df.sparkSession._jvm.System.gc()  # shuffle files of what is written now go with the objects that own them
     out = df.sparkSession.read.schema(df.schema).parquet(folder)
     out.folder = folder
     return out

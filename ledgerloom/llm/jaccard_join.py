@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import id_text, pieces, share, written
+from ledgerloom.llm.common import forget, pieces, share, written
 from ledgerloom.llm.components import components
 from ledgerloom.llm.decontaminate import grams
 
@@ -149,14 +149,53 @@ class Order:
         at = np.argsort(frequent)
         self.frequent, self.counts = frequent[at], counts[at]
 
-    def prefix(self, shingles: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """The first n shingles in order, and the known counts of each (0: not frequent)."""
+    def prefix(self, shingles: np.ndarray, n: int) -> np.ndarray:
+        """The first n shingles in order."""
         count = np.zeros(len(shingles), np.int64)
         if len(self.frequent):
             slot = np.searchsorted(self.frequent, shingles).clip(max=len(self.frequent) - 1)
             count = np.where(self.frequent[slot] == shingles, self.counts[slot], 0)
-        at = np.argsort(count, kind="stable")[:n]
-        return shingles[at], count[at]
+        return shingles[np.argsort(count, kind="stable")[:n]]
+
+
+class Common:
+    """Counts of the shingles of a task's classes, in bounded space.
+
+    Sets are gathered and counted; of more than 2 * `most` shingles the `most` most
+    frequent are kept, so one that a larger share of the sets holds is not lost.
+    Counts decide on the order of shingles alone.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.size, self.waiting = most, 0, []
+        self.token, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, sets) -> None:
+        for s in sets:
+            self.waiting.append(s)
+            self.size += len(s)
+            if self.size > self.most:
+                self.merge()
+
+    def merge(self) -> None:
+        token, count = np.unique(np.concatenate([*self.waiting, np.zeros(0, np.uint64)]), return_counts=True)
+        self.waiting, self.size = [], 0
+        if len(self.token):
+            flat = np.concatenate([self.token, token])
+            order = np.argsort(flat, kind="stable")
+            flat, both = flat[order], np.concatenate([self.count, count])[order]
+            first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+            token, count = flat[first], np.add.reduceat(both, first)
+        if len(token) > 2 * self.most:
+            kept = np.sort(np.argpartition(-count, self.most)[: self.most])
+            token, count = token[kept], count[kept]
+        self.token, self.count = token, count
+
+    def often(self) -> tuple[np.ndarray, np.ndarray]:
+        """(shingles, counts) of those that came twice at least."""
+        self.merge()
+        twice = self.count > 1
+        return self.token[twice], self.count[twice].astype(np.int64)
 
 
 def link(sets: list[np.ndarray], percent: int, label: np.ndarray | None = None) -> np.ndarray:
@@ -352,25 +391,31 @@ def grouped(batches, columns: list[str]):
         yield rows
 
 
-def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, frequent: int, hot: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Steps 1 to 3 of jaccard_components: rows, classes, classes in candidate components, the same with texts."""
+def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, frequent: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Steps 1 to 3 of jaccard_components: rows, classes, classes in candidate components, the same with texts.
+
+    id is a struct of whether the id is null, the id and a hash of the text, so that
+    null ids are equal, come last and lead to their own text, as repeated ids do.
+    """
     spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = id_text(docs, id_col, text_col)
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("own"), F.xxhash64(text).alias("h")).alias("id"), text.alias("text"))
+    kind = texts.schema["id"].dataType.simpleString()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def survey(batches):
-        """Each row's class, size and signature, and shingles that several classes of a piece have."""
-        shingler = Shingler(words)
+        """Each row's class, size and signature, and how often the shingles come that most of a task's classes hold."""
+        shingler, common = Shingler(words), Common(max(1024, 4 * frequent))
+        ids = None
         for b in batches:
             for ids, found in pieces(b, 2_000_000):
                 sets = shingler.sets(found)
                 classes = [class_of(s) for s in sets]
-                distinct = {c: s for c, s in zip(classes, sets) if c is not None}
-                token, count = np.unique(np.concatenate([*distinct.values(), np.zeros(0, np.uint64)]), return_counts=True)
-                token, count = token[count > 2], count[count > 2]
-                n, none = len(ids), pa.nulls(len(token))
-                yield pa.record_batch([pa.concat_arrays([ids, none.cast(ids.type)]), pa.array(classes + token.view(np.int64).tolist(), pa.int64()), pa.array([len(s) for s in sets] + count.tolist(), pa.int64()), pa.array([signature(s) if len(s) else None for s in sets] + [None] * len(token), pa.binary()), pa.array([True] * n + [False] * len(token))], names=["id", "c", "n", "bits", "is_row"])
+                common.add({c: s for c, s in zip(classes, sets) if c is not None}.values())
+                yield pa.record_batch([ids, pa.array(classes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary()), pa.array([True] * len(ids))], names=["id", "c", "n", "bits", "is_row"])
+        if ids is not None:
+            token, count = common.often()
+            yield pa.record_batch([pa.nulls(len(token), ids.type), pa.array(token.view(np.int64), pa.int64()), pa.array(count, pa.int64()), pa.nulls(len(token), pa.binary()), pa.array([False] * len(token), pa.bool_())], names=["id", "c", "n", "bits", "is_row"])
 
     surveyed = written(texts.mapInArrow(survey, f"id {kind}, c long, n long, bits binary, is_row boolean"), "survey")
     members = surveyed.where("is_row").drop("is_row")
@@ -382,32 +427,27 @@ def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
         seen: set = set()
         for b in batches:
             for _, found in pieces(b, 1_000_000):
-                cols = ([], [], [])
+                cols = ([], [])
                 for s in shingler.sets(found):
                     c = class_of(s)
                     if c is None or c in seen:
                         continue
                     seen.add(c)
-                    token, count = by.prefix(s, int(prefix_length(np.int64(len(s)), percent)))
-                    split = count // hot
-                    for col, x in zip(cols, (token.view(np.int64), np.where(split > 0, 1 + c % np.maximum(split + 1, 1), 0), np.full(len(token), c))):
+                    token = by.prefix(s, int(prefix_length(np.int64(len(s)), percent)))
+                    for col, x in zip(cols, (token.view(np.int64), np.full(len(token), c))):
                         col.append(x)
                 if len(seen) > 500_000:
                     seen.clear()
-                yield pa.record_batch([pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), pa.int64()) for x in cols], names=["token", "part", "c"])
-
-    dealt = texts.mapInArrow(rarest, "token long, part long, c long")
-    least = F.first("c").over(W.partitionBy("token", "part").orderBy("c").rowsBetween(W.unboundedPreceding, 0))
-    near = dealt.withColumn("hub", least).where("c <> hub or part > 0").select("c", "hub", F.when((F.col("part") > 0) & (F.col("c") == F.col("hub")), F.col("token")).alias("token")).distinct()
-    near = written(near, "near")
-    across = near.where("token is not null").withColumn("top", F.min("c").over(W.partitionBy("token"))).where("c <> top").select("c", F.col("top").alias("hub"))
-    stars = near.where("c <> hub").select("c", "hub").unionByName(across).distinct()
-    # A group around a part's least class also needs the classes of the other parts: they hang together through `top`.
-    stars = written(stars, "stars")
+                yield pa.record_batch([pa.array(np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64), pa.int64()) for x in cols], names=["token", "c"])
+
+    # The least class of a shingle is found by partial sums and joined back, so that no shingle, however common, has to meet in one task.
+    dealt = written(texts.mapInArrow(rarest, "token long, c long"), "dealt")
+    hubs = dealt.groupBy("token").agg(F.min("c").alias("hub"), F.max("c").alias("top")).where("hub <> top").select("token", "hub")
+    stars = written(dealt.join(hubs, "token").where("c <> hub").select("c", "hub").distinct(), "stars")
+    forget(dealt)
     classes = members.where("c is not null").groupBy("c").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("rows"))
     sizes = stars.groupBy("hub").agg(F.count(F.lit(1)).alias("k"))
-    large = sizes.where(F.col("k") >= most).select("hub").unionByName(near.where("token is not null").select("hub").unionByName(across.select("hub"))).distinct()
-    large = written(large, "large")
+    large = written(sizes.where(F.col("k") >= most).select("hub"), "large")
     small = stars.join(large, "hub", "left_anti")
     small = small.unionByName(small.select(F.col("hub").alias("c"), "hub").distinct()).join(classes.select("c", "n", "bits"), "c")
 
@@ -425,18 +465,23 @@ def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     weights = placed.groupBy("root").agg(F.sum("n").alias("weight"))
     placed = written(placed.join(weights, "root"), "placed")
     held = written(placed.join(texts.hint("merge"), "id").select("c", "root", "weight", "rows", "text"), "held")  # one plan at every size
+    if held.count() > placed.count():  # rows that are equal in id and text
+        first = held.groupBy("c", "root", "weight", "rows").agg(F.min("text").alias("text"))
+        once = written(first, "held")
+        forget(held)
+        held = once
+    forget(stars, large, candidates)
     return members, classes, placed, held
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 16_384, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, most: int = 16_384, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
     """Components of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
 
-    1. Texts of one set are one class. Shingles that repeat within a task are counted;
-       the `frequent` most frequent ones come last in a common order of shingles.
-    2. The rarest shingles of each class, as many as make sure that linked classes
-       share one, are dealt by shingle; classes that share one form a group around
-       the least of them. Shingles counted more than `hot` times are dealt in parts,
-       whose least classes form a group in turn.
+    1. Texts of one set are one class. Shingles are counted task by task; the
+       `frequent` most frequent ones come last in a common order of shingles.
+    2. Of the rarest shingles of each class, as many as make sure that linked classes
+       share one, the least class is found; classes that share a shingle form a group
+       around it.
     3. In a group, pairs that sizes or bit signatures rule out are dropped, and what
        hangs together stays a block; groups of more than `most` classes stay whole,
        as pairs of each class and the least one.
@@ -448,13 +493,15 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     Shingles and sets are told apart by 64-bit hashes. The order of shingles and the
     bounds on groups affect speed alone.
 
-    Null and empty texts: no shingles, linked with nothing. Repeated rows and equal
-    texts: one component. Null ids: no one's component_id. Ties cannot matter.
-    Other columns are ignored.
+    Null and empty texts: no shingles, linked with nothing. Very long texts are hashed
+    in steps of 1 MB; their sets are held. Repeated rows and equal texts: one
+    component. Null and repeated ids: each row is its own text, which links as any
+    other; a null id is no one's component_id unless all of a component are null.
+    Ties cannot matter. An empty table: no rows. Other columns are ignored.
 
     Returns id_col, n_shingles, component_id, the smallest id of the component.
     """
-    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, hot, most)
+    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, most)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def linked(places: DataFrame) -> DataFrame:
@@ -482,13 +529,14 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         links = links.unionByName(written(linked(last), "links"))
         links = components(links).select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = classes.join(links.select(F.col("a").alias("c"), F.col("b").alias("root")).distinct(), "c", "left").select("c", "id", F.coalesce("root", "c").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("id").alias("component_id"))
+    smallest = roots.groupBy("root").agg(F.min("id.own").alias("component_id"))
     named = written(roots.join(smallest, "root").select("c", "component_id"), "named")
+    forget(placed, held)
     out = members.select("id", "c", "n").join(named, "c", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    return out.select(F.col("id.own").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id.own").alias("component_id"))
 
 
-def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, hot: int = 100_000, most: int = 16_384, block_shingles: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, most: int = 16_384, block_shingles: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """All links of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
 
     Candidates are those of jaccard_components. All pairs of classes in a block that
@@ -502,7 +550,7 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     (a, b), each pair once. The first is summed up block by block and does not hold
     the links; the second is only worked out where it is used.
     """
-    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, hot, most)
+    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, most)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fits = F.col("weight") <= 2 * block_shingles
     none = F.lit(None).cast("long")
@@ -520,9 +568,9 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     named = classes.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").join(near, "c", "left")
     named = named.select("c", "id", F.coalesce("root", "c").alias("root"), (F.col("rows") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
     named = written(named, "counted")
-    named = named.join(named.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("c", "component_id", "n_links")
+    named = named.join(named.groupBy("root").agg(F.min("id.own").alias("component_id")), "root").select("c", "component_id", "n_links")
     out = members.select("id", "c", "n").join(named, "c", "left")
-    out = out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("c").alias("class_id"))
+    out = out.select(F.col("id.own").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id.own").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("c").alias("class_id"))
     return out, links
 
 

@@ -87,7 +87,7 @@ def reach(data):
     return sorted(((data[i][0], len(sets[i]), least[find(i)] if sets[i] else data[i][0]) for i in range(len(data))), key=str)
 
 
-@pytest.mark.parametrize("options", [{}, {"frequent": 0}, {"hot": 2}, {"most": 3}, {"block_shingles": 40}, {"block_shingles": 40, "rounds": 0, "most": 2, "hot": 3}])
+@pytest.mark.parametrize("options", [{"frequent": 0}, {"most": 3}, {"block_shingles": 40}, {"block_shingles": 40, "rounds": 0, "most": 2, "frequent": 1}])
 def test_jaccard_components(docs, options):
     data = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
     out = jaccard_join.jaccard_components(docs, **options).select("doc_id", "n_shingles", "component_id")
@@ -100,10 +100,32 @@ def test_jaccard_chains_and_thresholds(spark):
     chain = [(i, " ".join(base[i * 2 : i * 2 + 40])) for i in range(10)]  # each links to its neighbours alone
     near = [(100 + k, " ".join([*(f"w{i}" for i in range(24 - k)), *(f"v{k}{i}" for i in range(k))])) for k in range(6)]
     df = spark.createDataFrame(chain + near, "doc_id long, text string")
-    for options in ({}, {"block_shingles": 30}, {"most": 2}):
+    for options in ({}, {"block_shingles": 30, "most": 2}):
         assert sorted(map(tuple, jaccard_join.jaccard_components(df, **options).collect()), key=str) == reach(chain + near)
 
 
+def test_rows_without_an_id_link_too(spark):
+    rng = random.Random(4)
+    base = [word(rng, "en") + str(i) for i in range(70)]
+    part = lambda i: " ".join(base[i * 3 : i * 3 + 40])
+    rows = [(7, part(0)), (None, part(1)), (5, part(2)), (None, part(1)), (None, part(1)), (9, part(3)), (9, part(6)), (9, part(5)), (None, part(4)), (None, "alone with no id at all here"), (None, None), (3, "")]
+    rows += [(None, " ".join(f"q{i}" for i in range(k, k + 50))) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = reach(rows)
+    assert (None, 36, 5) in expected
+    assert sorted(map(tuple, jaccard_join.jaccard_components(df).collect()), key=str) == expected
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.op3(df).collect()), key=str) == expected
+
+
+def test_common_shingles_are_kept_in_bounded_space():
+    rng = np.random.default_rng(2)
+    common = jaccard_join.Common(500)
+    for _ in range(200):  # 7 and 8 come once in every set, beside others that never come again
+        common.add([np.unique(np.concatenate([rng.integers(0, 2**60, 100).astype(np.uint64), np.array([7, 8], np.uint64)]))])
+        assert len(common.token) <= 1000 and common.size <= 602
+    assert dict(zip(*(x.tolist() for x in common.often()))) == {7: 200, 8: 200}
+
+
 def test_link_equals_all_pairs():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 30, rng.integers(1, 25))).astype(np.uint64) for _ in range(200)]
@@ -116,7 +138,7 @@ def test_link_equals_all_pairs():
                 assert root[i] == root[j] and bits[i] == bits[j]
 
 
-@pytest.mark.parametrize("options", [{}, {"block_shingles": 200}, {"most": 2}])
+@pytest.mark.parametrize("options", [{}, {"block_shingles": 200, "most": 2}])
 def test_all_links_are_counted(spark, docs, options):
     rng = random.Random(8)
     base = [word(rng, "en") + str(i) for i in range(90)]
