@@ -316,12 +316,44 @@ def test_shards(spark, docs, tmp_path):
     with pytest.raises(sharding.CommitConflict):
         store.commit([], first)
     assert store.versions()[-1] == first + 1
-    store.vacuum()
+    store.vacuum()  # all is younger than the grace period
+    assert store.read(version=first).count() == docs.count()
+    store.vacuum(grace_seconds=-10)
     assert store.read().count() == docs.count() and store.versions() == [first + 1]
     told = store.with_shards(["doc_id"]).groupBy("shard_id", "shard_rows").count().collect()
     assert all(r["count"] == r["shard_rows"] for r in told)
 
 
+def test_shards_of_two_writers(spark, docs, tmp_path, monkeypatch):
+    root = str(tmp_path / "store")
+    one, two = (sharding.ShardStore(spark, root, target_bytes=12_000, least_bytes=1_000, fanout=2, part_shards=3) for _ in range(2))
+    one.append(docs.limit(10), rows_per_shard=2)
+    first = sharding.ShardStore.parts
+
+    def late(self, version=None):  # the other writer commits after this one has looked, and a vacuum comes in between
+        monkeypatch.setattr(sharding.ShardStore, "parts", first)
+        two.vacuum()
+        two.append(docs.limit(4))
+        return first(self, version)
+
+    monkeypatch.setattr(sharding.ShardStore, "parts", late)
+    one.append(docs.limit(7), rows_per_shard=2)
+    assert one.read().count() == 21 and one.versions() == [1, 2, 3]
+    last = one._last()
+    with pytest.raises(sharding.CommitConflict):
+        one.commit([], last)
+    assert one.compact() == last + 1 and one.read().count() == 21
+    assert all(len(one.part(p["part"])) <= 3 for p in one.parts())
+
+
+def test_shards_keep_odd_columns_and_long_texts(spark, tmp_path):
+    rows = [(1, "x" * 2_000_000, 5, 6, "m"), (1, None, None, None, None), (None, "", 7, 8, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard_id long, shard_rows long, _metadata string")
+    out = sharding.shard(df, ["doc_id", "text", "shard_id", "_metadata"], root=str(tmp_path / "odd"), rows_per_shard=1)
+    assert out.columns == ["doc_id", "text", "_metadata", "shard_version", "shard_id", "shard_bytes", "shard_rows"]
+    assert sorted((r["doc_id"] or 0, len(r["text"] or ""), r["_metadata"] or "") for r in out.collect()) == [(0, 0, "n"), (1, 0, ""), (1, 2_000_000, "m")]
+
+
 def test_merge_plan():
     plan = sharding.plan_merges([10] * 30 + [200] * 9 + [60], target=100, least=5, fanout=4)
     assert sorted(i for g in plan for i in g) == list(range(30)) and all(len(g) <= 10 for g in plan)
