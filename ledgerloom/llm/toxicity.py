@@ -10,6 +10,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import held_out, pieces, share, with_kept
@@ -35,10 +36,11 @@ class Chains:
     def marginals(self, energy: np.ndarray, move: np.ndarray, start: np.ndarray, pairs: bool = False):
         """Of each token, the probability of state 1 by forward-backward; with pairs also expected moves.
 
-        energy: log-odds of state 1 by token; move: 2 x 2 weights; start: weights of
+        energy: log-odds of state 1 by token, between -20 and 20 (beyond, a token is as
+        good as certain); move: 2 x 2 weights; start: weights of
         the state before the first token. Messages are ratios of the two states. They
         pass over products of the tokens' 2 x 2 matrices, block by block, and then
-        inside all blocks at once; nothing is cut off.
+        inside all blocks at once, from end to end of each text.
         """
         (a, b), (c, d) = move.tolist()
         n = self.real.shape[1]
@@ -128,7 +130,7 @@ def summary(lengths: list[int], chance: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n)), most, np.log1p(total), np.log1p(100 * total / (n + 10))], 1)
 
 
-def label_tokens(tokens: list[list[str]], toxic: np.ndarray, least: int = 5, ratio: float = 8.0) -> tuple[dict[str, int], set[str]]:
+def label_tokens(tokens: list[list[str]], toxic: np.ndarray, most: int = 40_000, least: int = 5, ratio: float = 8.0) -> tuple[dict[str, int], set[str]]:
     """(numbers of features, features that mark a word as toxic) from labels of whole texts.
 
     A word is toxic in a toxic text if it has a feature that toxic texts hold
@@ -153,16 +155,16 @@ def label_tokens(tokens: list[list[str]], toxic: np.ndarray, least: int = 5, rat
             if max(0.0, a - 1.64 * a**0.5) / n[1] > ratio * (inside[0][f] + 0.5) / n[0]:
                 bad.add(f)
     common = [f for f, c in sorted((inside[0] + inside[1]).items(), key=lambda x: (-x[1], x[0])) if c >= 3 and f not in bad]
-    return {f: i for i, f in enumerate([*sorted(bad), *common][:40_000])}, bad
+    return {f: i for i, f in enumerate([*sorted(bad), *common][:most])}, bad
 
 
-def fit(rows: list[tuple[str | None, int]], prior: float, *, rounds: int = 40, ridge: float = 1e-3) -> Model | None:
+def fit(rows: list[tuple[str | None, int]], prior: float, *, most_features: int = 40_000, rounds: int = 40, ridge: float = 1e-3) -> Model | None:
     """Fit on (text, toxic); prior: the share of toxic rows among all labelled ones."""
     toxic = np.array([y for _, y in rows], int)
     if len(set(toxic.tolist())) < 2:
         return None
     tokens = [[w.lower() for w in TOKEN.findall(t or "")] for t, _ in rows]
-    number, bad = label_tokens(tokens, toxic)
+    number, bad = label_tokens(tokens, toxic, most_features)
     words = {w: i for i, w in enumerate(dict.fromkeys(w for t in tokens for w in t))}
     own = [[number[f] for f in features(w) if f in number] for w in words]
     of_word, feature = np.repeat(np.arange(len(words)), [len(x) for x in own]), np.array([f for x in own for f in x], np.int64)
@@ -203,41 +205,52 @@ def fit(rows: list[tuple[str | None, int]], prior: float, *, rounds: int = 40, r
     return Model({f: float(weight[i]) for f, i in number.items() if abs(weight[i]) > 1e-3}, float(bias[0]), move, start, beta)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, per_class: int) -> tuple[list[tuple[str | None, int]], float]:
-    """About per_class texts of each label, drawn by a hash of the id, and the share of toxic labels."""
+def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_col: str, per_class: int, sample_bytes: int) -> tuple[list[tuple[str | None, int]], float]:
+    """The per_class ids of each label of least hash, with one text each, and the share of toxic labels.
+
+    Texts are taken in that order as long as all of them make up sample_bytes at most.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return [], 0.0
-    part = F.when(F.col("toxic") == 1, min(1.0, per_class / counts[1])).otherwise(min(1.0, per_class / counts[0]))
-    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)
-    drawn = known.where(draw < part).groupBy("id").agg(F.max("toxic").alias("toxic"))
+    draw = F.xxhash64("id")
+    once = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
+    place = F.row_number().over(W.partitionBy("toxic").orderBy(draw, "id"))
+    drawn = once.withColumn("place", place).where(F.col("place") <= per_class).select(F.col("id").alias("drawn"), "toxic", "place")
     # Twice per_class rows by construction: small enough to send to every executor.
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(drawn), "id").collect()
-    rows = sorted(((r["text"], r["toxic"]) for r in found), key=lambda r: (r[1], r[0] or ""))
-    return rows, counts[1] / (counts[0] + counts[1])
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(drawn), F.col("id") == F.col("drawn"))
+    rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= sample_bytes)
+    one = rows.groupBy("drawn", "toxic", "place").agg(F.min("text").alias("text"))
+    size = F.sum(64 + F.coalesce(F.octet_length("text"), F.lit(0))).over(W.orderBy("place", "toxic"))
+    found = one.withColumn("size", size).where(F.col("size") <= sample_bytes).select("text", "toxic").collect()
+    return sorted(((r["text"], r["toxic"]) for r in found), key=lambda r: (r[1], r[0] or "")), counts[1] / (counts[0] + counts[1])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 800, threshold: float = 0.3, keep: tuple[str, ...] = ()) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 800, sample_bytes: int = 16 << 20, most_features: int = 40_000, threshold: float = 0.3, keep: tuple[str, ...] = ()) -> DataFrame:
     """Toxicity of each whole text, with the offending passages.
 
     Labels of texts label tokens: words and beginnings of words that toxic texts
-    hold far more often than clean ones. A linear-chain CRF is fitted to them by gradient ascent on about
-    per_class texts of each label; forward-backward gives every token of every
+    hold far more often than clean ones. A linear-chain CRF of up to most_features
+    features is fitted to them by gradient ascent on per_class texts of each label, all
+    of them sample_bytes at most; forward-backward gives every token of every
     text its marginal, and a logistic regression on the largest marginal, their
     sum and their share, fitted on the same rows, gives the score.
 
     Learns from labelled rows whose id is not held out; scores come from the text
     alone. Null and empty texts: no tokens, the score of a text without offence.
     Labels of one kind only or none: score 0. Several labels of an id: toxic if
-    one is. Repeated rows: each scored alone. Other columns are ignored.
+    one is, and of several texts of an id one is learnt from. Ties in the order of the
+    sample go to the smaller id. Very long texts: all tokens count; blocks of them are
+    worked on at once. Repeated rows: each scored alone. No documents: no rows. Other
+    columns are ignored.
 
     Returns id_col, the columns of docs named in keep, held_out, score, predicted, spans (start and end of each
     passage of tokens more likely toxic than not, in turn, in code points).
     """
     spark = docs.sparkSession
-    rows, prior = training_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, per_class=per_class)
-    get = share(spark, fit(rows, prior))
+    rows, prior = training_rows(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, per_class=per_class, sample_bytes=sample_bytes)
+    get = share(spark, fit(rows, prior, most_features=most_features))
     texts = with_kept(docs, id_col, text_col, keep)
     kind = texts.schema["id"].dataType.simpleString()
 

@@ -235,6 +235,34 @@ def test_contamination(spark, docs, size):
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in out.collect()), key=str) == sorted(expected, key=str)
 
 
+def test_long_items_are_split_without_loss():
+    rng = random.Random(6)
+    words = [f"b{rng.randint(0, 10**9)}" for _ in range(40_000)]
+    bench = [("long", " ".join(words)), ("copy", " ".join(words[100:200])), ("copy", "x"), (None, None)]
+    index = decontaminate.Index(bench, 13, 5)
+    text = " ".join(["clean"] * 30 + words[20_000:20_020] + ["clean"] * 5 + words[150:163] + ["X"])
+    hit, found = index.scan(decontaminate.Words(text))
+    assert decontaminate.runs(hit) == [30, 50, 55, 69] and sorted(index.names[i] for i in found) == ["copy", "long"]
+
+
+def test_index_is_compact():
+    import pickle
+
+    rng = random.Random(7)
+    bench = [(str(i), " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(300))) for i in range(1000)]
+    size = sum(len(t) for _, t in bench)
+    assert len(pickle.dumps(decontaminate.Index(bench, 13, 5))) < 8 * size
+
+
+def test_long_items_in_a_table(spark):
+    words = [f"w{i}" for i in range(3000)]
+    bench = spark.createDataFrame([("a", " ".join(words)), ("a", " ".join(words)), ("b", " ".join(words[50:70]))], "item_id string, text string")
+    docs = spark.createDataFrame([(s, " ".join(words[s : s + 13])) for s in range(0, 2988, 9)] + [(-1, " ".join(words[:12])), (-2, " ".join(words * 3))], "doc_id long, text string")
+    for size in (16 << 20, 4000):
+        out = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.contamination(docs, bench, index_bytes=size).collect()}
+        assert out.pop(-1) == (0, []) and out.pop(-2) == (9000, ["a", "b"]) and all(n == 13 and "a" in k for n, k in out.values())
+
+
 def test_winnowing_finds_every_span():
     rng = np.random.default_rng(2)
     for _ in range(200):
@@ -373,6 +401,39 @@ def test_language(docs):
     assert sum(out[r["doc_id"]]["lang_pred"] == r["lang"] for r in held) >= 0.9 * len(held)
 
 
+def test_language_is_the_literal_kernel():
+    """Sets of n-grams, kernel values one by one, and a dense solve of the regression in the landmarks' feature space."""
+    rng = random.Random(11)
+    texts = [(lang, " ".join(word(rng, lang) for _ in range(rng.randint(3, 40)))) for lang in LETTERS for _ in range(12)]
+
+    def grams(t):
+        t = re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in f"{t.lower()}"))
+        return {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+
+    model = language.fit([(k, language.packed_presence(t)) for k, t in texts], landmarks=9)
+    names = sorted(LETTERS)
+    marks = [t for k in names for t in [t for x, t in texts if x == k][:3]]
+    every = set().union(*map(grams, marks))
+    kernel = lambda a, b: len(grams(a) & grams(b)) / np.sqrt(len(grams(a) & every) * len(grams(b) & every))
+    k_mm = np.array([[kernel(a, b) for b in marks] for a in marks])
+    k_nm = np.array([[kernel(t, b) for b in marks] for _, t in texts])
+    values, vectors = np.linalg.eigh(k_mm + 1e-6 * np.eye(9))
+    white = vectors / np.sqrt(values)
+    f = k_nm @ white
+    y = np.array([[1.0 if k == x else -1.0 for x in names] for k, _ in texts])
+    c = f - f.mean(0)
+    w = np.linalg.solve(c.T @ c + 1e-2 * len(c) * np.eye(9), c.T @ (y - y.mean(0)))
+    for t in ["the rain in spain", "über die straße", texts[5][1], "ébène x"]:
+        own = (np.array([[kernel(t, b) for b in marks]]) @ white - f.mean(0)) @ w + y.mean(0)
+        assert np.allclose(model.scores(model.matrix([t])), own, atol=0.03)  # the 18-bit hashes of n-grams collide now and then
+
+
+def test_copies_do_not_crowd_out_a_language(spark):
+    rows = [(i, "ein und derselbe deutsche satz", "de") for i in range(400)] + [(1000 + i, f"english sentence number {chr(97 + i % 26)}{chr(97 + i // 26)}", "en") for i in range(50)]
+    found = language.training_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string"), id_col="doc_id", text_col="text", lang_col="lang", per_language=30, languages=64)
+    assert collections.Counter(k for k, _ in found) == {"de": 1, "en": 30}
+
+
 def test_language_without_labels(docs):
     out = language.identify(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {(r["lang_pred"], r["score"]) for r in out.collect()} == {("und", 0.0)}
