@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>?|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)>", re.S)
+NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+SPECIAL = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # Fixed values of HTML.
@@ -24,22 +26,31 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 #: Elements that never belong to an article, and roles and names that say so.
 DROPPED = frozenset("head script style noscript template nav footer aside form button select option input textarea svg canvas iframe object embed audio video map dialog menu".split()) - {"form"}
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert toolbar".split())
-NAMES = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|side-?bar\w*|comments?|comment-?list|respond|replies|disqus\w*|nav\w*|menu\w*|breadcrumbs?|footer|masthead|(?:site|page|top)-?header|cookie\w*|consent\w*|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe\w*|subscription|signup|login|share\w*|sharing|social\w*|related|recommend\w*|widget\w*|skip|pagination|pager|toolbar|search)(?:$|[^a-z])")
+NAMES = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|adsense|banner\w*|sponsor\w*|promo\w*|side-?bar\w*|comments?|comment-?list|respond|replies|disqus\w*|nav\w*|menu\w*|breadcrumbs?|footer|masthead|(?:site|page|top)-?header|cookie\w*|consent\w*|gdpr|notice\w*|alert\w*|popup|modal|overlay|newsletter|subscribe\w*|subscription|signup|login|shares?|share-?(?:bar|this|buttons?|links?)|sharing|social\w*|related|recommend\w*|widget\w*|skip|pagination|pager|toolbar|search)(?:$|[^a-z])")
 #: What people write below an article can be longer than it.
 REPLIES = re.compile(r"(?:^|[^a-z])(?:comments?|comment-?list|respond|replies|disqus\w*)(?:$|[^a-z])")
 GOOD = re.compile(r"(?:^|[^a-z])(?:article|main|content|body|entry|post|story|text)(?:$|[^a-z])")
 PARAGRAPHS = frozenset("p pre td th blockquote li dd dt figcaption".split()) | HEADINGS
 
 
+#: Names that tell how a page is laid out or what is switched on, not what an element holds.
+LAYOUT = re.compile(r"^(?:has|no|with|without|is|not)[-_]|[-_](?:with|has|no|without)[-_]|[-_](?:enabled|disabled|active|open|closed|layout|page)$")
+
+
+def says(pattern: re.Pattern, names: str) -> bool:
+    """Whether one of an element's names, each for itself, matches."""
+    return any(pattern.search(x) and not LAYOUT.search(x) for x in names.split())
+
+
 class Node:
     __slots__ = ("tag", "up", "down", "bad", "doubt", "named", "header", "main", "weight", "score", "text", "links", "paragraphs")
 
     def __init__(self, tag: str, up: "Node | None", names: str = "", role: str = "", hidden: bool = False):
         self.tag, self.up, self.down = tag, up, []
         self.bad = tag in DROPPED or hidden
-        named = bool(NAMES.search(names))
+        named = says(NAMES, names)
         #: The share of the page's plain text up to which it is cut, if it does not hold the main article.
-        self.doubt = 0.0 if tag in ("html", "body", "article", "main") else 0.8 if REPLIES.search(names) else 0.5 if named or tag == "form" or role in ROLES else 0.0
+        self.doubt = 0.0 if tag in ("html", "body", "article", "main") else 0.8 if says(REPLIES, names) else 0.5 if named or tag == "form" or role in ROLES else 0.0
         self.header = tag == "header"
         self.main = tag in ("article", "main") or role in ("main", "article")
         self.named = named
@@ -47,39 +58,110 @@ class Node:
         self.score, self.text, self.links, self.paragraphs = 0.0, 0, 0, False
 
 
+class Scanner:
+    """The markup of a page from left to right; what is searched for in vain is not searched for again."""
+
+    def __init__(self, source: str):
+        self.source, self.gone, self.plain = source, set(), False
+
+    def find(self, what: str, start: int) -> int:
+        if what in self.gone:
+            return -1
+        at = self.source.find(what, start)
+        if at < 0:
+            self.gone.add(what)
+        return at
+
+    def tag_end(self, start: int) -> int:
+        """Where a tag's `>` is, -1 without one.
+
+        Quoted values may hold others, and a quote that never ends is a sign like any. Once
+        a tag has no end but in quotes, quotes no longer count.
+        """
+        pos = start
+        while not self.plain and (m := SPECIAL.search(self.source, pos)):
+            if m[0] == ">":
+                return m.start()
+            closing = self.find(m[0], m.end())
+            pos = m.end() if closing < 0 else closing + 1
+        self.plain = True
+        return self.find(">", start)
+
+    def tokens(self):
+        """(text) of strings and (close, tag, attributes, place after it) of tags; comments and the like are left out. send() moves on."""
+        source, n, pos, text = self.source, len(self.source), 0, 0
+        while pos < n:
+            at = self.find("<", pos)
+            if at < 0:
+                break
+            if source.startswith("<!--", at):
+                end = self.find("-->", at + 4)
+                end = n if end < 0 else end + 3
+            elif source.startswith("<![CDATA[", at) and (end := self.find("]]>", at)) >= 0:
+                yield source[text:at] + source[at + 9 : end]
+                text = pos = end + 3
+                continue
+            elif source[at + 1 : at + 2] in ("!", "?"):
+                end = self.find(">", at)
+                end = n if end < 0 else end + 1
+            elif m := NAME.match(source, at):
+                end = self.tag_end(m.end())
+                if end < 0:
+                    pos = at + 1  # no tag without an end
+                    continue
+                if text < at:
+                    yield source[text:at]
+                moved = yield source[at + 1] == "/", m[1].lower(), source[m.end() : end], end + 1
+                text = pos = moved if moved is not None else end + 1
+                continue
+            else:
+                pos = at + 1
+                continue
+            if text < at:
+                yield source[text:at]
+            text = pos = end
+        if text < n:
+            yield source[text:]
+
+
 def parse(source: str) -> Node:
     """A tree of nodes and strings; open elements end as browsers end them."""
     root = at = Node("#root", None)
-    pos, n = 0, len(source)
-    while pos < n:
-        m = TOKEN.search(source, pos)
-        if not m:
-            at.down.append(source[pos:])
-            break
-        if m.start() > pos:
-            at.down.append(source[pos : m.start()])
-        pos = m.end()
-        tag = m["tag"] or m["tag2"]
-        if tag is None:
-            if m["cdata"]:
-                at.down.append(m["cdata"])
+    n, open_, scanner = len(source), Counter(), Scanner(source)
+    tokens, moved = scanner.tokens(), None
+
+    def leave(to: Node) -> Node:
+        nonlocal at
+        while at is not to:
+            open_[at.tag] -= 1
+            at = at.up
+        return at
+
+    while True:
+        try:
+            token = next(tokens) if moved is None else tokens.send(moved)
+        except StopIteration:
+            return root
+        moved = None
+        if isinstance(token, str):
+            at.down.append(token)
             continue
-        tag = tag.lower()
-        if m["close"] or m["close2"]:
-            node = at
-            while node is not None and node.tag != tag:
-                node = node.up
-            if node is not None and node.up is not None and not (tag in INLINE and blocked(at, node)):
-                at = node.up
+        close, tag, attrs, pos = token
+        if close:
+            if open_[tag] > 0:
+                node = at
+                while node.tag != tag:
+                    node = node.up
+                if not (tag in INLINE and blocked(at, node)):
+                    leave(node.up)
             continue
-        attrs = m["attrs"] or m["attrs2"] or ""
         given = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)} if "=" in attrs or "hidden" in attrs else {}
-        if tag in CLOSES_P:
-            at = ended(at, {"p"}, {"td", "th", "li", "div", "section", "article", "blockquote", "button"})
+        if tag in CLOSES_P and open_["p"] > 0:
+            leave(ended(at, {"p"}, {"td", "th", "li", "div", "section", "article", "blockquote", "button"}))
         if tag in HEADINGS and at.tag in HEADINGS:
-            at = at.up
-        if tag in ENDS:
-            at = ended(at, *ENDS[tag])
+            leave(at.up)
+        if tag in ENDS and any(open_[t] > 0 for t in ENDS[tag][0]):
+            leave(ended(at, *ENDS[tag]))
         names = f"{given.get('class', '')} {given.get('id', '')}".lower()
         node = Node(tag, at, names, given.get("role", "").lower(), "hidden" in given or given.get("aria-hidden", "").lower() == "true" or "display:none" in given.get("style", "").replace(" ", "").lower())
         at.down.append(node)
@@ -88,12 +170,12 @@ def parse(source: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, pos)
             node.down.append(source[pos : end.start() if end else n])
-            pos = end.end() if end else n
+            moved = end.end() if end else n
             node.bad = True
             continue
         if not attrs.endswith("/") or tag not in ("path", "circle", "rect", "use", "g"):
             at = node
-    return root
+            open_[tag] += 1
 
 
 def blocked(at: Node, node: Node) -> bool:
@@ -283,8 +365,11 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     form tells of not if they hold the main article or most of the page's plain text.
 
     Null and empty sources: empty text. Pages without containers: all text that
-    is left. Broken markup: elements end as in browsers. Repeated rows: each
-    extracted alone. Ties: the outer container. Other columns are ignored.
+    is left. Broken markup: elements end as in browsers; a quote that never ends is a
+    sign like any. Very long sources: read once from left to right, with a node for
+    each tag. Null ids and addresses stay. Repeated rows: each
+    extracted alone. Ties: the outer container. An empty table: no rows. Other columns
+    are ignored.
 
     Returns id_col, url_col, text, n_chars.
     """

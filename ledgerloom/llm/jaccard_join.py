@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import forget, pieces, share, written
@@ -33,9 +33,10 @@ def folded(rows: np.ndarray, words: int) -> np.ndarray:
     return rows
 
 
-def alike(sizes: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarray:
-    """For each set the first that it reaches over pairs whose sizes and signatures admit a link."""
+def alike(sizes: np.ndarray, signatures: list[bytes], percent: int, side: np.ndarray | None = None) -> np.ndarray:
+    """For each set the first that it reaches over pairs whose sizes and signatures admit a link; with sides, only over pairs of two."""
     n = len(sizes)
+    side = np.arange(n) if side is None else side
     length = np.array([len(s) // 8 for s in signatures])
     at = {w: np.flatnonzero(length == w) for w in np.unique(length).tolist()}
     rows = {w: np.frombuffer(b"".join(signatures[i] for i in x), np.uint64).reshape(-1, w) for w, x in at.items()}
@@ -52,7 +53,7 @@ def alike(sizes: np.ndarray, signatures: list[bytes], percent: int) -> np.ndarra
             i = todo.pop()
             w = int(length[i])
             for v, x in at.items():
-                x = x[~reached[x]]
+                x = x[~reached[x] & (side[x] != side[i])]
                 x = x[(100 * sizes[x] >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes[x])]
                 if len(x):
                     u = min(v, w)
@@ -122,11 +123,12 @@ class Common:
             token, count = token[kept], count[kept]
         self.token, self.count = token, count
 
-    def often(self) -> tuple[np.ndarray, np.ndarray]:
-        """(shingles, counts) of those that came twice at least."""
+    def often(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """(shingles, counts) of up to `most` that came twice at least, the most frequent ones."""
         self.merge()
-        twice = self.count > 1
-        return self.token[twice], self.count[twice].astype(np.int64)
+        at = np.flatnonzero(self.count > 1)
+        at = at[np.argsort(-self.count[at], kind="stable")[:most]]
+        return self.token[at], self.count[at].astype(np.int64)
 
 
 def link(sets: list[np.ndarray], percent: int, label: np.ndarray | None = None) -> np.ndarray:
@@ -322,7 +324,24 @@ def grouped(batches, columns: list[str]):
         yield rows
 
 
-def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, frequent: int, most: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def limit_of(counts: DataFrame, most: int) -> int:
+    """A count that at most `most` rows of (c, n) exceed, from how often each count comes."""
+    seen = 0
+    for r in counts.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+        seen += r["count"]
+        if seen > most:
+            return r["n"]
+    return 0
+
+
+def parted(rows: DataFrame, group: str, each: Column, cut: Column) -> DataFrame:
+    """rows with block and side: each of `cut` parts of a group meets itself and each other part; sides are null within a part."""
+    spread = rows.withColumn("part", F.pmod(F.xxhash64(each), cut)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)))
+    block = F.xxhash64(group, F.least("part", "other"), F.greatest("part", "other"))
+    return spread.withColumn("block", block).withColumn("side", F.when(F.col("part") != F.col("other"), F.col("part"))).drop("part", "other")
+
+
+def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, frequent: int, most: int, block_shingles: int, block_classes: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Steps 1 to 3 of jaccard_components: rows, classes, classes in candidate components, the same with texts.
 
     id is a struct of whether the id is null, the id and a hash of the text, so that
@@ -345,12 +364,14 @@ def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
                 common.add({c: s for c, s in zip(classes, sets) if c is not None}.values())
                 yield pa.record_batch([ids, pa.array(classes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([signature(s) if len(s) else None for s in sets], pa.binary()), pa.array([True] * len(ids))], names=["id", "c", "n", "bits", "is_row"])
         if ids is not None:
-            token, count = common.often()
+            token, count = common.often(max(frequent // 8, 64))
             yield pa.record_batch([pa.nulls(len(token), ids.type), pa.array(token.view(np.int64), pa.int64()), pa.array(count, pa.int64()), pa.nulls(len(token), pa.binary()), pa.array([False] * len(token), pa.bool_())], names=["id", "c", "n", "bits", "is_row"])
 
     surveyed = written(texts.mapInArrow(survey, f"id {kind}, c long, n long, bits binary, is_row boolean"), "survey")
     members = surveyed.where("is_row").drop("is_row")
-    counted = surveyed.where("not is_row").groupBy("c").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "c").limit(frequent).collect()
+    counts = written(surveyed.where("not is_row").groupBy("c").agg(F.sum("n").alias("n")), "counts")
+    counted = counts.where(F.col("n") > limit_of(counts, frequent)).collect()
+    forget(counts)
     order = share(spark, Order(np.array([r["c"] for r in counted], np.int64).view(np.uint64), np.array([r["n"] for r in counted], np.int64)))
 
     def rarest(batches):
@@ -382,18 +403,25 @@ def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     small = stars.join(large, "hub", "left_anti")
     small = small.unionByName(small.select(F.col("hub").alias("c"), "hub").distinct()).join(classes.select("c", "n", "bits"), "c")
 
+    # Each class meets the others of its group in blocks of about 2 * block_classes.
+    cut = F.greatest(F.lit(1), F.ceil(F.col("k") / block_classes)).cast("long")
+    small = small.join(sizes, "hub").withColumn("cut", F.when(F.col("k") <= 2 * block_classes, F.lit(1).cast("long")).otherwise(cut))
+
     def prune(batches):
-        for rows in grouped(batches, ["hub", "c", "n", "bits"]):
-            root = alike(np.array([r[2] for r in rows], np.int64), [r[3] for r in rows], percent)
+        for rows in grouped(batches, ["block", "c", "n", "bits", "side"]):
+            side = None if rows[0][4] is None else np.array([r[4] for r in rows], np.int64)
+            root = alike(np.array([r[2] for r in rows], np.int64), [r[3] for r in rows], percent, side)
             moved = np.flatnonzero(root != np.arange(len(root)))
             yield pa.record_batch([pa.array([rows[i][1] for i in moved], pa.int64()), pa.array([rows[root[i]][1] for i in moved], pa.int64())], names=["a", "b"])
 
-    pruned = small.select("hub", "c", "n", "bits").repartition(parts, "hub").sortWithinPartitions("hub", "c").mapInArrow(prune, "a long, b long")
+    met = parted(small.select("hub", "c", "n", "bits", "cut"), "hub", F.col("c"), F.col("cut")).select("block", "c", "n", "bits", "side")
+    pruned = met.repartition(parts, "block").sortWithinPartitions("block", "c").mapInArrow(prune, "a long, b long")
     whole = stars.join(large, "hub").select(F.col("c").alias("a"), F.col("hub").alias("b"))
     candidates = written(components(pruned.unionByName(whole)), "candidates")
 
     placed = classes.drop("bits").join(candidates.withColumnRenamed("node", "c"), "c")
-    weights = placed.groupBy("root").agg(F.sum("n").alias("weight"))
+    share_of = F.greatest(F.col("n") / block_shingles, F.lit(1.0 / block_classes))
+    weights = placed.groupBy("root").agg(F.sum(share_of).alias("weight"))
     placed = written(placed.join(weights, "root"), "placed")
     held = written(placed.join(texts.hint("merge"), "id").select("c", "root", "weight", "rows", "text"), "held")  # one plan at every size
     if held.count() > placed.count():  # rows that are equal in id and text
@@ -405,7 +433,7 @@ def prepared(docs: DataFrame, id_col: str, text_col: str, words: int, percent: i
     return members, classes, placed, held
 
 
-def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, most: int = 16_384, block_shingles: int = 1 << 20, rounds: int = 2) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, most: int = 16_384, block_shingles: int = 1 << 20, block_classes: int = 256, rounds: int = 2) -> DataFrame:
     """Components of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
 
     1. Texts of one set are one class. Shingles are counted task by task; the
@@ -413,11 +441,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     2. Of the rarest shingles of each class, as many as make sure that linked classes
        share one, the least class is found; classes that share a shingle form a group
        around it.
-    3. In a group, pairs that sizes or bit signatures rule out are dropped, and what
-       hangs together stays a block; groups of more than `most` classes stay whole,
+    3. In a group, pairs that sizes or bit signatures rule out are dropped, parts of
+       block_classes against each other, and what hangs together stays a block; groups of more than `most` classes stay whole,
        as pairs of each class and the least one.
     4. Each block is a sparse product that finds its links exactly. A block of more
-       than 2 * block_shingles is cut at random, in several rounds; classes that are
+       than 2 * block_shingles or 2 * block_classes is cut at random, in several rounds; classes that are
        then outside its largest linked part are compared with all parts of it, so that
        no link between two parts is missed.
 
@@ -432,19 +460,19 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     Returns id_col, n_shingles, component_id, the smallest id of the component.
     """
-    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, most)
+    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, most, block_shingles, block_classes)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def linked(places: DataFrame) -> DataFrame:
         """Links within the blocks of rows (block, c, label, text)."""
         return places.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(lambda b: blocks(b, Shingler(words), percent), "a long, b long")
 
-    fits = F.col("weight") <= 2 * block_shingles
+    fits = F.col("weight") <= 2
     none = F.lit(None).cast("long")
     links = written(linked(held.where(fits).select(F.col("root").alias("block"), "c", none.alias("label"), "text")), "links")
     big = held.where(~fits)
     if not placed.where(~fits).isEmpty():
-        cut = F.ceil(F.col("weight") / block_shingles)
+        cut = F.ceil("weight")
         for r in range(rounds):
             block = F.xxhash64("root", F.pmod(F.xxhash64("c", F.lit(r)), cut))
             links = links.unionByName(written(linked(big.select(block.alias("block"), "c", none.alias("label"), "text")), "links"))
@@ -467,12 +495,12 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     return out.select(F.col("id.own").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id.own").alias("component_id"))
 
 
-def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, most: int = 16_384, block_shingles: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
+def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, frequent: int = 1 << 17, most: int = 16_384, block_shingles: int = 1 << 20, block_classes: int = 256) -> tuple[DataFrame, DataFrame]:
     """All links of texts whose sets of word shingles have a Jaccard index of percent / 100 or more.
 
     Candidates are those of jaccard_components. All pairs of classes in a block that
-    may link are counted, each once; a block of more than 2 * block_shingles is cut
-    into parts, and each part meets itself and each other part. Components follow
+    may link are counted, each once; a block of more than 2 * block_shingles or
+    2 * block_classes is cut into parts, and each part meets itself and each other part. Components follow
     from the links.
 
     Returns two tables: rows (id_col, n_shingles, component_id, n_links, class_id) as
@@ -481,16 +509,14 @@ def jaccard_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     (a, b), each pair once. The first is summed up block by block and does not hold
     the links; the second is only worked out where it is used.
     """
-    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, most)
+    members, classes, placed, held = prepared(docs, id_col, text_col, words, percent, frequent, most, block_shingles, block_classes)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fits = F.col("weight") <= 2 * block_shingles
+    fits = F.col("weight") <= 2
     none = F.lit(None).cast("long")
     places = held.where(fits).select(F.col("root").alias("block"), "c", none.alias("label"), "text", "rows")
     if not placed.where(~fits).isEmpty():
-        cut = F.ceil(F.col("weight") / block_shingles).cast("long")
-        parted = held.where(~fits).withColumn("part", F.pmod(F.xxhash64("c"), cut)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)))
-        block = F.xxhash64("root", F.least("part", "other"), F.greatest("part", "other"))
-        places = places.unionByName(parted.select(block.alias("block"), "c", F.when(F.col("part") != F.col("other"), F.col("part")).alias("label"), "text", "rows"))
+        met = parted(held.where(~fits), "root", F.col("c"), F.ceil("weight").cast("long"))
+        places = places.unionByName(met.select("block", "c", F.col("side").alias("label"), "text", "rows"))
     dealt = places.repartition(parts, "block").sortWithinPartitions("block")
     links = dealt.drop("rows").mapInArrow(lambda b: linked_blocks(b, Shingler(words), percent), "a long, b long")
     counted = written(dealt.mapInArrow(lambda b: counted_blocks(b, Shingler(words), percent), "a long, b long, near long"), "counts")

@@ -38,7 +38,7 @@ def test_stages(spark, folder):
 
     groups = reach([(r[0], r[1]) for r in clean])
     assert sorted(r[0] for r in alone if r[0] is not None) == sorted({g for _, _, g in groups if g is not None})
-    assert set(alone) <= set(clean)
+    assert set(alone) <= set(clean) and len(set(alone)) == len(alone)
 
     def contaminated(text):
         w, hit = WORDS.findall(low(text)), set()
@@ -66,3 +66,28 @@ def test_run_equals_its_stages(spark, folder):
     again = corpus_pipeline.run(spark, folder)
     pick = lambda df: sorted(map(tuple, df.select("doc_id", "source", "n_chars").collect()), key=str)
     assert pick(out) == pick(again)
+
+
+ODD = [(1, "a b c d e f g", "en", "s", 5), (1, "a b c d e f g", "en", "s", 5), (1, "a b c d e f g", "en", "t", 5), (None, "a b c d e f g", None, None, None), (None, "other words that nobody else has here", None, None, None), (None, "other words that nobody else has here", None, None, None), (None, "other words that nobody else has here", "en", None, None), (2, None, None, None, None), (2, None, None, None, None), (3, "", "en", "s", 0), (4, "long " * 400_000, "en", None, 9)]
+
+
+def test_near_copies_without_an_id_go_too(spark):
+    docs = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long")
+    out = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert len(out) == 5 and collections.Counter(r[0] for r in out) == {1: 1, None: 1, 2: 1, 3: 1, 4: 1}
+    assert all(r in ODD for r in out)
+
+
+@pytest.mark.parametrize("rows", [[], ODD])
+def test_run_on_odd_tables(spark, tmp_path, rows):
+    """Empty tables, nulls in any column, repeated rows, a very long text, and further columns named as those that stages add."""
+    path = str(tmp_path)
+    more = "score double, predicted int, n_hit long, size long, key string, shard_id long, component_id long, row string, name string"
+    wide = [(*r, 1.0, 1, 1, 1, "k", 7, 7, "r", "n") for r in rows]
+    spark.createDataFrame(wide, f"doc_id long, text string, lang string, source string, n_chars long, {more}").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, path)
+    assert out.columns == ["doc_id", "source", "n_chars", "shard_version", "shard_id", "shard_bytes", "shard_rows"]
+    assert len({r["doc_id"] for r in out.collect()}) <= (5 if rows else 0)
+    assert (out.count() > 0) == bool(rows)
