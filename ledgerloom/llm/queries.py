@@ -65,5 +65,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_jaccard_join": jaccard_join.OP3_SQL,
     "op4_topk": topk.OP4_SQL,
+    "op6_suffix_dedup": suffix_dedup.OP6_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
 }

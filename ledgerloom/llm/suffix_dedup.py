@@ -406,3 +406,31 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def op6(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP6_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), p AS (
+  SELECT doc_id, 500 * p AS first, length(h) // 2 AS n, substring(h, 1000 * p + 1, 1398) AS part FROM d, LATERAL (SELECT unnest(range(length(h) // 1000 + 1)) AS p)
+), w AS (
+  SELECT doc_id, first + j AS s, md5_number_lower(substring(part, 2 * j + 1, 400)) AS k, md5_number_upper(substring(part, 2 * j + 1, 400)) AS l
+  FROM p, LATERAL (SELECT unnest(range(greatest(0, least(500, n - 199 - first)))) AS j)
+), r AS (
+  SELECT doc_id, s FROM w JOIN (SELECT k, l FROM w GROUP BY k, l HAVING count(*) > 1) USING (k, l)
+), i AS (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 0 ELSE 1 END AS fresh FROM r
+), g AS (
+  SELECT doc_id, s, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM i
+), spans AS (
+  SELECT doc_id, min(s) AS a, max(s) + 200 AS b FROM g GROUP BY doc_id, run
+), edges AS (
+  SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before, b FROM spans
+), cut AS (
+  SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(b) AS last
+  FROM edges JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
