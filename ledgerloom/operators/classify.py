@@ -99,19 +99,26 @@ def centroids(vectors: DataFrame, label: str, vector: str) -> DataFrame:
     return parts.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("centroid"))
 
 
-def nearest_centroid(vectors: DataFrame, key: str, vector: str, classes: DataFrame, label: str, least: float = 0.3, other: str = "Other") -> DataFrame:
+def nearest_centroid(vectors: DataFrame, key: str, vector: str, classes: DataFrame, label: str, least: float = 0.3, other: str = "Other", most: int = 256) -> DataFrame:
     """The class of the most similar centroid, the first on a tie, or `other` below `least`.
 
-    The classes of a scheme become one row with an array, so that each vector is
-    scored in a projection: no pairs of rows are made.
+    The classes of a scheme become rows with arrays of up to about `most` of them, so
+    that each vector is scored in a projection: no pairs of rows are made. One such
+    row is sent to all executors; of more, each meets all vectors in a shuffle, and the
+    best is found by partial sums (keys are unique then).
     """
-    known = classes.agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), "centroid"))).alias("classes"))
+    blocks = max(1, -(-classes.count() // most))
+    number = F.pmod(F.xxhash64(label), F.lit(blocks)).alias("_block")
+    known = classes.groupBy(number).agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("label"), "centroid"))).alias("_classes"))
     v = doubles(F.col(vector))
-    scored = F.transform("classes", lambda c: F.struct(F.coalesce(cosine(v, c["centroid"]), F.lit(-2.0)).alias("similarity"), c["label"].alias("label")))
+    scored = F.transform("_classes", lambda c: F.struct(F.coalesce(cosine(v, c["centroid"]), F.lit(-2.0)).alias("similarity"), c["label"].alias("label")))
     best = F.aggregate(F.slice(scored, 2, F.greatest(F.size(scored) - 1, F.lit(0))), F.get(scored, F.lit(0)), lambda a, x: F.when(x["similarity"] > a["similarity"], x).otherwise(a))
-    out = vectors.join(F.broadcast(known), how="cross").withColumn("_best", F.explode(F.array(best)))  # one row: the classes
+    rows = vectors.select(key, vector, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
+    rows = rows.join(F.broadcast(known) if blocks == 1 else known, "_block", "left").withColumn("_best", F.explode(F.array(best)))
+    if blocks > 1:
+        rows = rows.groupBy(key).agg(F.min_by("_best", F.struct(-F.col("_best.similarity"), F.col("_best.label"))).alias("_best"))
     chosen = F.when(F.col("_best.similarity") < least, F.lit(other)).otherwise(F.col("_best.label").cast("string"))
-    return out.select(key, chosen.alias("category"), F.col("_best.similarity").alias("similarity"))
+    return rows.select(key, chosen.alias("category"), F.col("_best.similarity").alias("similarity"))
 
 
 def chosen_titles(disclosures: DataFrame, labels: DataFrame | None = None, ids: DataFrame | None = None, first=None, last=None, key: str = "id", date: str = "disclosure_date") -> DataFrame:

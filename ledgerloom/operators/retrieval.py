@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -142,3 +144,23 @@ def company_statistics(disclosures: DataFrame) -> DataFrame:
 
 def cache_key(query: Column, filters: Column, k: Column) -> Column:
     return F.md5(F.concat_ws("|", query, filters, k.cast("string")).cast("binary"))
+
+
+def embedded(documents: DataFrame, key: str, text: str, model, failed: DataFrame | None = None, size: int = 4000, rows: int = 500) -> DataFrame:
+    """(key, embedding): the mean of a model's vectors of each document's pieces of `size` characters.
+
+    model maps a list of texts to as many lists of numbers and is called with up to
+    `rows` of them. Documents listed in failed are left out, and those without text.
+    """
+    from ledgerloom.functions.columns import mean_vector
+    from ledgerloom.operators.text import fixed_chunks
+
+    @F.pandas_udf("array<double>")
+    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            found = [[float(x) for x in v] for i in range(0, len(s), rows) for v in model(s.iloc[i : i + rows].tolist())]
+            yield pd.Series(found, dtype=object)
+
+    wanted = documents if failed is None else documents.join(failed.select(key).distinct(), key, "left_anti")
+    pieces = fixed_chunks(wanted.where(F.length(text) > 0), key, text, size)
+    return mean_vector(pieces.select(key, vectors("content").alias("embedding")), key, "embedding")

@@ -10,6 +10,7 @@ from ledgerloom.plans import financial, work
 from ledgerloom.plans.bind import BIND, Tables
 from ledgerloom.plans.classification import CLASSED, LABELLED, classed, labelled
 from ledgerloom.plans.texts import CHUNKS, LINES, SECTION_OF, chunks, count_sql, documents, lines
+from ledgerloom.sources import html, packages, tables
 
 QUERIES, ORACLES = {}, {}
 
@@ -371,3 +372,80 @@ def centroid_shares(t):
 
     rows = t.raw("embeddings").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     return rows.withColumn("pct", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy()), 4))
+
+
+def listed(t: Tables, cells, *, detail=None):
+    """Orders as the rows of HTML tables, one for each customer."""
+    row = lambda cs: F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c, F.lit("</td>")) for c in cs], F.lit("</tr>"))
+    rows = t.raw("orders").select("o_custkey", "o_orderkey", F.concat(row(cells), row([detail]) if detail is not None else F.lit("")).alias("tr"))
+    pages = rows.groupBy("o_custkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderkey", "tr"))), lambda x: x["tr"]), "").alias("trs"))
+    return html.table_rows(pages.select("o_custkey", F.concat(F.lit("<html><table>"), "trs", F.lit("</table></html>")).alias("html")), "o_custkey", "html")
+
+
+def minute(key, bad):
+    two = lambda c: F.lpad(c.cast("string"), 2, "0")
+    return F.when(key % 7 == 0, bad).otherwise(F.concat(two(F.floor(key % 1440 / 60)), F.lit(":"), two(key % 60)))
+
+
+TIME_SQL = "CASE WHEN o_orderkey % 7 = 0 THEN '00:00' ELSE lpad(CAST((o_orderkey % 1440) // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') END"
+
+
+def listing(t: Tables):
+    key = F.col("o_orderkey")
+    cells = [minute(key, "25:99"), F.col("o_custkey").cast("string"), F.concat(F.lit("&nbsp;"), F.col("o_orderstatus"), F.lit(" &amp; Co ")), F.concat_ws(" ", F.col("o_orderpriority"), key.cast("string")), F.concat(F.lit("<a href='x"), key.cast("string"), F.lit(".zip'>X</a>"))]
+    return html.listing(listed(t, cells), "o_custkey", F.lit("2024-02-14").cast("date"))
+
+
+@query("html_listing", f"SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS row_index, '2024-02-14' AS day, {TIME_SQL} AS time, CAST(o_custkey AS VARCHAR) AS company_code, o_orderstatus || ' & Co' AS company_name, o_orderpriority || ' ' || o_orderkey AS title, 'x' || o_orderkey || '.zip' AS xbrl_url FROM orders")
+def html_listing(t):
+    return listing(t).select("o_custkey", "row_index", F.col("disclosure_date").cast("string").alias("day"), "time", "company_code", "company_name", "title", "xbrl_url")
+
+
+@query("html_search", f"SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS day, {TIME_SQL} AS time, o_orderstatus AS company_name, 'd' || o_orderkey AS detail FROM orders WHERE o_orderkey % 11 <> 0")
+def html_search(t):
+    key = F.col("o_orderkey")
+    stamp = F.concat(F.when(key % 11 == 0, "soon").otherwise(F.date_format("o_orderdate", "yyyy/MM/dd")), F.lit(" "), minute(key, "late"))
+    rows = listed(t, [stamp, F.col("o_custkey").cast("string"), F.col("o_orderstatus"), F.col("o_orderpriority")], detail=F.concat(F.lit("d"), key.cast("string")))
+    return html.search_rows(rows, "o_custkey").select("o_custkey", F.col("disclosure_date").cast("string").alias("day"), "time", "company_name", "detail")
+
+
+@query("title_hours", f"SELECT time, o_orderpriority || ' ' || o_orderkey AS title FROM (SELECT *, {TIME_SQL} AS time FROM orders) WHERE time >= '09:00' AND time <= '15:00'")
+def title_hours(t):
+    return html.titles(listing(t), 9, 15)
+
+
+@query("time_window", f"SELECT time, count(*) AS n FROM (SELECT {TIME_SQL} AS time FROM orders) WHERE time BETWEEN '08:30' AND '17:05' GROUP BY 1")
+def time_window(t):
+    return html.between_times(listing(t), "08:30", "17:05").groupBy("time").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("listing_pages", "WITH f AS (SELECT DISTINCT l_suppkey AS k, l_partkey % 5 AS page FROM lineitem WHERE l_quantity = 50), s AS (SELECT s_suppkey AS k, unnest(range(5)) AS page FROM supplier) SELECT s.k, s.page FROM s WHERE NOT EXISTS (SELECT 1 FROM s x WHERE x.k = s.k AND x.page <= s.page AND NOT EXISTS (SELECT 1 FROM f WHERE f.k = x.k AND f.page = x.page))")
+def listing_pages(t):
+    pages = t.raw("supplier").select(F.col("s_suppkey").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("page"))
+    rows = t.raw("lineitem").where("l_quantity = 50").select(F.col("l_suppkey").alias("k"), (F.col("l_partkey") % 5).alias("page"))
+    return html.before_first_empty(pages, rows, "k", "page").select("k", "page")
+
+
+@query("instance_facts", "SELECT l_orderkey, 'p:c' || l_linenumber AS name, 'CurrentYearDuration' AS context, CASE WHEN l_linestatus = 'O' THEN 'JPY' ELSE '' END AS unit, '6' AS scale, CASE WHEN l_returnflag = 'R' THEN '-' END AS sign, CAST(l_partkey AS VARCHAR) || ' & ' || l_suppkey AS text FROM lineitem UNION ALL SELECT l_orderkey, 'p:whole', 'c', '', '0', NULL, CAST(count(*) AS VARCHAR) || ' in all' FROM lineitem GROUP BY 1")
+def instance_facts(t):
+    fact = F.concat(F.lit("<ix:nonFraction name='p:c"), F.col("l_linenumber").cast("string"), F.lit("' contextRef='CurrentYearDuration' scale='6'"), F.when(F.col("l_linestatus") == "O", " unitRef='JPY'").otherwise(""), F.when(F.col("l_returnflag") == "R", " sign='-'").otherwise(""), F.lit("><b>"), F.col("l_partkey").cast("string"), F.lit("</b> &amp; "), F.col("l_suppkey").cast("string"), F.lit("</ix:nonFraction>"))
+    whole = lambda n: F.concat(F.lit("<ix:nonNumeric name='p:whole' contextref='c'>"), n.cast("string"), F.lit("<ix:nonNumeric name='p:inner'></ix:nonNumeric> in all</ix:nonNumeric>"))
+    pages = t.raw("lineitem").groupBy("l_orderkey").agg(F.array_join(F.collect_list(fact), "").alias("facts"), F.count(F.lit(1)).alias("n"))
+    return packages.instance_facts(pages.select("l_orderkey", F.concat("facts", whole(F.col("n"))).alias("html")), "l_orderkey", "html").drop("position")
+
+
+@query("embedded_documents", "WITH c AS (SELECT doc_id, substring(text, CAST(i AS INTEGER) * 4000 + 1, 4000) AS x FROM documents, LATERAL (SELECT unnest(range((length(text) + 3999) // 4000)) AS i) WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)) SELECT doc_id, round(avg(length(x)), 6) AS size, round(avg(length(x) - length(replace(x, 'e', ''))), 6) AS es FROM c GROUP BY 1")
+def embedded_documents(t):
+    failed = t.raw("labels").where("toxic = 1").select("doc_id")
+    out = retrieval.embedded(documents(t), "doc_id", "text", lambda texts: [(len(x), x.count("e")) for x in texts], failed)
+    return out.select("doc_id", F.round(F.col("embedding")[0], 6).alias("size"), F.round(F.col("embedding")[1], 6).alias("es"))
+
+
+@query("markdown_tables", r"SELECT o_custkey, '| o_orderkey | o_orderstatus | o_orderpriority |' || chr(10) || '|---|---|---|' || chr(10) || string_agg('| ' || o_orderkey || ' | ' || o_orderstatus || ' | ' || o_orderpriority || ' |', chr(10) ORDER BY o_orderkey) AS markdown FROM orders GROUP BY 1")
+def markdown_tables(t):
+    return tables.markdown(t.raw("orders"), "o_custkey", ["o_orderkey", "o_orderstatus", "o_orderpriority"], "o_orderkey")
+
+
+@query("value_ranges", "WITH c AS (SELECT o_orderpriority AS k, o_custkey AS v, count(*) AS n FROM orders GROUP BY 1, 2), p AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY k ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 200 AS r FROM c) SELECT k AS o_orderpriority, min(v) AS first, max(v) AS last, CAST(sum(n) AS BIGINT) AS n FROM p GROUP BY k, r")
+def value_ranges(t):
+    return views.value_ranges(t.raw("orders"), "o_orderpriority", "o_custkey", 200)

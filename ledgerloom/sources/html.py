@@ -136,3 +136,21 @@ def between_times(df: DataFrame, first: str | None, last: str | None) -> DataFra
     """Rows whose time is within the window, both ends included."""
     out = df if first is None else df.where(F.col("time") >= first)
     return out if last is None else out.where(F.col("time") <= last)
+
+
+def before_first_empty(pages: DataFrame, rows: DataFrame, key: str, page: str) -> DataFrame:
+    """Pages of each listing up to the first that has no rows or is not there; what comes after it is not part of the listing."""
+    filled = rows.select(key, page).distinct()
+    place = F.row_number().over(W.partitionBy(key).orderBy(page))
+    first = F.min(page).over(W.partitionBy(key))
+    run = filled.withColumn("_gap", F.col(page) - place).withColumn("_first", first).where(F.col("_gap") == F.col("_first") - 1).select(key, page)
+    starts = pages.groupBy(key).agg(F.min(page).alias("_start"))
+    begins = run.groupBy(key).agg(F.min(page).alias("_begin")).join(starts, key).where("_begin = _start").select(key)
+    return pages.join(run.join(begins, key), [key, page])
+
+
+def titles(rows: DataFrame, first_hour: int, last_hour: int, whole_last: bool = False) -> DataFrame:
+    """Times and titles of a listing within a window of hours: up to the last hour's first minute, or all of it."""
+    hour, minute = F.substring("time", 1, 2).cast("int"), F.substring("time", 4, 2).cast("int")
+    end = hour <= last_hour if whole_last else (hour < last_hour) | ((hour == last_hour) & (minute == 0))
+    return rows.where((hour >= first_hour) & end).select("time", "title")

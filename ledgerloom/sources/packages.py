@@ -23,17 +23,28 @@ def plain(text: str) -> str:
     return unescape(re.sub(r"<[^>]*>", "", text))
 
 
+def own_end(source: str, tag: str, start: int) -> int:
+    """Where the closing tag of an element that is open at start begins, -1 without one."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(/?)>").finditer(source, start):
+        depth += -1 if m[1] else 0 if m[2] else 1
+        if not depth:
+            return m.start()
+    return -1
+
+
 def facts_of(source: str):
     """(name, context, unit, scale, sign, text) of every element that refers to a context, in order.
 
     Elements are found by their attributes, so that documents that are not well
-    formed, and attribute names in lower case, are read too.
+    formed, and attribute names in lower case, are read too. A fact may hold others of
+    its name; its text goes on to its own end.
     """
     for m in FACT.finditer(source):
         a = {k.lower(): x or y for k, x, y in ATTRIBUTE.findall(m["attrs"])}
         text = None
         if not m["empty"]:
-            end = source.find(f"</{m['tag']}", m.end())
+            end = own_end(source, m["tag"], m.end())
             text = plain(source[m.end() : end]) if end >= 0 else None
         yield a.get("name", ""), a.get("contextref", ""), a.get("unitref", ""), a.get("scale", "0"), a.get("sign"), text
 
@@ -114,3 +125,17 @@ def first_values(rows: DataFrame, tags: list[str]) -> DataFrame:
 
 def linkbase(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("kind").isin("loc", "label", "arc")).select("package", "kind", "a", "b", "position")
+
+
+def instance_facts(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, position, name, context, unit, scale, sign, text) of the tagged facts of instances held as text."""
+    kind = pages.schema[key].dataType.simpleString()
+    names = ["name", "context", "unit", "scale", "sign", "text"]
+
+    def run(batches):
+        for b in batches:
+            rows = [(k, i, *f) for k, x in zip(b.column(0).to_pylist(), b.column(1)) for i, f in enumerate(facts_of(x.as_py() or ""))]
+            cols = list(zip(*rows)) or [[]] * 8
+            yield pa.record_batch([pa.array(cols[0], b.column(0).type), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.string()) for c in cols[2:])], names=[key, "position", *names])
+
+    return pages.select(key, html).mapInArrow(run, f"{key} {kind}, position int, " + ", ".join(f"{n} string" for n in names))

@@ -55,3 +55,12 @@ def write(df: DataFrame, path: str, kind: str = "parquet", partition_by: list[st
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     getattr(writer.option("header", True) if kind == "csv" else writer, kind)(path)
+
+
+def markdown(rows: DataFrame, group: str, columns: list[str], order: str) -> DataFrame:
+    """(group, markdown): the rows of each group as a table, a line each, in order; bars in cells are escaped."""
+    cell = lambda c: F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|"))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *map(cell, columns)), F.lit(" |"))
+    head = f"| {' | '.join(columns)} |\n|{'---|' * len(columns)}\n"
+    lines = rows.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line")))).alias("lines"))
+    return lines.select(group, F.concat(F.lit(head), F.array_join(F.transform("lines", lambda x: x["line"]), "\n")).alias("markdown"))

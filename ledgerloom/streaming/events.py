@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ledgerloom.operators.ingest import first_of
 
@@ -47,3 +48,42 @@ def ingest_absent(stream: DataFrame, path: str, keys: list[str], order: list[str
         new.write.mode("append").parquet(path)
 
     return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ingest_chain(stream: DataFrame, root: str, keys: list[str], order: list[str], checkpoint: str, derive: dict):
+    """New rows and all that follows from them, batch by batch: rows, then each derived table.
+
+    derive: name -> function of the batch's new rows and of the tables derived so far,
+    such as labels of titles, filings, and facts. A batch is written to folders of its
+    own number, which a replay overwrites, so that all tables hold each row once. The
+    rows go last: only then does the next batch take them for known. Returns the query, which takes what
+    is there and ends.
+    """
+
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        new = first_of(batch, keys, [F.asc(c) for c in order])
+        old = written_before(spark, f"{root}/rows", batch.schema, number)
+        if old is not None:
+            there = old.select(*[F.col(k).alias(f"_old_{k}") for k in keys]).distinct()
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_old_{k}"))
+            new = new.join(there, same, "left_anti")
+        held = f"{root}/arrived/batch={number}"
+        new.write.mode("overwrite").parquet(held)
+        new, made = spark.read.schema(batch.schema).parquet(held), {}
+        for name, f in derive.items():
+            f(new, made).write.mode("overwrite").parquet(f"{root}/{name}/batch={number}")
+            made[name] = spark.read.parquet(f"{root}/{name}/batch={number}")
+        new.write.mode("overwrite").parquet(f"{root}/rows/batch={number}")
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def written_before(spark, folder: str, schema, number: int) -> DataFrame | None:
+    """What batches before this one have written, None if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(folder).where(F.col("batch") < number).drop("batch")

@@ -79,3 +79,40 @@ def test_stream_windows_equal_batch(spark, tmp_path):
     query.awaitTermination()
     expected = events.window_counts(batch, "ts", "1 hour", ["event_type"])
     assert sorted(map(tuple, spark.table("counts").collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_facts_that_hold_facts(spark):
+    page = "<ix:nonNumeric name='a' contextRef='c'>one <ix:nonNumeric name='b' contextRef='c'>two</ix:nonNumeric> three <ix:nonNumericX/></ix:nonNumeric><ix:nonNumeric name='d' contextRef='c'>open"
+    out = packages.instance_facts(spark.createDataFrame([(1, page), (2, None)], "id int, html string"), "id", "html").orderBy("position").collect()
+    assert [(r["name"], r["text"]) for r in out] == [("a", "one two three "), ("b", "two"), ("d", None)]
+
+
+def test_pages_end_at_the_first_empty_one(spark):
+    pages = spark.createDataFrame([(k, p) for k in "abc" for p in range(1, 5)], "k string, p int")
+    rows = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("a", 4), ("b", 2), ("b", 3)], "k string, p int")
+    assert sorted(map(tuple, html.before_first_empty(pages, rows, "k", "p").collect())) == [("a", 1), ("a", 2)]
+
+
+def test_chain_of_new_rows(spark, tmp_path):
+    """Rows that arrive are labelled and counted once, whatever comes again."""
+    derive = {
+        "labels": lambda new, made: new.select("id", F.upper("title").alias("label")),
+        "facts": lambda new, made: new.join(made["labels"], "id").select("id", F.length("label").alias("n")),
+    }
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    for part in ([(1, "a"), (1, "a"), (2, "bb")], [(2, "again"), (3, "ccc")], [(3, "ccc")]):
+        spark.createDataFrame(part, "id long, title string").coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema("id long, title string").parquet(str(source))
+        events.ingest_chain(stream, root, ["id"], ["title"], str(tmp_path / "check"), derive).awaitTermination()
+    read = lambda name: sorted(tuple(r) for r in spark.read.parquet(f"{root}/{name}").drop("batch").collect())
+    assert read("rows") == [(1, "a"), (2, "bb"), (3, "ccc")] and read("labels") == [(1, "A"), (2, "BB"), (3, "CCC")] and read("facts") == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_many_classes_meet_vectors_in_blocks(spark):
+    from ledgerloom.operators import classify
+
+    vectors = spark.createDataFrame([(i, [1.0, i / 10, (i % 3) / 3]) for i in range(30)], "id int, v array<double>")
+    classes = spark.createDataFrame([(j, [1.0, j / 4, 0.2]) for j in range(12)], "label int, centroid array<double>")
+    one = classify.nearest_centroid(vectors, "id", "v", classes, "label").orderBy("id").collect()
+    many = classify.nearest_centroid(vectors, "id", "v", classes, "label", most=3).orderBy("id").collect()
+    assert one == many and len({r["category"] for r in one}) > 3
