@@ -571,6 +571,49 @@ def test_streams_do_not_depend_on_their_pieces(most, encode):
         assert kinds == {0}
 
 
+def decoded_plainly(text, seen):
+    """All texts that are encoded in a text, by plain recursion over what the standard library decodes."""
+    if text in seen:
+        return
+    seen.add(text)
+    decoded_plainly(urllib.parse.unquote(text), seen)
+    decoded_plainly(re.sub(r"\\u([0-9a-fA-F]{4})", lambda m: chr(int(m[1], 16)), text), seen)
+    for m in re.finditer(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}", text):
+        if len(m[0]) % 4 == 0:
+            raw = base64.b64decode(m[0])
+            for unpack in (bytes, gzip.decompress, zlib.decompress, bz2.decompress):
+                try:
+                    decoded_plainly(unpack(raw).decode(), seen)
+                except (OSError, EOFError, ValueError, zlib.error):
+                    pass
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_layers_equal_plain_recursion(seed):
+    rng = random.Random(seed)
+    plain = ["password = hunter2hunter2", "AKIA" + "Q7" * 10, "0123456789abcdef" * 2, "nothing to see, at all, in this text"]
+    wrap = [
+        lambda t: "".join(f"%{b:02X}" for b in t.encode()),
+        lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+        lambda t: base64.b64encode(t.encode()).decode(),
+        lambda t: base64.b64encode(gzip.compress(t.encode(), mtime=0)).decode(),
+        lambda t: base64.b64encode(zlib.compress(t.encode())).decode(),
+        lambda t: base64.b64encode(bz2.compress(t.encode())).decode(),
+    ]
+    text = "some words,"
+    for _ in range(3):
+        inner = rng.choice(plain)
+        for _ in range(rng.randint(0, 3)):
+            inner = rng.choice(wrap)(f"x {inner} y")
+        text += f" {inner} and,"
+    seen: set = set()
+    decoded_plainly(text, seen)
+    expected = {k for t in seen for _, k, _ in secrets.scan(t)}
+    base, spans = secrets.secrets_of(text)
+    assert set(base) <= set(spans) and all(0 <= s < e <= len(text) for s, _, e in spans)
+    assert expected <= {k for _, k, _ in spans}
+
+
 def test_decoding_ends():
     for text in ("%2525252541" * 50, "\\u005cu005c" * 50, base64.b64encode(b"aGVsbG8gd29ybGQgaGVsbG8=" * 3).decode(), "%" * 100, "=" * 100):
         secret(text)
