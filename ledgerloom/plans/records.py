@@ -350,9 +350,20 @@ def heading_groups_pdf(t):
     return out.select("doc_id", "line", "decision", "new_index")
 
 
-@query("metrics_interpretation")
+def said_sql(r: finance.Ratio) -> str:
+    """The text of a ratio's band, numbers as both engines print them."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    shown = lambda x: f"replace(replace({quoted(x)}, '{{}}', printf('{r.shown}', value * {float(r.times)!r}::DOUBLE)), '{{days}}', printf('%.0f', 365 / value))"
+    bands = " ".join(f"WHEN {'TRUE' if limit is None else f'value < {limit}'} THEN {shown(x)}" for limit, x in r.text)
+    return f"SELECT id, fiscal_year, metric AS name, CASE WHEN abs(value) > 1e12 THEN regexp_replace(CASE {bands} END, '-?[0-9.]+', '#', 'g') ELSE CASE {bands} END END AS interpretation FROM m WHERE metric = {quoted(r.name)}"
+
+
+@query("metrics_interpretation", financial.METRICS + " UNION ALL ".join(map(said_sql, finance.RATIOS)))
 def metrics_interpretation(t):
-    return finance.analyse(financial.records(t)).select("id", "fiscal_year", F.explode("metrics").alias("m")).select("id", "fiscal_year", "m.name", "m.interpretation")
+    """Numbers beyond what a double tells apart are shown as `#`, as engines print their last digits differently."""
+    rows = finance.analyse(financial.records(t)).select("id", "fiscal_year", F.explode("metrics").alias("m"))
+    text = F.when(F.abs("m.value") > 1e12, F.regexp_replace("m.interpretation", "-?[0-9.]+", "#")).otherwise(F.col("m.interpretation"))
+    return rows.select("id", "fiscal_year", "m.name", text.alias("interpretation"))
 
 
 @query("metrics_risks", financial.METRICS + "SELECT r.id, r.fiscal_year, coalesce(n, 0) AS n_risks FROM rec r LEFT JOIN (SELECT id, fiscal_year, least(5, count(*)) AS n FROM m WHERE risk_level IN ('HIGH', 'VERY_HIGH') GROUP BY 1, 2) USING (id, fiscal_year)")
