@@ -99,6 +99,11 @@ def held_out(id_col) -> F.Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def unit(h: F.Column) -> F.Column:
+    """A 64-bit hash as a number from 0 to 1, in its order."""
+    return h.cast("double") / float(1 << 64) + 0.5
+
+
 def share(spark: SparkSession, value) -> Callable:
     """Broadcast a value of known size, classes of this package included; the result reads it in a worker."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))

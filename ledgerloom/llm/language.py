@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import held_out, id_text, pieces, share, written
+from ledgerloom.llm.common import held_out, id_text, pieces, share, unit, written
 
 #: Orders of the blended spectrum.
 ORDERS = (1, 2, 3)
@@ -148,11 +148,12 @@ def training_rows(docs: DataFrame, *, id_col: str, text_col: str, lang_col: str,
     rows = rows.where(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     hashed = rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n"))
     hashed = written(hashed, "hashes")
-    known = hashed.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
+    known = hashed.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")).orderBy(F.desc("n"), "lang").limit(languages)
+    # Some four times as many as are taken have so small a hash: few rows are ranked, however many there are.
+    near = hashed.join(F.broadcast(known.select("lang", "texts")), "lang").where(unit(F.col("h")) < 4 * per_language / F.col("texts"))
     place = F.row_number().over(W.partitionBy("lang").orderBy("h"))
-    least = hashed.select("lang", "h").withColumn("place", place).where(F.col("place") <= per_language)
     # per_language * languages rows of a hash and a name at most.
-    drawn = F.broadcast(least.join(F.broadcast(known), "lang").select("lang", "h"))
+    drawn = F.broadcast(near.select("lang", "h", place.alias("place")).where(F.col("place") <= per_language).select("lang", "h"))
 
     def run(batches):
         done = set()

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import held_out, pieces, share, with_kept
+from ledgerloom.llm.common import held_out, pieces, share, unit, with_kept
 
 TOKEN = re.compile(r"\w+")
 BLOCK = 32
@@ -211,13 +211,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col:
     Texts are taken in that order as long as all of them make up sample_bytes at most.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
+    once = known.groupBy("id").agg(F.max("toxic").alias("toxic")).withColumn("draw", unit(F.xxhash64("id")))
+    counts = {r["toxic"]: r["count"] for r in once.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return [], 0.0
-    draw = F.xxhash64("id")
-    once = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    place = F.row_number().over(W.partitionBy("toxic").orderBy(draw, "id"))
-    drawn = once.withColumn("place", place).where(F.col("place") <= per_class).select(F.col("id").alias("drawn"), "toxic", "place")
+    # Some four times as many as are taken have so small a hash: few rows are ranked, however many there are.
+    near = F.col("draw") < F.when(F.col("toxic") == 1, 4 * per_class / counts[1]).otherwise(4 * per_class / counts[0])
+    place = F.row_number().over(W.partitionBy("toxic").orderBy("draw", "id"))
+    drawn = once.where(near).withColumn("place", place).where(F.col("place") <= per_class).select(F.col("id").alias("drawn"), "toxic", "place")
     # Twice per_class rows by construction: small enough to send to every executor.
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(drawn), F.col("id") == F.col("drawn"))
     rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= sample_bytes)
