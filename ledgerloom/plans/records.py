@@ -189,10 +189,10 @@ def status_violations(t):
     return tracking.violations(moves(t), "user_id", ["ts", "event_id"]).select("event_id", "status_before", "status")
 
 
-@query("work_rates", work.FOLD + "SELECT n, round(n / s, 6) AS files_per_second, round(c / s, 6) AS chunks_per_second, round((m - n) * s / n, 4) AS seconds_left FROM (SELECT count(*) FILTER (WHERE status IN ('completed', 'failed')) AS n, sum(duration) AS s, sum(chunks) AS c, count(*) AS m FROM fold)")
+@query("work_rates", work.FOLD + "SELECT n, round(n / s, 6) AS files_per_second, round(c / s, 6) AS chunks_per_second, round((m - n) * s / n, 2) AS seconds_left FROM (SELECT count(*) FILTER (WHERE status IN ('completed', 'failed')) AS n, sum(duration) AS s, sum(chunks) AS c, count(*) AS m FROM fold)")
 def work_rates(t):
     out = tracking.rates(work.states(t))
-    return out.select("n", F.round("files_per_second", 6).alias("files_per_second"), F.round("chunks_per_second", 6).alias("chunks_per_second"), F.round("seconds_left", 4).alias("seconds_left"))
+    return out.select("n", F.round("files_per_second", 6).alias("files_per_second"), F.round("chunks_per_second", 6).alias("chunks_per_second"), F.round("seconds_left", 2).alias("seconds_left"))
 
 
 @query("status_reset_ids", work.FOLD + "SELECT id, CASE WHEN id IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') THEN 'pending' ELSE status END AS status FROM fold")
