@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, html_extract, jaccard_join, language, mixing, secrets, sharding, suffix_dedup, topk, toxicity
+from ledgerloom.llm import byte_bpe, decontaminate, html_extract, jaccard_join, language, mixing, point_in_time, resampling, secrets, sharding, suffix_dedup, topk, toxicity
 from ledgerloom.llm.common import table
 
 
@@ -50,6 +51,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.op11(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.op12(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return point_in_time.op13(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
@@ -61,10 +74,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_point_in_time": op13_point_in_time,
 }
 ORACLES: dict[str, str] = {
     "op3_jaccard_join": jaccard_join.OP3_SQL,
     "op4_topk": topk.OP4_SQL,
     "op6_suffix_dedup": suffix_dedup.OP6_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
+    "op12_importance_resampling": resampling.OP12_SQL,
+    "op13_point_in_time": point_in_time.OP13_SQL,
 }
