@@ -48,9 +48,9 @@ class Node:
     def __init__(self, tag: str, up: "Node | None", names: str = "", role: str = "", hidden: bool = False):
         self.tag, self.up, self.down = tag, up, []
         self.bad = tag in DROPPED or hidden
-        named = says(NAMES, names)
-        #: The share of the page's plain text up to which it is cut, if it does not hold the main article.
-        self.doubt = 0.0 if tag in ("html", "body", "article", "main") else 0.8 if says(REPLIES, names) else 0.5 if named or tag == "form" or role in ROLES else 0.0
+        named = bool(names) and tag != "main" and says(NAMES, names)
+        #: Whether it is cut, unless it holds the main article or all of the page: 2 for what readers add, 1 for other furniture.
+        self.doubt = 0 if tag in ("html", "body", "main") else 2 if named and says(REPLIES, names) else 1 if named or tag == "form" or role in ROLES else 0
         self.header = tag == "header"
         self.main = tag in ("article", "main") or role in ("main", "article")
         self.named = named
@@ -214,24 +214,48 @@ def order(root: Node) -> list[Node]:
 
 
 def judge(root: Node) -> None:
-    """Cuts elements whose name, role or tag tells of furniture, if they hold neither the main article (not a teaser) nor most text."""
-    nodes, todo = [], [root]
+    """Cuts elements whose name, role or tag tells of furniture, whatever they hold.
+
+    Kept are those around the main article: the longest of the outermost article and main elements
+    that neither have such a name nor lie in an element that has. If nothing is left but
+    headings and links, the furniture of most text is opened, readers' comments last, until something is.
+    """
+    nodes, todo = [], [(root, False, False)]
+    articles = []
     while todo:
-        node = todo.pop()
-        if not node.bad:
-            nodes.append(node)
-            todo.extend(x for x in node.down if isinstance(x, Node))
+        node, named, held = todo.pop()
+        if node.bad:
+            continue
+        nodes.append(node)
+        named = named or node.named
+        if node.main and not named and not held:
+            articles.append(node)
+            held = True
+        todo.extend((x, named, held) for x in node.down if isinstance(x, Node))
     if not any(x.doubt for x in nodes):
         return
     plain: dict[Node, int] = {}
     for node in reversed(nodes):
-        plain[node] = 0 if node.tag == "a" else sum(len(clean(x)) if isinstance(x, str) else plain.get(x, 0) for x in node.down)
-    article = max((x for x in nodes if x.main and not x.named and 10 * plain[x] > plain[root]), key=plain.__getitem__, default=None)
-    while article is not None:
-        article.doubt = 0.0
-        article = article.up
+        plain[node] = 0 if node.tag == "a" or node.tag in HEADINGS else sum(len(x.strip()) if isinstance(x, str) else plain.get(x, 0) for x in node.down)
+    around = max((x for x in articles if plain[x]), key=plain.__getitem__, default=None)
+    while around is not None:
+        around.doubt = 0
+        around = around.up
+    free: dict[Node, int] = {}
+    for node in reversed(nodes):
+        free[node] = 0 if node.tag == "a" or node.tag in HEADINGS else sum(len(x.strip()) if isinstance(x, str) else 0 if x.doubt else free.get(x, 0) for x in node.down)
+    at = root
+    while at is not None and not free[at]:
+        shut, todo = [], [at]
+        while todo:
+            for x in todo.pop().down:
+                if isinstance(x, Node) and not x.bad:
+                    (shut if x.doubt else todo).append(x)
+        at = max((x for x in shut if plain[x]), key=lambda x: (x.doubt < 2, plain[x]), default=None)
+        if at is not None:
+            at.doubt = 0
     for node in nodes:
-        node.bad = node.doubt > 0 and plain[node] <= node.doubt * plain[root]
+        node.bad = node.doubt > 0
 
 
 def inside(node: Node) -> bool:
@@ -322,7 +346,8 @@ def main_blocks(source: str) -> list[str]:
             whole = up
         up = up.up
     if whole is not None:
-        return blocks(whole)
+        beside = [x for x in whole.up.down if isinstance(x, Node) and x.main and x.tag == whole.tag and not x.bad and 2 * x.links <= x.text]
+        return [b for x in beside for b in blocks(x)] if whole in beside else blocks(whole)
     kept = []
     for run in runs(best.up.down):
         size = sum(x.text if isinstance(x, Node) else len(clean(x)) for x in run)
@@ -358,11 +383,11 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     Paragraphs pass one point, one for each comma and up to three for length to
     their ancestors (all, half, a third and so on), less the share of link text;
     of the container of the most points the outermost article or main element around
-    it is kept, or, without one, it and all beside it that is not mainly links, bare
+    it is kept, with all like it beside it that are not mainly links, or, without one, it and all beside it that is not mainly links, bare
     text included. Navigation,
     headers and footers of the page, asides, forms, adverts, notices, comments
-    and hidden elements are cut before scoring; those that only a name, a role or a
-    form tells of not if they hold the main article or most of the page's plain text.
+    and hidden elements are cut before scoring, however long they are; those that only a name, a role or a
+    form tells of not if they hold the main article (see judge) or if nothing would be left.
 
     Null and empty sources: empty text. Pages without containers: all text that
     is left. Broken markup: elements end as in browsers; a quote that never ends is a

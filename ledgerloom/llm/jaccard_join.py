@@ -555,7 +555,7 @@ WITH RECURSIVE w AS (
   UNION
   SELECT l.b, r.root FROM r JOIN l ON l.a = r.node WHERE r.root < l.b
 )
-SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
-FROM documents d LEFT JOIN n USING (doc_id)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY 1) k ON k.a = d.doc_id
 JOIN (SELECT node, min(root) AS component_id FROM r GROUP BY 1) c ON c.node = d.doc_id
 """

@@ -776,6 +776,33 @@ def test_pages_without_comments():
     assert html_extract.main_text(page) == "Some long text, with commas."
 
 
+SENTENCE = "We use what we like, and we keep it, for as long as it takes."
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body><article><p>{SENTENCE}</p></article><div class='cookie-notice'><p>{SENTENCE} {SENTENCE} {SENTENCE} {SENTENCE}</p></div></body>", SENTENCE),
+        (f"<body><article><p>{SENTENCE}</p><section id='comments'>" + f"<p>{SENTENCE}</p>" * 20 + "</section></article></body>", SENTENCE),
+        (f"<body><article><p>{SENTENCE}</p></article><section id='comments'>" + f"<article><p>{SENTENCE}</p></article>" * 20 + "</section></body>", SENTENCE),
+        ("<body><div class='sidebar'>" + f"<p>Side, {SENTENCE}</p>" * 5 + f"</div><div><p>{SENTENCE}</p></div></body>", SENTENCE),
+        (f"<body><div><p>{SENTENCE}</p><ol class='comment-list'>" + f"<li>{SENTENCE}</li>" * 9 + "</ol></div></body>", SENTENCE),
+        (f"<body><div><article><p>First, {SENTENCE}</p></article><article><p>Next.</p></article><article><a href=x>Link</a></article></div></body>", f"First, {SENTENCE} Next."),
+        (f"<body><form><article><p>{SENTENCE}</p><p>{SENTENCE}</p><p>{SENTENCE}</p></article></form><p>Welcome, one and all.</p></body>", f"{SENTENCE} {SENTENCE} {SENTENCE}"),
+        (f"<body><h1>Only a title</h1><div class='comments'><p>{SENTENCE}</p></div></body>", f"Only a title {SENTENCE}"),
+        (f"<body><h1>T</h1><div class='comments'><p>{SENTENCE} {SENTENCE}</p></div><div class='widget'><p>{SENTENCE}</p></div></body>", f"T {SENTENCE}"),
+    ],
+)
+def test_pages_are_cut_by_what_a_part_is(page, text):
+    """Furniture goes however long it is, and stays only around the article or where nothing else is."""
+    assert html_extract.main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<body><div><div><p>{0}</p><p>{0}</p></div><div class='promo'><p>{0} {0} {0} {0}</p></div></div><nav><p>{0}</p></nav></body>", "<body><nav>x</nav><p>{0}</p><p>{0}</p><div role='complementary'>{0} {0} {0} {0} {0}</div><footer><p>{0}</p></footer></body>"])
+def test_pages_without_articles(page):
+    assert html_extract.main_text(page.format(SENTENCE)) == f"{SENTENCE} {SENTENCE}"
+
+
 def test_pages_survive_anything():
     rng = random.Random(6)
     bits = ["<p>", "</p>", "<div", ">", "<", "a", " ", "</", "<b>", "</div>", "<!--", "-->", "<script>", "</script>", "&amp;", "&#x41;", "<a href=x>", "</a>", '"', "<td>", "<li>", "</ul>"]
