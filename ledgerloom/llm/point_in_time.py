@@ -50,7 +50,7 @@ def point_in_time(versions: DataFrame, questions: DataFrame, *, entity: str, eve
     width = max(lifetime // 2, 1)
     as_long = lambda c: F.col(c).cast("long")
     carried = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("int")
-    known = versions.select(F.col(entity).alias("entity"), as_long(event).alias("event"), as_long(arrival).alias("arrival"), F.least(as_long(expiry), as_long(event) + lifetime).alias("expiry"), F.col(version).alias("version"), carried.alias("carry"))
+    known = versions.select(F.col(entity).alias("entity"), as_long(event).alias("event"), as_long(arrival).alias("arrival"), F.when(F.col(expiry).isNotNull(), F.least(as_long(expiry), as_long(event) + lifetime)).alias("expiry"), F.col(version).alias("version"), carried.alias("carry"))
     known = known.where("event is not null and arrival is not null and expiry is not null")
     one = F.struct("event", (-F.col("arrival")).alias("early"), F.col("best.version").alias("version"), F.col("best.carry").alias("carry"), "arrival", "expiry")
     packed = winners(known).groupBy("entity", "event").agg(F.collect_list(one).alias("pack"), F.max("expiry").alias("last"))

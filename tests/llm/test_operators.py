@@ -614,6 +614,44 @@ def test_layers_equal_plain_recursion(seed):
     assert expected <= {k for _, k, _ in spans}
 
 
+def test_any_number_of_compressed_layers():
+    """Thousands of layers, each a member of the one above, are read without recursion."""
+    raw = b"password = abcdefghijkl12345"
+    for _ in range(1500):
+        raw = gzip.compress(raw, 0)
+    text = "x " + base64.b64encode(raw).decode()
+    assert (2, 0, len(text)) in secrets.secrets_of(text)[1]
+
+
+def test_members_that_hold_themselves(monkeypatch):
+    """A stream that unpacks to itself, or to one that unpacks to it, is read once."""
+    read = []
+
+    class Endless(secrets.Member):
+        def __iter__(self):
+            read.append(1)
+            yield from self.data
+            self.state, self.size = "cut", 0
+
+    monkeypatch.setattr(secrets, "Member", Endless)
+    raw = gzip.compress(b"a") + bz2.compress(b"b") + b" token: abcdefghijkl12345 "
+    spans = secrets.secrets_of("see " + base64.b64encode(raw).decode() + " end")[1]
+    assert {k for _, k, _ in spans} == {0} and 0 < len(read) < 2000
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+@pytest.mark.parametrize("escape", [lambda b: "".join(f"%{x:02x}" for x in b), lambda b: "".join(f"\\x{x:02X}" for x in b), lambda b: "".join(f"\\u{x:04x}" for x in b), lambda b: "".join(f"&#{x};" for x in b), lambda b: urllib.parse.quote(b)])
+def test_compressed_bytes_written_as_escapes(pack, escape):
+    raw = b"the token: abcdefghijkl12345, and AKIA" + b"X" * 20
+    text = "before " + escape(pack(raw)) + " after it"
+    spans = secrets.secrets_of(text)[1]
+    assert {(7, 0), (7, 1)} <= {(s, k) for s, k, _ in spans}
+    assert all(e == len(text) - 9 for s, _, e in spans if s == 7)
+    inner = escape(pack(raw)).encode()
+    assert {0, 1} <= {k for _, k, _ in secrets.secrets_of(base64.b64encode(inner).decode())[1]}  # escapes inside base64
+    assert {0, 1} <= {k for _, k, _ in secrets.secrets_of(base64.b64encode(pack(inner)).decode())[1]}  # and inside what is compressed in it
+
+
 def test_decoding_ends():
     for text in ("%2525252541" * 50, "\\u005cu005c" * 50, base64.b64encode(b"aGVsbG8gd29ybGQgaGVsbG8=" * 3).decode(), "%" * 100, "=" * 100):
         secret(text)
