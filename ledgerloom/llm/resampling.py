@@ -138,8 +138,9 @@ def importance_resample(docs: DataFrame, target: DataFrame, *, id_col: str = "do
 
     Returns id_col, n_features, weight, score, rank (1, 2, 3 in the order of drawing, null if not drawn).
     """
-    count = lambda df, c: bucket_counts(df, c, least, most, buckets, piece)
-    gains = bucket_gains(count(docs, text_col), count(target, target_text_col), buckets)
+    counts = [written(bucket_counts(df, c, least, most, buckets, piece), "buckets") for df, c in ((docs, text_col), (target, target_text_col))]
+    gains = bucket_gains(*counts, buckets)
+    forget(*counts)
     weighed = written(weights(docs, gains, id_col, text_col, least, most, piece), "weights")
     drawn = percent * weighed.where(F.col("n_words") >= min_words).count() // 100
     scored = weighed.select("id", "n_features", "weight", (F.col("weight") + draw_of(F.col("id"), seed)).alias("score"), (F.col("n_words") >= min_words).alias("may"))
