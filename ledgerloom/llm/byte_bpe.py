@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import re
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,16 +23,28 @@ from ledgerloom.llm.common import id_text, pieces
 NEVER = 1 << 62
 
 
+def in_ascii(pattern: str) -> re.Pattern:
+    """A pattern of letters, digits and white space for texts of ASCII alone, where plain classes say the same."""
+    parts = re.split(r"(\[(?:\\.|[^\]\\])*\])", pattern)
+    inner = lambda x: x.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+    outer = lambda x: x.replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+    plain = "".join(inner(x) if i % 2 else outer(x) for i, x in enumerate(parts))
+    return regex.compile(pattern) if r"\p" in plain else re.compile(plain, re.A)
+
+
 class Remembered(dict):
-    """Ids of pieces; short ones are remembered, up to a bound."""
+    """Ids of pieces. Short ones are remembered in two halves of a bounded size: when one is full the other goes, and what is asked for again moves over."""
 
     def __init__(self, bpe: Bpe):
-        self.bpe = bpe
+        self.bpe, self.old = bpe, {}
 
     def __missing__(self, part: str) -> tuple[int, ...]:
-        found = tuple(self.bpe.encode_piece(part.encode()))
+        found = self.old.get(part)
+        if found is None:
+            found = tuple(self.bpe.encode_piece(part.encode()))
         if len(part) <= 64:
             if len(self) >= self.bpe.known:
+                self.old = dict(self)
                 self.clear()
             self[part] = found
         return found
@@ -44,16 +59,20 @@ class Bpe:
     from which there is no way on is never tried again. Each place is passed once.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, known: int = 1 << 19):
-        self.ranks, self.bytes, self.known = ranks, {i: b for b, i in ranks.items()}, known
-        self.split = regex.compile(pattern)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, known: int = 3 << 17):
+        self.ranks, self.known, self.split = ranks, known, regex.compile(pattern)
+        self.split_ascii = in_ascii(pattern)
         self.automaton = ahocorasick.Automaton()
+        self.bytes: list[bytes] = [b""] * (max(ranks.values(), default=0) + 1)
+        self.shorter = [-1] * len(self.bytes)  # the longest token that begins this one, other than itself
         for b, i in ranks.items():
             self.automaton.add_word(b.decode("latin-1"), i)
+            self.bytes[i] = b
+            self.shorter[i] = next((ranks[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in ranks), -1)
         self.automaton.make_automaton()
-        self.shorter: dict[int, int | None] = {}
-        self.pairs: dict[int, bool] = {}
-        self.size = {i: len(b) for b, i in ranks.items()}
+        self.size = [*map(len, self.bytes)]
+        self.pairs: defaultdict[int, dict[int, bool]] = defaultdict(dict)  # by the token before, -1 at the start
+        self.n_pairs = 0
         self.steps: dict[int, list[tuple[int, bytes, bytes]]] = {}
         self.cache = Remembered(self)
 
@@ -94,30 +113,32 @@ class Bpe:
                 if found or across < next_left and across <= next_right:
                     break
                 i, j = (i + 1, j) if next_left <= next_right else (i, j + 1)
-        if len(self.pairs) >= self.known:
-            self.pairs.clear()
-        self.pairs[before << 32 | token] = found
+        if self.n_pairs >= 2 * self.known:
+            for row in self.pairs.values():  # rows stay, as one may be in use
+                row.clear()
+            self.n_pairs = 0
+        self.pairs[before][token] = found
+        self.n_pairs += 1
         return found
 
-    def next_shorter(self, token: int) -> int | None:
-        """The longest token that begins this one, other than itself."""
-        if token not in self.shorter:
-            b = self.bytes[token]
-            self.shorter[token] = next((self.ranks[b[:n]] for n in range(len(b) - 1, 0, -1) if b[:n] in self.ranks), None)
-        return self.shorter[token]
-
     def encode_piece(self, part: bytes) -> list[int]:
         if part in self.ranks:
             return [self.ranks[part]]
-        longest, size, pairs, fits = [0] * (len(part) + 1), self.size, self.pairs, self.fits
+        longest, size, pairs, shorter = [-1] * (len(part) + 1), self.size, self.pairs, self.shorter
         for end, token in self.automaton.iter(part.decode("latin-1")):
             longest[end - size[token]] = token  # of one start, the longest match ends last; the place before the first is the last
         out: list[int] = []
         dead, at, token, before, most = bytearray(len(part) + 1), 0, longest[-1], -1, len(part)
         while at < most:
-            while token is not None and (dead[at + size[token]] or not (pairs[key] if (key := before << 32 | token) in pairs else fits(before, token))):
-                token = self.next_shorter(token)
-            if token is not None:
+            row = pairs[before]
+            while token >= 0:
+                ok = row.get(token)
+                if ok is None:
+                    ok = self.fits(before, token)
+                if ok and not dead[at + size[token]]:
+                    break
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
                 at += size[token]
                 before, token = token, longest[at - 1]
@@ -127,18 +148,16 @@ class Bpe:
                 dead[at] = 1
                 token = out.pop()
                 at -= size[token]
-                before, token = out[-1] if out else -1, self.next_shorter(token)
+                before, token = out[-1] if out else -1, shorter[token]
         return out
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        parts = self.split.findall(text) if len(text) < 1 << 20 else (m[0] for m in self.split.finditer(text))
+        split = self.split_ascii if text.isascii() else self.split
+        parts = split.findall(text) if len(text) < 1 << 20 else (m[0] for m in split.finditer(text))
         return np.fromiter(chain.from_iterable(map(self.cache.__getitem__, parts)), np.int32)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
-
 
 def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
     """Ranks of a file of lines "base64 rank"; the driver reads it once, so that executors need not have it."""
@@ -146,18 +165,18 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-class Sent:
-    """A tokenizer that each worker process builds once from the ranks it was sent."""
+def sent(spark: SparkSession, ranks: dict[bytes, int], make: Callable):
+    """A function that gives make(ranks) in a worker; what is made stays with the broadcast as long as the worker keeps that."""
+    kept = spark.sparkContext.broadcast(ranks)
 
-    def __init__(self, spark: SparkSession, ranks: dict[bytes, int], pattern: str):
-        self.sent, self.pattern = spark.sparkContext.broadcast(ranks), pattern
+    def get():
+        ranks = kept.value
+        made = getattr(kept, "_made", None)
+        if made is None:
+            made = kept._made = make(ranks)
+        return made
 
-    def get(self) -> Bpe:
-        ranks = self.sent.value
-        built = getattr(self.sent, "_built", None)  # a worker keeps the broadcast, and with it what was built
-        if built is None:
-            built = self.sent._built = Bpe(ranks, self.pattern)
-        return built
+    return get
 
 
 def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id", text_col: str = "text", piece: int = 4 << 20) -> DataFrame:
@@ -167,16 +186,16 @@ def encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: s
     an automaton of all tokens; from the longest match on, tokens are taken if merging would
     leave them beside the one before, and given back if there is no way on, so that
     a match of any length takes time in proportion to it. Whether two tokens may be neighbours
-    is remembered, as are the ids of short matches, up to `known` of each in a worker.
+    is remembered, as are the ids of short matches, up to a bound in each worker.
 
     Null and empty texts: no ids. Very long texts: whole; matches of a text beyond a megabyte
     are taken one by one. Repeated rows, ties and null ids: each row by itself. No documents: no rows. Other
     columns are ignored.
     """
-    own = Sent(docs.sparkSession, ranks, pattern)
+    own = sent(docs.sparkSession, ranks, lambda ranks: Bpe(ranks, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        bpe = own.get()
+        bpe = own()
         for b in batches:
             for ids, texts in pieces(b, piece):
                 found = [bpe.encode(t) for t in texts]
@@ -192,13 +211,28 @@ def decoded(rows: DataFrame, ranks: dict[bytes, int], *, id_col: str = "doc_id",
 
     Null ids arrays: null. Empty ones: no bytes. An id that is no rank fails the job.
     """
-    own = Sent(rows.sparkSession, ranks, "")
+    def letters(ranks: dict[bytes, int]) -> pa.Array:
+        known = [None] * (max(ranks.values(), default=-1) + 1)
+        for b, i in ranks.items():
+            known[i] = b
+        return pa.array(known, pa.large_binary())
+
+    own = sent(rows.sparkSession, ranks, letters)
 
     def run(batches: Iterator[pa.RecordBatch]):
-        bpe = own.get()
+        known = own()
         for b in batches:
-            out = [None if x is None else bpe.decode(x) for x in b.column("ids").to_pylist()]
-            yield pa.record_batch([b.column("id"), b.column("ids"), pa.array(out, pa.binary())], names=["id", "ids", "bytes"])
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                ids = part.column("ids")
+                found = known.take(ids.flatten())
+                if found.null_count:
+                    raise ValueError("an id is no rank")
+                ends = np.cumsum(np.concatenate([[0], pc.fill_null(pc.list_value_length(ids), 0).to_numpy()]))
+                places = np.frombuffer(found.buffers()[1], np.int64)[ends] if len(found) else np.zeros(len(ends), np.int64)
+                out = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(places), found.buffers()[2] or pa.py_buffer(b"")]).cast(pa.binary())
+                out = pc.if_else(ids.is_valid(), out, pa.scalar(None, pa.binary()))
+                yield pa.record_batch([part.column("id"), ids, out], names=["id", "ids", "bytes"])
 
     plain = rows.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     return plain.mapInArrow(run, f"id {plain.schema['id'].dataType.simpleString()}, ids array<int>, bytes binary").select(F.col("id").alias(id_col), F.col("ids").alias(ids_col), "bytes")
