@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import ingest, views, xbrl
+from ledgerloom.operators.stored import MaintainedView, StoredTable
 from ledgerloom.plans.bind import BIND, CONTEXTS, Tables
+from ledgerloom.shared import new_folder, written
 
 QUERIES, ORACLES = {}, {}
 
@@ -210,6 +212,43 @@ def upsert(t):
     return ingest.upsert(old, rows.where("id % 2 <> 0"), ["k"], [F.desc("id")])
 
 
+@query("upsert_partitions", f""", a AS (SELECT o_custkey AS k, max(o_orderkey) AS id FROM orders WHERE {OLD} GROUP BY 1), b AS (SELECT o_custkey AS k, o_orderkey AS id FROM orders WHERE NOT ({OLD}))
+SELECT k, id, CAST(NULL AS VARCHAR) AS updated_at FROM a WHERE k NOT IN (SELECT k FROM b) UNION ALL SELECT k, max(id), '2024-05-01 00:00:00' FROM b GROUP BY 1""")
+def upsert_partitions(t):
+    rows = t.raw("orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("id"))
+    old = rows.where("id % 2 = 0").groupBy("k").agg(F.max("id").alias("id")).withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+    table = StoredTable.create(old, new_folder(rows.sparkSession, "orders"), ["k"], parts=16)
+    table.upsert(rows.where("id % 2 <> 0"), [F.desc("id")], at=F.lit("2024-05-01 00:00:00").cast("timestamp_ntz"))
+    return table.read().withColumn("updated_at", F.col("updated_at").cast("string"))
+
+
+@query("delete_partitions", """SELECT o_orderkey AS id, o_custkey AS k FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""")
+def delete_partitions(t):
+    table = StoredTable.create(t.raw("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("k")), new_folder(t.raw("orders").sparkSession, "orders"), ["id"], parts=16)
+    table.delete(t.raw("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id")))
+    return table.read()
+
+
+@query("facts_view_batches", FLAT + f""", batched AS (SELECT * REPLACE (CASE WHEN l_orderkey % 5 <> 0 AND l_orderkey % 11 < 3 THEN 2 * value ELSE value END AS value) FROM flat WHERE l_orderkey % 5 = 0 OR l_orderkey % 7 NOT BETWEEN 1 AND 3)
+SELECT {PLAIN} FROM (
+  SELECT *, row_number() OVER (PARTITION BY company_id, period_end, concept_id, context_id ORDER BY amendment_flag DESC NULLS FIRST,
+    CASE section_type WHEN 'Attachment' THEN 2 ELSE 1 END DESC, filing_timestamp DESC NULLS FIRST, {', '.join(f'{c} DESC' for c in TIES)}) AS rn
+  FROM batched) WHERE rn = 1""")
+def facts_view_batches(t):
+    """The view of facts by precedence after three batches that add, change and delete facts, kept up batch by batch."""
+    facts, last = written(flat(t).select(*COLUMNS, "fact_order"), "facts"), F.col("fact_order")
+    spark, key = facts.sparkSession, F.col("fact_order.l_orderkey")
+    base = StoredTable.create(facts.where(key % 5 != 0), new_folder(spark, "facts"), ["fact_order"], by=views.STATED, parts=16, spread=1)
+    view = MaintainedView.create(base, new_folder(spark, "view"), views.precedence(last))
+    stays = (key % 5 != 0) & ~(key % 7).between(1, 3)
+    for batch in range(3):
+        new = facts.where(key % 15 == 5 * batch)
+        changed = facts.where(stays & (key % 11 == batch)).withColumn("value", (2 * F.col("value")).cast(facts.schema["value"].dataType))
+        gone = facts.where((key % 5 != 0) & (key % 7 == batch + 1))
+        view.apply(new.unionByName(changed), gone, [last])
+    return shown(view.view.read())
+
+
 @query("has_xbrl_update", """SELECT CAST(count(*) FILTER (WHERE has_xbrl <> there) AS BIGINT) AS updated, CAST(count(*) FILTER (WHERE has_xbrl = there) AS BIGINT) AS unchanged FROM (SELECT has_xbrl, id IN (SELECT l_orderkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1996-01-01') AS there FROM disclosures)""")
 def has_xbrl_update(t):
     files = t.raw("lineitem").where(F.col("l_shipdate") < "1996-01-01").select(F.col("l_orderkey").alias("disclosure_id"))
@@ -218,20 +257,16 @@ def has_xbrl_update(t):
 
 @query("sector_codes", """SELECT 'TSE' || lpad(CAST(row_number() OVER (ORDER BY sector_english) AS VARCHAR), 4, '0') AS code, sector_english FROM (SELECT DISTINCT sector_english FROM companies)""")
 def sector_codes(t):
-    from pyspark.sql import Window as W
-
-    rows = t.companies().select("sector_english").distinct()
-    return rows.select(F.concat(F.lit("TSE"), F.lpad(F.row_number().over(W.orderBy("sector_english")).cast("string"), 4, "0")).alias("code"), "sector_english")
+    rows = views.numbered(t.companies().select("sector_english").distinct(), "no", ["sector_english"])
+    return rows.select(F.concat(F.lit("TSE"), F.lpad(F.col("no").cast("string"), 4, "0")).alias("code"), "sector_english")
 
 
 @query("migration_labels", """, cat AS (SELECT row_number() OVER (ORDER BY r_name) AS cid, r_name AS cname FROM region), sub AS (SELECT n_nationkey AS sid, n_name AS sname, r_name AS scat FROM nation JOIN region ON n_regionkey = r_regionkey)
 SELECT o.o_orderkey AS disclosure_id, cat.cid AS category_id, sub.sid AS subcat_id FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 JOIN cat ON cat.cname = r.r_name LEFT JOIN sub ON sub.sname = CASE WHEN o.o_orderkey % 4 = 0 THEN NULL ELSE n.n_name END AND sub.scat = cat.cname""")
 def migration_labels(t):
-    from pyspark.sql import Window as W
-
     region, nation = t.raw("region"), t.raw("nation")
-    categories = region.select(F.row_number().over(W.orderBy("r_name")).cast("long").alias("category_id"), F.col("r_name").alias("category"))
+    categories = views.numbered(region.select(F.col("r_name").alias("category")), "category_id", ["category"])
     named = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     subs = named.select(F.col("n_nationkey").alias("subcat_id"), F.col("n_name").alias("subcategory"), F.col("r_name").alias("category"))
     rows = t.raw("orders").join(t.raw("customer"), F.col("o_custkey") == F.col("c_custkey")).join(named, F.col("c_nationkey") == F.col("n_nationkey"))
