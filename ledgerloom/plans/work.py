@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators import tracking
 from ledgerloom.plans.bind import Tables
+from ledgerloom.streaming.states import replayed, work_log
 
 QUERIES, ORACLES = {}, {}
 
@@ -27,12 +28,37 @@ FOLD = f"""WITH {EVENTS}, fold AS (SELECT id, arg_max(status, (ts, event_id)) AS
 """
 
 
-def states(t: Tables):
+def work_events(t: Tables):
     kind, key = F.col("event_type"), F.col("event_id")
     status = F.when(kind == "purchase", "completed").when(kind == "error", "failed").when(kind == "click", "retry").otherwise("processing")
     method = F.when(key % 3 == 0, None).when(key % 2 == 0, "xbrl").otherwise("pdf")
-    events = t.raw("events").select("event_id", F.col("user_id").alias("id"), "ts", status.alias("status"), method.alias("method"), F.col("value").alias("duration"), (key % 20).alias("chunks"), F.when(kind == "error", F.concat(F.lit("code "), (key % 7).cast("string"))).alias("error"))
-    return tracking.fold(events, "id", ["ts", "event_id"])
+    return t.raw("events").select("event_id", F.col("user_id").alias("id"), "ts", status.alias("status"), method.alias("method"), F.col("value").alias("duration"), (key % 20).alias("chunks"), F.when(kind == "error", F.concat(F.lit("code "), (key % 7).cast("string"))).alias("error"))
+
+
+def states(t: Tables):
+    return tracking.fold(work_events(t), "id", ["ts", "event_id"])
+
+
+#: Every event's item was in the state of the event before, or to be tried again if that was 'processing' more than an hour ago; so was it at the end.
+MOVES = f"""WITH {EVENTS}, n AS (SELECT *, lead(ts) OVER w AS next, lag(ts) OVER w AS last, lag(status) OVER w AS was FROM ev WINDOW w AS (PARTITION BY id ORDER BY ts, event_id)),
+m AS (SELECT id, event_id, ts, CASE WHEN was IS NULL THEN 'pending' WHEN was = 'processing' AND ts > last + INTERVAL 1 HOUR THEN 'retry' ELSE was END AS before, status FROM n
+  UNION ALL SELECT id, NULL, ts + INTERVAL 1 HOUR, 'processing', 'retry' FROM n WHERE status = 'processing' AND coalesce(next, (SELECT max(ts) FROM ev)) > ts + INTERVAL 1 HOUR)
+"""
+ALLOWED = " OR ".join(f"before = '{a}' AND status IN ({', '.join(repr(x) for x in b)})" for a, b in tracking.FOLLOWS.items())
+
+
+@query("status_stream_log", MOVES + f"SELECT id, event_id, CAST(ts AS VARCHAR) AS ts, before, status, {ALLOWED} AS allowed FROM m")
+def status_stream_log(t):
+    """All moves of all items, told by a stream that keeps their states and tries stuck ones again."""
+    events = work_events(t).select("id", "event_id", "ts", "status")
+    return replayed(events.sparkSession, events, 3, work_log).withColumn("ts", F.col("ts").cast("string"))
+
+
+@query("status_stream", FOLD + ", now AS (SELECT max(ts) AS t FROM ev) SELECT id, CASE WHEN status = 'processing' AND updated_at < now.t - INTERVAL 1 HOUR THEN 'retry' ELSE status END AS status FROM fold, now")
+def status_stream(t):
+    """The last state of every item on the stream: that of the fold, with stuck items reset at the time of the last event."""
+    log = replayed(t.raw("events").sparkSession, work_events(t).select("id", "event_id", "ts", "status"), 4, work_log)
+    return log.groupBy("id").agg(F.max_by("status", F.struct("ts", F.col("event_id").isNotNull(), "event_id")).alias("status"))
 
 
 @query("status_fold", FOLD + "SELECT id, status, nullif(error, '') AS error, method, duration, chunks, CAST(completed_at AS VARCHAR) AS completed_at, CAST(updated_at AS VARCHAR) AS updated_at FROM fold")
