@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -105,7 +106,7 @@ def read_packages(spark: SparkSession, path: str) -> DataFrame:
                 try:
                     with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
                         rows = [r for n in sorted(z.namelist()) if not n.endswith("/") for r in rows_of(name, n, z.read(n))]
-                except (zipfile.BadZipFile, RuntimeError) as e:
+                except (zipfile.BadZipFile, zlib.error, RuntimeError) as e:
                     rows = [(name, None, "package", 0, None, None, None, None, None, None, str(e)[:200])]
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)] if rows else [pa.array([], f.type) for f in arrow], schema=arrow)
 
