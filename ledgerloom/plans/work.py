@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.operators import tracking
+from ledgerloom.operators import ranges, tracking
 from ledgerloom.plans.bind import Tables
 from ledgerloom.streaming.states import replayed, work_log
 
@@ -125,3 +125,28 @@ def llm_json_parse(t):
     body = F.nullif(F.regexp_extract(reply, r"(?s)\{.*\}", 0), F.lit(""))
     parsed = F.from_json(body, REPLY)
     return t.raw("events").select("event_id", parsed["n"].alias("n"), F.when(parsed.isNull(), 0.0).otherwise(F.coalesce(parsed["confidence"], F.lit(0.5))).alias("confidence"))
+
+
+#: Bounds of the tree's nodes, level by level, and the rows of events with a day and a value.
+NODES = "node(level, low, high) AS (VALUES (0, NULL, NULL), (1, NULL, 1.0), (1, 1.0, NULL), (2, NULL, 0.5), (2, 0.5, 1.0), (2, 1.0, 2.0), (2, 2.0, NULL), (3, NULL, 0.25), (3, 0.25, 0.5), (3, 0.5, 0.75), (3, 0.75, 1.0), (3, 1.0, 1.5), (3, 1.5, 2.0), (3, 2.0, 5.0), (3, 5.0, NULL))"
+
+
+@query("value_tree", f"""WITH RECURSIVE {NODES}, r AS (SELECT CAST(ts AS DATE) AS day, CASE WHEN event_id % 10 > 0 THEN value / 20 END AS v FROM events),
+c AS (SELECT day, level, CAST(low AS DOUBLE) AS low, CAST(high AS DOUBLE) AS high, count(*) AS n FROM r JOIN node ON level = 0 OR ((low IS NULL OR v >= low) AND (high IS NULL OR v < high) AND v IS NOT NULL) GROUP BY ALL),
+t AS (SELECT * FROM c WHERE level = 0 UNION ALL SELECT c.* FROM t JOIN c ON c.day = t.day AND c.level = t.level + 1 AND t.n > 60 AND coalesce(c.low, -1e9) >= coalesce(t.low, -1e9) AND coalesce(c.high, 1e9) <= coalesce(t.high, 1e9))
+SELECT CAST(day AS VARCHAR) AS day, CAST(level AS INTEGER) AS level, low, high, FALSE AS nulls, n FROM t WHERE n <= 60 OR level = 3
+UNION ALL SELECT CAST(day AS VARCHAR), 1, NULL, NULL, TRUE, count(*) FILTER (WHERE v IS NULL) FROM r GROUP BY day HAVING count(*) > 60 AND count(*) FILTER (WHERE v IS NULL) > 0""")
+def value_tree(t):
+    rows = t.raw("events").select(F.to_date("ts").alias("day"), F.when(F.col("event_id") % 10 > 0, F.col("value") / 20).alias("v"))
+    return ranges.value_leaves(rows, ["day"], "v", 60).withColumn("day", F.col("day").cast("string"))
+
+
+@query("day_spans", """WITH RECURSIVE d AS (SELECT o_orderpriority AS k, CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY ALL),
+c AS (SELECT *, sum(n) OVER (PARTITION BY k ORDER BY day DESC) AS c FROM d),
+e AS (SELECT u.k, u.day AS upper, u.c - u.n AS before, (SELECT max(x.day) FROM c x WHERE x.k = u.k AND x.c >= 25 + u.c - u.n) AS reached, (SELECT min(x.day) FROM c x WHERE x.k = u.k) AS oldest, (SELECT max(x.day) FROM c x WHERE x.k = u.k AND x.day < u.day) AS below FROM c u),
+s AS (SELECT *, 0 AS no FROM e WHERE (k, upper) IN (SELECT (k, max(day)) FROM d GROUP BY k)
+  UNION ALL SELECT e.*, s.no + 1 FROM s JOIN e ON e.k = s.k AND e.upper = CASE WHEN s.reached = s.upper THEN s.below ELSE s.reached END)
+SELECT s.k, CAST(no AS INTEGER) AS no, CAST(upper AS VARCHAR) AS upper, CAST(coalesce(reached, oldest) AS VARCHAR) AS lower, CAST(c.c - before AS BIGINT) AS n, coalesce(reached = upper, FALSE) AS "full" FROM s JOIN c ON c.k = s.k AND c.day = coalesce(reached, oldest)""")
+def day_spans(t):
+    rows = t.raw("orders").select(F.col("o_orderpriority").alias("k"), "o_orderdate")
+    return ranges.day_spans(rows, ["k"], "o_orderdate", 25).withColumns({c: F.col(c).cast("string") for c in ("upper", "lower")})
