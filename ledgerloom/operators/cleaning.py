@@ -100,10 +100,19 @@ def applied(text: Column, rules: Iterable[tuple[str, str]]) -> Column:
     return text
 
 
+def where_there(text: Column, told: Callable[[Column], Column], rules: Iterable[tuple[str, str]]) -> Column:
+    """The rules on texts that hold what all their matches hold; the others are not gone through."""
+    return T.bound(text, lambda x: F.when(told(x), applied(x, rules)).otherwise(x))
+
+
+def has_digit(text: Column) -> Column:
+    return text.rlike(FLAGS + r"\d")
+
+
 def without_row_labels(text: Column) -> Column:
     """Text without the numbers that tables give their rows (`2:`), years, times and signs left as they are."""
-    out = applied(text, ROW_NUMBERS)
-    return F.when(F.regexp_count(out, F.lit(r"\|")) > 2, applied(out, [(TABLE_NUMBER, "")])).otherwise(out)
+    out = where_there(text, lambda x: x.contains(":"), ROW_NUMBERS)
+    return where_there(out, lambda x: F.regexp_count(x, F.lit(r"\|")) > 2, [(TABLE_NUMBER, "")])
 
 
 def clean_report(text: Column) -> Column:
@@ -115,7 +124,14 @@ def clean_report(text: Column) -> Column:
 
 def clean_page(text: Column) -> Column:
     """Text of a page: one spelling, and no row numbers, page numbers or leaders."""
-    return T.strip(applied(applied(without_row_labels(T.normalise(text)), PAGE_MARKS), [(r"\s+", " ")]))
+    t = without_row_labels(T.normalise(text))
+    t = where_there(t, has_digit, PAGE_MARKS[:5])
+    t = where_there(t, lambda x: x.contains("...."), PAGE_MARKS[5:6])
+    t = where_there(t, lambda x: x.rlike(FLAGS + r"[.\s]{8}"), PAGE_MARKS[6:8])
+    t = where_there(t, lambda x: x.contains("(") | x.contains(")"), PAGE_MARKS[8:12])
+    t = where_there(t, has_digit, PAGE_MARKS[12:16])
+    t = where_there(t, lambda x: x.contains("各") | x.contains("株"), PAGE_MARKS[16:])
+    return T.strip(applied(t, [(r"\s+", " ")]))
 
 
 def without_noise(text: Column) -> Column:
@@ -128,11 +144,10 @@ def without_noise(text: Column) -> Column:
 
 def is_numeric_part(text: Column) -> Column:
     """Whether a part of a page is mostly numbers or table; by lines only from three lines on."""
-    n, digits = F.length(text), F.regexp_count(text, F.lit(T.DIGIT))
-    money, table, ja = T.signs(text, T.MONEY), T.signs(text, T.TABLE), F.regexp_count(text, F.lit(T.JAPANESE))
     lines = F.filter(F.transform(F.split(text, "\n"), T.strip), lambda x: x != "")
     dense = F.filter(lines, lambda x: (F.regexp_count(x, F.lit(T.DIGIT)) + T.signs(x, T.MONEY)) / F.length(x) > 0.5)
-    told = (digits / n > 0.15) | (money / n > 0.10) | ((digits + money) / n > 0.20) | ((table / n > 0.05) & (ja / n < 0.5)) | ((ja / n < 0.25) & ((digits + money) / n > 0.15))
+    counts = F.struct(F.length(text).alias("n"), F.regexp_count(text, F.lit(T.DIGIT)).alias("digits"), T.signs(text, T.MONEY).alias("money"), T.signs(text, T.TABLE).alias("table"), F.regexp_count(text, F.lit(T.JAPANESE)).alias("ja"))
+    told = T.bound(counts, lambda c: (c["digits"] / c["n"] > 0.15) | (c["money"] / c["n"] > 0.10) | ((c["digits"] + c["money"]) / c["n"] > 0.20) | ((c["table"] / c["n"] > 0.05) & (c["ja"] / c["n"] < 0.5)) | ((c["ja"] / c["n"] < 0.25) & ((c["digits"] + c["money"]) / c["n"] > 0.15)))
     by_line = (F.size(lines) >= 3) & (F.size(dense) / F.size(lines) > 0.6)
     return F.when(text.isNull() | (F.length(T.strip(text)) < 10), False).otherwise(told | by_line)
 
@@ -152,28 +167,32 @@ def held(text: Column, words: list[str]) -> Column:
 
 def says_little(text: Column, length: Column) -> Column:
     words = F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
-    dull = (F.size(words) > 10) & (F.size(F.array_distinct(words)) / F.size(words) < 0.30)
+    dull = T.bound(words, lambda w: (F.size(w) > 10) & (F.size(F.array_distinct(w)) / F.size(w) < 0.30))
     return dull | ((length < 200) & (held(text, FORMAT_WORDS) >= 2)) | ((length < 150) & text.rlike(FLAGS + DATE_SPAN))
 
 
 def quality_reason(text: Column, kind: Column, section: Column, length: Column, n_tokens: Column, numeric: Column) -> Column:
     """Why a chunk is not worth a vector, by the first of ten rules, or `passed`."""
-    share, pipes, cut = F.regexp_count(text, F.lit(T.DIGIT)) / F.length(text), T.signs(text, "|"), T.strip(text)
-    part = is_numeric_part(text)
-    out = F.when((length < 50) | (n_tokens < 15), "fragment")
-    out = out.when(part & (length > 400) & numeric, "mostly_numeric_large")
+    return T.bound(F.regexp_count(text, F.lit(T.DIGIT)) / F.length(text), lambda share: reason_by(share, text, kind, section, length, n_tokens, numeric))
+
+
+def reason_by(share: Column, text: Column, kind: Column, section: Column, length: Column, n_tokens: Column, numeric: Column) -> Column:
+    """The same where the share of digits is known.
+
+    Whether a part is mostly numbers takes long to tell, so it is asked once, and only of parts of some size and share.
+    """
+    pipes, cut = T.signs(text, "|"), T.strip(text)
     # A large chunk that is not known as numeric is judged as a medium one.
-    out = out.when(part & (length > 200) & (share > 0.35), "mostly_numeric_medium")
-    out = out.when(part & length.between(101, 200) & (share > 0.50), "mostly_numeric_small")
-    out = out.when(part & (length <= 100) & (share > 0.60), "mostly_numeric_tiny")
-    out = out.when(section.isin("balance_sheet", "cash_flow") & numeric & (share > 0.25), "section_specific_numeric")
+    sized = F.when((length > 400) & numeric, "large").when((length > 200) & (share > 0.35), "medium").when(length.between(101, 200) & (share > 0.50), "small").when((length <= 100) & (share > 0.60), "tiny")
+    out = F.when(section.isin("balance_sheet", "cash_flow") & numeric & (share > 0.25), "section_specific_numeric")
     out = out.when(T.signs(text, "|:0123456789.,()-△▲ \t") / F.length(text) > 0.80, "table_pattern")
     out = out.when(kind.isin("financial_position", "financial_table") & (length > 800), "mega_table")
     out = out.when((kind == "capital_policy") & (length > 1000) & (pipes > 15), "mega_equity_table")
     out = out.when((length >= 800) & (pipes >= 15) & (held(text, TRANSITION) >= 3), "ifrs_transition")
     out = out.when(says_little(text, length), "low_information")
     out = out.when(cut.rlike(r"^(\||[2-9]:)"), "continuation_fragment")
-    return out.when(length < 100, "very_short").otherwise("passed")
+    out = out.when(length < 100, "very_short").otherwise("passed")
+    return F.coalesce(F.when((length < 50) | (n_tokens < 15), "fragment"), F.when(sized.isNotNull() & is_numeric_part(text), F.concat(F.lit("mostly_numeric_"), sized)), out)
 
 
 def removal_counts(reasons: DataFrame, reason: str) -> DataFrame:

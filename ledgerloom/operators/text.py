@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,11 @@ def compatible(text: str) -> str:
     return "".join(x if x in SEVERAL else unicodedata.normalize("NFKC", x) for x in CIRCLED.split(text))
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f reads it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def nfkc(text: Column) -> Column:
     """Compatibility form; no built-in has it."""
 
@@ -90,13 +96,12 @@ DIGIT, MONEY, TABLE, JAPANESE = r"\p{Nd}", ".,|-△▲%", "|:()[]", "[぀-ヿ一
 
 def is_numeric(text: Column) -> Column:
     """Whether a chunk is mostly numbers or table."""
-    n = F.length(text)
-    digits, money, table, ja = ratio(text, DIGIT), signs(text, MONEY) / n, signs(text, TABLE) / n, ratio(text, JAPANESE)
     lines = F.transform(F.split(text, "\n"), strip)
     dense = F.size(F.filter(lines, lambda x: (F.length(x) > 5) & ((F.regexp_count(x, F.lit(DIGIT)) + signs(x, MONEY + ":()[]")) / F.length(x) > 0.5)))
     by_line = (F.size(lines) > 1) & (dense / F.size(lines) > 0.6)
-    told = (digits > 0.15) | (money > 0.10) | (digits + money > 0.20) | ((table > 0.05) & (ja < 0.5)) | ((ja < 0.25) & (digits + money > 0.15)) | by_line
-    return F.when(text.isNull() | (F.length(strip(text)) < 20), False).otherwise(told)
+    shares = F.struct(ratio(text, DIGIT).alias("digits"), (signs(text, MONEY) / F.length(text)).alias("money"), (signs(text, TABLE) / F.length(text)).alias("table"), ratio(text, JAPANESE).alias("ja"))
+    told = bound(shares, lambda s: (s["digits"] > 0.15) | (s["money"] > 0.10) | (s["digits"] + s["money"] > 0.20) | ((s["table"] > 0.05) & (s["ja"] < 0.5)) | ((s["ja"] < 0.25) & (s["digits"] + s["money"] > 0.15)))
+    return F.when(text.isNull() | (F.length(strip(text)) < 20), False).otherwise(told | by_line)
 
 
 NUMERIC = r"[\p{Nd}.,|\-△▲]"

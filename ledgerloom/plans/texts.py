@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import text
 from ledgerloom.plans.bind import Tables
+from ledgerloom.shared import spread
 from ledgerloom.sources import html
 
 QUERIES, ORACLES = {}, {}
@@ -22,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def documents(t: Tables):
-    return t.raw("documents").select("doc_id", "text", "lang", "source")
+    return spread(t.raw("documents").select("doc_id", "text", "lang", "source"))
 
 
 def count_sql(pattern: str, text: str = "text") -> str:

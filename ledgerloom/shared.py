@@ -62,3 +62,9 @@ def forget(*tables: DataFrame) -> None:
 def drop_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that are read in fewer splits than there are cores, dealt to all cores; other inputs are read where they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
