@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -282,6 +284,44 @@ def chunked(df: DataFrame, key: str, text: str, cut: Callable[..., list[str]] =
     return df.select(key, F.posexplode(run(F.col(text))).alias("chunk_index", "content"))
 
 
+class Blocks:
+    """Blocks of a text, and which of them may be alike to another by the grams that they share.
+
+    Texts of lengths a and b with a ratio above r have more than r (a + b) / 2 = m letters in common runs, in order. Between two
+    runs lies a letter that is in none, so there are at most 1 + a + b - 2 m runs, and at least m - (q - 1) runs of one's
+    q-grams lie in them. All that share as many with a block are found by counting places in lists of the grams; the others
+    cannot be alike. If the bound is not positive, all are given.
+    """
+
+    def __init__(self, ratio: float, q: int = 5, again: int = 3):
+        self.ratio, self.q, self.again = ratio, q, again
+        self.texts, self.sets, self.lengths = [], [], array("i")
+        self.lists: dict[str, array] = {}
+
+    def add(self, b: str) -> None:
+        for g in set(grams(b, self.q)):
+            self.lists.setdefault(g, array("i")).append(len(self.texts))
+        self.texts.append(b)
+        self.sets.append(frozenset(grams(b, self.again)))
+        self.lengths.append(len(b))
+
+    def near(self, b: str) -> list[str]:
+        """The blocks that may be alike to b, in the order in which they came: by grams of q letters in the lists, and then by shorter ones."""
+        if not self.texts:
+            return []
+        found = [np.frombuffer(self.lists[g], np.intc) for g in grams(b, self.q) if g in self.lists]
+        shared = np.bincount(np.concatenate(found), minlength=len(self.texts)) if found else np.zeros(len(self.texts), int)
+        lengths = np.frombuffer(self.lengths, np.intc)
+        common = np.floor(self.ratio * (lengths + len(b)) / 2)  # one less than the least number of letters in common
+        runs = 1 + lengths + len(b) - 2 * common
+        short = grams(b, self.again)
+        return [self.texts[i] for i in np.flatnonzero(shared >= common - (self.q - 1) * runs) if sum(map(self.sets[i].__contains__, short)) >= common[i] - (self.again - 1) * runs[i]]
+
+
+def grams(b: str, q: int) -> list[str]:
+    return [b[i : i + q] for i in range(len(b) - q + 1)]
+
+
 def once(text: str | None, least: int = 20, block: int = 100, step: int = 50) -> str | None:
     """A text without sentences that it repeats and, if they are a fifth of it, without blocks much like earlier ones."""
     if not text or len(text) < 100:
@@ -298,10 +338,13 @@ def once(text: str | None, least: int = 20, block: int = 100, step: int = 50) ->
             seen.add(flat)
     whole = " ".join(kept)
     blocks = [whole[i : i + block] for i in range(0, len(whole), step)]
-    new: list[str] = []
+    new, known = [], Blocks(0.9)
     for b in blocks:
-        if len(b) <= step or not any(len(x) > step and T.alike(b, x, 0.9) for x in new):
+        if len(b) <= step:
+            new.append(b)
+        elif not any(T.alike(b, x, 0.9) for x in known.near(b)):
             new.append(b)
+            known.add(b)
     return re.sub(r"\s{2,}", " ", "".join(new)).strip() if len(new) < 0.8 * len(blocks) else whole
 
 
