@@ -29,15 +29,16 @@ def fold(events: DataFrame, key: str, order: list[str]) -> DataFrame:
     )
 
 
-def selected(items: DataFrame, *, resume: bool = False, retry_failed: bool = False, force: bool = False, since: Column | None = None) -> DataFrame:
-    """Items to work on: those with a file that are open (resume), or not completed unless forced, and recent."""
+def selected(items: DataFrame, *, resume: bool = False, retry_failed: bool = False, force: bool = False, since: Column | None = None, most: int | None = None, order: list[Column] = ()) -> DataFrame:
+    """Items to work on: those with a file that are open (resume), or not completed unless forced, and recent; the first `most` of them in order, if given."""
     status = F.coalesce(F.col("status"), F.lit("pending"))
     if resume:
         open_ = status.isin("pending", "failed", "retry") if retry_failed else status == "pending"
     else:
         open_ = F.lit(True) if force else status != "completed"
     there = (F.col("pdf_path").isNotNull() & (F.col("pdf_path") != "")) | (F.col("xbrl_path").isNotNull() & (F.col("xbrl_path") != ""))
-    return items.where(there & open_ & (F.lit(True) if since is None else F.col("disclosure_date") >= since))
+    wanted = items.where(there & open_ & (F.lit(True) if since is None else F.col("disclosure_date") >= since))
+    return wanted if most is None else wanted.orderBy(*order).limit(most)
 
 
 def reset_stuck(states: DataFrame, now: Column, hours: int = 1) -> DataFrame:

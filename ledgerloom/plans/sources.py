@@ -9,9 +9,10 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import xbrl
 from ledgerloom.plans.bind import Tables
 from ledgerloom.shared import new_folder
-from ledgerloom.sources import functions, package_source, packages, workbooks
+from ledgerloom.sources import functions, package_source, packages, tables, workbooks
 
 QUERIES, ORACLES = {}, {}
 
@@ -97,6 +98,12 @@ def put(rows, folder: str):
 @query("packages_source", "SELECT 'p' || (l_orderkey % 50) || '.zip' AS package, 'p:c' || l_linenumber AS name, l_returnflag AS context, CAST(l_partkey AS VARCHAR) || ' & ' || l_suppkey AS text FROM lineitem")
 def packages_source(t):
     """The facts of fifty packages, read by the data source."""
+    found = packages.facts(packaged(t).where("kind = 'fact'"))
+    return found.select(F.element_at(F.split("package", "/"), -1).alias("package"), "name", F.col("context_id").alias("context"), "text")
+
+
+def packaged(t):
+    """Fifty packages of instances, a schema and a broken linkbase, as the data source reads them."""
     rows = instances(t)
     books = rows.groupBy((F.col("l_orderkey") % 50).alias("k")).agg(F.collect_list(F.struct("l_orderkey", "html")).alias("files"))
 
@@ -108,8 +115,7 @@ def packages_source(t):
     spark = rows.sparkSession
     root = put(books.mapInArrow(pack, "name string, content binary"), new_folder(spark, "packages"))
     package_source.register(spark)
-    found = spark.read.format("report_packages").option("runBytes", 1 << 16).load(root).where("kind = 'fact'")
-    return packages.facts(found).select(F.element_at(F.split("package", "/"), -1).alias("package"), "name", F.col("context_id").alias("context"), "text")
+    return spark.read.format("report_packages").option("runBytes", 1 << 16).load(root)
 
 
 SHEET = "<worksheet xmlns='http://schemas.openxmlformats.org/spreadsheetml/2006/main'><sheetData>{}</sheetData></worksheet>"
@@ -148,3 +154,57 @@ def workbook_records(t):
     books = names.mapInArrow(book, "c_nationkey int, content binary")
     rows = workbooks.records(workbooks.workbook_rows(books, "c_nationkey", "content"), "c_nationkey", ["company_code", "name_en"], ["name_ja", "listed"])
     return rows.select("c_nationkey", "company_code", "name_en", "name_ja", "listed")
+
+
+@query("companies_csv", "SELECT CAST(c_custkey AS VARCHAR) AS ticker, CASE WHEN c_custkey % 5 > 0 THEN c_name || ', \"Inc\"' END AS name, CASE WHEN c_custkey % 4 > 0 THEN CAST(CAST(DATE '2020-01-01' + CAST(c_custkey % 900 AS INTEGER) AS DATE) AS VARCHAR) END AS listed_date, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment || '|' || c_nationkey END AS aliases FROM customer WHERE c_custkey % 5 > 0")
+def companies_csv(t):
+    """Companies written as a CSV file and read again, with blanks, quotes, days and lists."""
+    k = F.col("c_custkey")
+    day = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (k % 900).cast("int")), "M/d/yyyy")
+    name = F.when(k % 5 > 0, F.concat(F.lit("  "), "c_name", F.lit(', "Inc" '))).otherwise("  ")
+    rows = t.raw("customer").select(k.cast("string").alias("ticker"), name.alias("name"), F.when(k % 4 > 0, day).otherwise("no day").alias("listed_date"), F.when(k % 3 > 0, F.concat("c_mktsegment", F.lit(" ; ;"), F.col("c_nationkey").cast("string"))).otherwise(" ; ").alias("aliases"))
+    folder = new_folder(rows.sparkSession, "companies")
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    out = tables.required(tables.read_companies(rows.sparkSession, folder), "ticker", "name")
+    return out.select("ticker", "name", F.col("listed_date").cast("string").alias("listed_date"), F.array_join("aliases", "|").alias("aliases"))
+
+
+@query("written_tables", " UNION ALL ".join(f"SELECT '{kind}' AS kind, o_orderkey, o_orderstatus, o_totalprice FROM orders" for kind in ("parquet", "orc", "json", "csv")))
+def written_tables(t):
+    """Orders written in each kind of file, by status, and read again."""
+    rows, out = t.raw("orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), None
+    for kind in ("parquet", "orc", "json", "csv"):
+        folder = new_folder(rows.sparkSession, f"orders-{kind}")
+        tables.write(rows, folder, kind, ["o_orderstatus"])
+        reader = rows.sparkSession.read.schema("o_orderkey long, o_totalprice double, o_orderstatus string").option("header", True)
+        one = getattr(reader, kind)(folder).select(F.lit(kind).alias("kind"), *rows.columns)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+KINDS = ["x:monetaryItemType", "x:stringItemType", "nonnumeric:textBlockItemType", "x:decimalItemType", "x:dateItemType", "x:numberItemType", "perShareItemType", "longTextType", "bool:booleanFlag"]
+
+
+@query("concept_types", "SELECT p_partkey, CASE p_partkey % 9 WHEN 0 THEN 'monetary' WHEN 3 THEN 'decimal' WHEN 5 THEN 'decimal' WHEN 7 THEN 'string' WHEN 8 THEN 'boolean' END AS kind FROM part")
+def concept_types(t):
+    raw = F.element_at(F.array(*map(F.lit, KINDS)), (F.col("p_partkey") % 9 + 1).cast("int"))
+    return t.raw("part").select("p_partkey", xbrl.item_type(raw).alias("kind"))
+
+
+@query("label_links", "SELECT r_name AS package, n_name AS local_name, CASE WHEN n_nationkey % 3 = 0 THEN lower(n_name) ELSE 'by id ' || n_nationkey END AS label FROM nation JOIN region ON n_regionkey = r_regionkey")
+def label_links(t):
+    """Labels that reach their concept by an arc, or by the pattern of their id where there is none."""
+    rows = t.raw("nation").join(t.raw("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    key, name, by_arc = F.col("n_nationkey").cast("string"), F.col("n_name"), F.col("n_nationkey") % 3 == 0
+    link = lambda kind, a, b, at: F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), (F.col("n_nationkey") * 4 + at).cast("long").alias("position"))
+    loc, arc = link("loc", F.concat(F.lit("L"), key), name, 0), link("arc", F.concat(F.lit("L"), key), F.concat(F.lit("T"), key), 1)
+    text = F.when(by_arc, link("label", F.concat(F.lit("T"), key), F.lower(name), 2)).otherwise(link("label", F.concat(F.lit("p_"), name, F.lit("_label_x")), F.concat(F.lit("by id "), key), 2))
+    links = rows.select(F.col("r_name").alias("package"), F.explode(F.array(loc, arc, text)).alias("x")).select("package", "x.*")
+    return xbrl.labels(links).select("package", "local_name", "label")
+
+
+@query("package_values", "WITH v AS (SELECT l_orderkey % 50 AS k, l_linenumber AS n, CAST(l_partkey AS VARCHAR) || ' & ' || l_suppkey AS v, l_orderkey || '-ixbrl.htm' AS path, '<ix:nonFraction name=''p:c' || l_linenumber || ''' contextRef=''' || l_returnflag || ''' scale=''6''' || CASE WHEN l_linestatus = 'O' THEN ' unitRef=''JPY''' ELSE '' END || '><b>' || l_partkey || '</b> &amp; ' || l_suppkey AS f FROM lineitem) SELECT 'p' || k || '.zip' AS package, arg_min(v, (path, f)) FILTER (WHERE n = 1) AS c1, arg_min(v, (path, f)) FILTER (WHERE n = 2) AS c2 FROM v GROUP BY k")
+def package_values(t):
+    """The first value of two tags in each package."""
+    found = packages.first_values(packaged(t).where("kind = 'fact'"), ["c1", "c2"])
+    return found.withColumn("package", F.element_at(F.split("package", "/"), -1))

@@ -7,6 +7,8 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators import ranges, tracking
 from ledgerloom.plans.bind import Tables
+from ledgerloom.shared import new_folder
+from ledgerloom.streaming.events import ingest_absent, window_counts
 from ledgerloom.streaming.states import replayed, work_log
 
 QUERIES, ORACLES = {}, {}
@@ -73,6 +75,34 @@ def status_select(t):
     return tracking.selected(items.join(states(t), "id", "left"), since=F.lit("2001-01-01").cast("date")).select("id", "status")
 
 
+@query("status_select_first", FOLD + "SELECT o_orderkey AS id, f.status FROM orders LEFT JOIN fold f ON f.id = o_orderkey WHERE (o_orderkey % 4 <> 0 OR o_orderkey % 3 = 0) AND coalesce(f.status, 'pending') IN ('pending', 'failed', 'retry') ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")
+def status_select_first(t):
+    """The hundred newest items that are open, failed ones too."""
+    key = F.col("o_orderkey")
+    items = t.raw("orders").select(key.alias("id"), F.col("o_orderdate").alias("disclosure_date"), F.when(key % 4 != 0, "a.pdf").alias("pdf_path"), F.when(key % 3 == 0, "a.zip").otherwise("").alias("xbrl_path"))
+    return tracking.selected(items.join(states(t), "id", "left"), resume=True, retry_failed=True, most=100, order=[F.desc("disclosure_date"), F.asc("id")]).select("id", "status")
+
+
+@query("event_windows", "SELECT CAST(s AS VARCHAR) AS start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 6 HOUR, ts), time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 6 HOUR]) AS s FROM events) GROUP BY ALL")
+def event_windows(t):
+    """Events of windows of twelve hours, one every six."""
+    out = window_counts(t.raw("events"), "ts", "12 hours", ["event_type"], "6 hours")
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz").cast("string"))
+
+
+@query("ingest_stream", "SELECT user_id, event_type, CAST(arg_min(event_id, (ts, event_id)) AS BIGINT) AS event_id FROM events GROUP BY ALL")
+def ingest_stream(t):
+    """The first event of each user and kind, taken in from a stream of three arrivals; the last arrival repeats the first."""
+    rows = t.raw("events").select("user_id", "event_type", "ts", "event_id")
+    spark, root = rows.sparkSession, new_folder(rows.sparkSession, "ingest")
+    middle = rows.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    for part in (rows.where(F.col("ts") <= F.lit(middle)), rows.where(F.col("ts") > F.lit(middle)), rows.where(F.col("ts") <= F.lit(middle))):
+        part.write.mode("append").parquet(f"{root}/arrived")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/arrived")
+        ingest_absent(stream, f"{root}/table", ["user_id", "event_type"], ["ts", "event_id"], f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{root}/table").select("user_id", "event_type", "event_id")
+
+
 @query("status_stats", FOLD + "SELECT count(*) AS total, " + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in tracking.STATES) + ", CAST(coalesce(sum(chunks), 0) AS BIGINT) AS total_chunks, round(avg(coalesce(duration, 0)), 4) AS avg_duration FROM fold")
 def status_stats(t):
     return tracking.report(states(t)).withColumn("avg_duration", F.round("avg_duration", 4))
