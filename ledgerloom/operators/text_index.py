@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.shared import forget, written
+from ledgerloom.shared import written
 
 #: English words that tell nothing of a text.
 STOP_WORDS = "a about after all also an and any are as at be been but by can could did do does for from had has have he her his how i if in into is it its may more no not of on or our out over she so some such than that the their them then there these they this to under up was we were what when which who will with would you your".split()
@@ -47,6 +50,34 @@ def weight(df: Column, total: int, part: Column) -> Column:
     return F.round(1e6 * idf * part).cast("long")
 
 
+def text_lists(words: DataFrame) -> DataFrame:
+    """(doc, term, tf, positions, length) of each text (doc, words): for each of its terms where it stands, and how many words the text has."""
+    kind = words.schema["doc"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                column = part.column("words")
+                n = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+                row = np.repeat(np.arange(len(n)), n)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                flat = column.flatten().dictionary_encode()
+                code = pc.fill_null(flat.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+                row, place, code = row[code >= 0], place[code >= 0], code[code >= 0]
+                length = np.bincount(row, minlength=len(n))
+                order = np.lexsort((place, code, row))
+                row, place, code = row[order], place[order], code[order]
+                first = np.flatnonzero(np.concatenate([np.ones(min(len(row), 1), bool), (row[1:] != row[:-1]) | (code[1:] != code[:-1])]))
+                offsets = np.append(first, len(row)).astype(np.int32)
+                yield pa.record_batch(
+                    [part.column("doc").take(pa.array(row[first])), flat.dictionary.take(pa.array(code[first])), pa.array(np.diff(offsets).astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(place.astype(np.int32))), pa.array(length[row[first]])],
+                    names=["doc", "term", "tf", "positions", "length"],
+                )
+
+    return words.mapInArrow(run, f"doc {kind}, term string, tf long, positions array<int>, length long")
+
+
 class TextIndex:
     """Posting lists in a folder.
 
@@ -69,26 +100,20 @@ class TextIndex:
     def build(cls, docs: DataFrame, folder: str, *, key: str, text: str, buckets: int = 32, head: int = 64) -> TextIndex:
         """Writes the index of all whole texts. Texts without words count among all, and are in no list.
 
-        A row of a term and a text is made where the text is read, and dealt out by both, so a term that is in every text
-        is spread over all tasks; counts and heads of terms are cut down task by task before terms meet.
-        Repeated keys: their texts are one, place by place.
+        The lists of a text are made where it is read, and then dealt out by bucket and text, so a term that is in every text
+        is spread over several tasks; counts and heads of terms are cut down task by task before terms meet.
+        Repeated keys: each row is a text, and the scores of one key add up.
         """
         spark = docs.sparkSession
         words = docs.select(F.col(key).alias("doc"), tokens(F.col(text)).alias("words"))
-        lengths = words.groupBy("doc").agg(F.sum(F.size(F.array_compact("words"))).cast("long").alias("length"))
-        lengths = written(lengths, "lengths")
-        total, average = lengths.agg(F.count(F.lit(1)), F.avg("length")).first()
+        total, average = words.agg(F.count(F.lit(1)), F.avg(F.size(F.array_compact("words")))).first()
         spark.createDataFrame([(total, average or 1.0, buckets)], "total long, average double, buckets int").coalesce(1).write.parquet(f"{folder}/stats")
-        places = words.select("doc", F.posexplode("words").alias("at", "term")).where("term is not null")
-        lists = places.groupBy("term", "doc").agg(F.sort_array(F.collect_list("at")).alias("positions"))
-        lists = lists.withColumn("tf", F.size("positions").cast("long")).join(lengths, "doc")
-        lists = lists.select("term", "doc", "tf", "positions", impact(F.col("tf"), F.col("length"), average or 1.0).alias("part"), bucket_of(F.col("term"), buckets).alias("bucket"))
+        lists = text_lists(words).select("term", "doc", "tf", "positions", impact(F.col("tf"), F.col("length"), average or 1.0).alias("part"), bucket_of(F.col("term"), buckets).alias("bucket"))
         lists.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(8))).sortWithinPartitions("bucket", "term", "doc").write.partitionBy("bucket").parquet(f"{folder}/postings")
         filed = spark.read.schema(postings_schema(lists.schema["doc"].dataType.simpleString())).parquet(f"{folder}/postings")
         filed.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max("part").alias("best")).write.parquet(f"{folder}/terms")
         first = W.partitionBy("term").orderBy(F.desc("part"), "doc")
         filed.select("term", "doc", "part").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= head).drop("_n").write.parquet(f"{folder}/heads")
-        forget(lengths)
         return cls(spark, folder)
 
     def search(self, queries: DataFrame, *, key: str, text: str, k: int = 10) -> DataFrame:
