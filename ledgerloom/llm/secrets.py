@@ -14,6 +14,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 
 from ledgerloom.llm.common import id_text
@@ -41,6 +42,8 @@ MAGIC = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
 #: Where compressed bytes may begin: gzip, bzip2, xz, Zstandard, and headers of zlib without a dictionary.
 ZLIB = [bytes([m, f]) for m in range(8, 128, 16) for f in range(256) if (m << 8 | f) % 31 == 0 and not f & 32]
 PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + b"|".join(map(re.escape, ZLIB)), re.S)
+#: What decompressors raise for damaged data.
+DAMAGED = (zlib.error, OSError, lzma.LZMAError, zstandard.ZstdError)
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -113,15 +116,10 @@ class Zstandard:
     needs_input = True
 
     def __init__(self):
-        import zstandard
-
-        self.inner, self.broken = zstandard.ZstdDecompressor().decompressobj(), zstandard.ZstdError
+        self.inner = zstandard.ZstdDecompressor(max_window_size=1 << 31).decompressobj()  # the largest that is ever written
 
     def decompress(self, data: bytes, most: int) -> bytes:
-        try:
-            return self.inner.decompress(data)
-        except self.broken as e:
-            raise ValueError from e
+        return self.inner.decompress(data)
 
     eof = property(lambda self: self.inner.eof)
     unused_data = property(lambda self: self.inner.unused_data)
@@ -140,43 +138,80 @@ def opener(head: bytes):
     return Inflate(15), 1 << 16
 
 
+class Again:
+    """Pieces of bytes that can be read more than once."""
+
+    def __init__(self, begin: Callable[[], Iterator[bytes]]):
+        self.begin = begin
+
+    def __iter__(self) -> Iterator[bytes]:
+        return self.begin()
+
+
 class Member:
     """The contents of the compressed member that pieces of bytes begin with, piece by piece.
 
-    When they end, state is whole, cut or broken, and size that of a whole member.
+    When they end, state is whole, cut or broken, and size that of a whole member, or what was read of it.
+    A broken one gives all that comes before the damage (of a bzip2 block with a wrong checksum all but the last byte);
+    for that its pieces are read again.
+    Only what a decompressor says of its data is damage. Errors of the pieces and want of memory are raised.
     """
 
     def __init__(self, data: Iterable[bytes]):
         self.data, self.state, self.size = data, "open", 0
 
     def __iter__(self) -> Iterator[bytes]:
-        source, head = iter(self.data), b""
+        given = 0
+        for out in self.unpacked(1 << 16):
+            given += len(out)
+            yield out
+        for most in (1 << 8, 1):
+            if self.state == "broken" and (rest := b"".join(self.unpacked(most, self.size, given))):
+                given += len(rest)
+                yield rest
+
+    def unpacked(self, most: int, good: int = 0, given: int = 0) -> Iterator[bytes]:
+        """What comes after the given bytes; once the good bytes are read, at most so many are fed and taken at once."""
+        source, head, got = iter(self.data), b"", 0
+        self.size = 0
         while len(head) < 6 and (x := next(source, None)) is not None:
             head += x
-        try:
-            d, step = opener(head)
-            for x in chain([head], source):
-                for i in range(0, len(x), step):
-                    part = x[i : i + step]
-                    self.size += len(part)
-                    while True:
-                        out = d.decompress(part, 1 << 20)
-                        if out:
-                            yield out
-                        if d.eof:
-                            self.size -= len(d.unused_data)
-                            self.state = "whole"
-                            return
-                        if d.needs_input:
-                            break
-                        part = b""
-            self.state = "cut"
-        except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, ImportError):
-            self.state = "broken"
-
-
-def slices(raw: bytes, start: int) -> Iterator[bytes]:
-    return (raw[i : i + (1 << 16)] for i in range(start, len(raw), 1 << 16))
+        d, step = opener(head)
+        for x in chain([head], source):
+            i = 0
+            while i < len(x):
+                part = x[i : i + min(step, most if self.size >= good else good - self.size)]
+                fed = len(part)
+                while True:
+                    try:
+                        out = d.decompress(part, min(max(given - got, most), 1 << 16) if self.size >= good else 1 << 16)
+                    except DAMAGED as e:
+                        if "Allocation error" in str(e) or str(e).startswith("Error -4 "):
+                            raise MemoryError(str(e)) from e
+                        self.state = "broken"
+                        return
+                    if new := out[max(given - got, 0) :]:
+                        yield new
+                    got += len(out)
+                    if d.eof:
+                        self.size += fed - len(d.unused_data)
+                        self.state = "whole"
+                        return
+                    if d.needs_input:
+                        break
+                    part = b""
+                self.size += fed
+                i += fed
+        self.state = "cut"
+
+
+def slices(raw: bytes, start: int) -> Again:
+    return Again(lambda: (raw[i : i + (1 << 16)] for i in range(start, len(raw), 1 << 16)))
+
+
+def left_off(member: Member, raw: bytes, at: int) -> bool:
+    """Whether a member was not read to its end. Headers of zlib are too short to tell a member from chance."""
+    return member.state != "whole" and raw.startswith(MAGIC, at)
 
 
 def members(raw: bytes, start: int, stop: int) -> Iterator[tuple[int, Member, bool]]:
@@ -188,11 +223,16 @@ def members(raw: bytes, start: int, stop: int) -> Iterator[tuple[int, Member, bo
         start = m.start() + member.size if member.state == "whole" else m.start() + 1
 
 
-def kinds_in(raw: bytes, at: int, most: int) -> set[int]:
-    """Kinds of secrets in the member that begins at a place, and in all that it holds."""
+def kinds_in(raw: bytes, at: int, most: int) -> tuple[set[int], bool]:
+    """Kinds of secrets in the member that begins at a place and in all that it holds, and whether no other can be in what was not read."""
     kinds: set[int] = set()
-    kinds_of(lambda: iter(Member(slices(raw, at))), kinds, most)
-    return kinds
+    return kinds, kinds_of(lambda: iter(Member(slices(raw, at))), kinds, most)
+
+
+def watched(member: Member, unread: list[int], at: int) -> Iterator[bytes]:
+    yield from member
+    if member.state != "whole":
+        unread.append(at)
 
 
 def gathered(pieces: Iterator[bytes], most: int) -> Iterator[tuple[bytes, bool]]:
@@ -261,24 +301,28 @@ def unbase64(pieces: Iterator[bytes], skip: int) -> Iterator[bytes]:
     yield base64_bytes((body + "".join(LINE.findall(held)[:1]))[skip:])
 
 
-def kinds_of(stream: Callable[[], Iterator[bytes]], kinds: set[int], most: int) -> None:
+def kinds_of(stream: Callable[[], Iterator[bytes]], kinds: set[int], most: int) -> bool:
     """Adds the kinds of secrets in a stream of bytes and in all that is encoded in it.
 
+    False if a compressed member in it could not be read to its end and kinds are missing that may be there.
+
     A worklist holds streams, of any number of layers on one another; all share a set of digests, so that
     what has been read once is not unpacked again, be it by a cycle or by a repeat.
     """
     seen: set[bytes] = set()
-    todo = [below(stream, kinds, most, seen)]
+    unread: list[int] = []
+    todo = [below(stream, kinds, most, seen, unread)]
     while todo and len(kinds) < len(KINDS):
         try:
-            todo.append(below(next(todo[-1]), kinds, most, seen))
+            todo.append(below(next(todo[-1]), kinds, most, seen, unread))
         except StopIteration as end:
             todo.pop()
-            todo += [below(x, kinds, most, seen) for x in reversed(end.value or [])]
+            todo += [below(x, kinds, most, seen, unread) for x in reversed(end.value or [])]
+    return len(kinds) == len(KINDS) or not unread
 
 
-def below(stream: Callable[[], Iterator[bytes]], kinds: set[int], most: int, seen: set[bytes]) -> Generator[Callable[[], Iterator[bytes]], None, list[Callable[[], Iterator[bytes]]] | None]:
-    """Adds the kinds in a stream itself; yields and returns the streams one layer below it.
+def below(stream: Callable[[], Iterator[bytes]], kinds: set[int], most: int, seen: set[bytes], unread: list[int]) -> Generator[Callable[[], Iterator[bytes]], None, list[Callable[[], Iterator[bytes]]] | None]:
+    """Adds the kinds in a stream itself, and members that cannot be read to their end; yields and returns the streams one layer below it.
 
     The stream is read in overlapping pieces of about `most` bytes and begun anew
     for each layer that does not fit a piece, so it can be of any length. What lies in the last
@@ -328,7 +372,9 @@ def below(stream: Callable[[], Iterator[bytes]], kinds: set[int], most: int, see
             if some:
                 own.append(lambda raw=raw, at=at: iter(Member(slices(raw, at))))
             if member.state == "cut" and not last:
-                packed.append(base + at)
+                packed.append((base + at, raw.startswith(MAGIC, at)))
+            elif left_off(member, raw, at):
+                unread.append(base + at)
             reach = at + member.size if member.state == "whole" else reach
         if new and not last:
             yield from own
@@ -338,7 +384,9 @@ def below(stream: Callable[[], Iterator[bytes]], kinds: set[int], most: int, see
         base, tail = base + keep, raw[keep:]
     if not new:
         return None
-    own += [lambda at=at: iter(Member(beyond(stream(), at))) for at in packed]
+    for at, named in packed:
+        member = lambda at=at: Member(Again(lambda: beyond(stream(), at)))
+        own.append((lambda member=member, at=at: watched(member(), unread, at)) if named else lambda member=member: iter(member()))
     own += [lambda at=at, skip=skip: unbase64(beyond(stream(), at), skip) for at in runs for skip in range(4)]
     return own + [lambda: unescaped(stream(), URL, url_byte)] * url + [lambda: unescaped(stream(), UNICODE, one_byte)] * unicode
 
@@ -352,28 +400,34 @@ def layer(raw: bytes) -> str | None:
     return raw.decode("latin-1") if ENOUGH.search(raw) else None
 
 
-def from_base64(body: str, at: np.ndarray, end: int, most: int) -> tuple[list[tuple[str, np.ndarray, np.ndarray]], list[tuple[int, int, int]]]:
-    """What base64 characters hold from the first of them: bytes by groups of four, and secrets of what was compressed.
+def from_base64(body: str, at: np.ndarray, end: int, most: int) -> tuple[list[tuple[str, np.ndarray, np.ndarray]], list[tuple[int, int, int]], list[tuple[int, bool]]]:
+    """What base64 characters hold from the first of them: bytes by groups of four, secrets of what was compressed, and places of members with whether they were read.
 
     at: the place of each character; end: where the run ends.
     """
     raw = base64_bytes(body)
-    spans = [(int(at[start * 4 // 3]), k, end) for start, _, some in members(raw, 0, len(raw)) if some for k in kinds_in(raw, start, most)]  # something may stand before it
+    spans, reads = [], []
+    for start, member, some in members(raw, 0, len(raw)):  # something may stand before it
+        place = int(at[start * 4 // 3])
+        kinds, all_ = kinds_in(raw, start, most) if some else (set(), True)
+        spans += [(place, k, end) for k in kinds]
+        reads.append((place, all_ and not left_off(member, raw, start)))
     text = layer(raw)
     if text is None:
-        return [], spans
+        return [], spans, reads
     last = np.arange(1, len(raw) + 1)
-    return [(text, at[(last - 1) * 4 // 3], at[-(-last * 4 // 3) - 1] + 1)], spans
+    return [(text, at[(last - 1) * 4 // 3], at[-(-last * 4 // 3) - 1] + 1)], spans, reads
 
 
-def base64_layers(text: str, most: int) -> tuple[list[tuple[str, np.ndarray, np.ndarray]], list[tuple[int, int, int]]]:
-    """The layers and compressed secrets of all base64 runs, from each of the four places a group may begin at, and of their single lines."""
-    out, spans = [], []
+def base64_layers(text: str, most: int) -> tuple[list[tuple[str, np.ndarray, np.ndarray]], list[tuple[int, int, int]], list[tuple[int, bool]]]:
+    """The layers, compressed secrets and members of all base64 runs, from each of the four places a group may begin at, and of their single lines."""
+    out, spans, reads = [], [], []
 
     def add(*run):
-        layers, found = from_base64(*run, most)
+        layers, found, members_read = from_base64(*run, most)
         out.extend(layers)
         spans.extend(found)
+        reads.extend(members_read)
 
     for m in BASE64.finditer(text):
         if m.end() - m.start() < 16:
@@ -392,11 +446,11 @@ def base64_layers(text: str, most: int) -> tuple[list[tuple[str, np.ndarray, np.
         for skip in range(4):
             if len(body) - skip >= 16:
                 add(body[skip:], at[skip:], m.end())
-    return out, spans
+    return out, spans, reads
 
 
-def escaped_members(text: str, pattern: re.Pattern, decode: Callable[[re.Match], list[int]], most: int) -> list[tuple[int, int, int]]:
-    """Secrets of compressed members whose bytes are written as escapes, or as escapes and plain signs, one of the first among them.
+def escaped_members(text: str, pattern: re.Pattern, decode: Callable[[re.Match], list[int]], most: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, bool]]]:
+    """Secrets of compressed members whose bytes are written as escapes, or as escapes and plain signs, one of the first among them, and places of those with whether they were read.
 
     A span goes from a member's first byte to its last, or to the end of the text if it breaks off.
     """
@@ -412,39 +466,50 @@ def escaped_members(text: str, pattern: re.Pattern, decode: Callable[[re.Match],
         known += [np.zeros(len(plain), bool), np.ones(len(codes), bool)]
         pos = m.end()
     if not values:
-        return []
+        return [], []
     plain = np.arange(pos, len(text))
     raw = b"".join([*values, text[pos:].encode("latin-1", "replace")])
     starts, ends = np.concatenate([*starts, plain]), np.concatenate([*ends, plain + 1])
     known = np.concatenate([*known, np.zeros(len(plain), bool)])
-    out = []
+    out, reads = [], []
     for at, member, some in members(raw, 0, len(raw)):
-        if some and known[at : at + 4].any():
+        if known[at : at + 4].any():
             last = at + member.size if member.state == "whole" else len(raw)
-            out += [(int(starts[at]), k, int(ends[last - 1])) for k in kinds_in(raw, at, most)]
-    return out
+            kinds, all_ = kinds_in(raw, at, most) if some else (set(), True)
+            out += [(int(starts[at]), k, int(ends[last - 1])) for k in kinds]
+            reads.append((int(starts[at]), all_ and not left_off(member, raw, at)))
+    return out, reads
 
 
-def decoded(text: str, most: int) -> tuple[list[tuple[str, np.ndarray, np.ndarray]], list[tuple[int, int, int]]]:
-    """The layers one step below a text, and the secrets of what is compressed in it."""
-    out, spans = [], []
+def decoded(text: str, most: int) -> tuple[list[tuple[str, np.ndarray, np.ndarray]], list[tuple[int, int, int]], list[tuple[int, bool]]]:
+    """The layers one step below a text, the secrets of what is compressed in it, and places of compressed members with whether they were read."""
+    out, spans, reads = [], [], []
     if "%" in text and (x := replaced(text, URL, unescape_url)):
         out.append(x)
-        spans += escaped_members(text, URL, lambda m: list(bytes.fromhex(m[0].replace("%", ""))), most)
+        found = escaped_members(text, URL, lambda m: list(bytes.fromhex(m[0].replace("%", ""))), most)
+        spans, reads = spans + found[0], reads + found[1]
     if ("\\" in text or "&#" in text) and (x := replaced(text, UNICODE, unescape_unicode)):
         out.append(x)
-        spans += escaped_members(text, UNICODE, lambda m: [code_of(m)], most)
-    layers, found = base64_layers(text, most)
-    return out + layers, spans + found
+        found = escaped_members(text, UNICODE, lambda m: [code_of(m)], most)
+        spans, reads = spans + found[0], reads + found[1]
+    layers, *found = base64_layers(text, most)
+    return out + layers, spans + found[0], reads + found[1]
 
 
 def secrets_of(text: str, most: int = 16 << 20) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """(spans of the text itself, spans of it and all decoded layers), each sorted as (start, kind, end)."""
+    return examined(text, most)[:2]
+
+
+def examined(text: str, most: int = 16 << 20) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], list[int]]:
+    """What secrets_of gives, and the places of compressed members that in no layer could be read to their end, so that kinds may be missing there."""
     base = sorted(scan(text))
-    spans, seen, todo = set(base), {text}, deque([(text, None, None)])
+    spans, seen, todo, read = set(base), {text}, deque([(text, None, None)]), (set(), set())
     while todo:
         layer, a, b = todo.popleft()
-        layers, packed = decoded(layer, most)
+        layers, packed, reads = decoded(layer, most)
+        for s, all_ in reads:
+            read[all_].add(s if a is None else int(a[s]))
         spans |= {(s, k, e) if a is None else (int(a[s]), k, int(b[e - 1])) for s, k, e in packed}
         for new, x, y in layers:
             if a is not None:
@@ -454,7 +519,7 @@ def secrets_of(text: str, most: int = 16 << 20) -> tuple[list[tuple[int, int, in
                 seen.add(key)
                 spans |= {(int(x[s]), kind, int(y[s:e].max())) for s, kind, e in scan(new)}
                 todo.append((new, x, y))
-    return base, sorted(spans)
+    return base, sorted(spans), sorted(read[False] - read[True])
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -473,14 +538,18 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     read to their end, one after another, in pieces of about layer_bytes, so only
     the kinds that occur in them are held.
 
-    Compressed members are found in base64 and in URL, Unicode and `\\x` escapes.
+    Compressed members are found in base64 and in URL, Unicode and `\\x` escapes. Of one that is damaged or cut, what comes
+    before that is scanned. n_unread counts the places of those (gzip, bzip2, xz, Zstandard, also inside others) with no other
+    reading to an end, where kinds of secrets may be missing: no span there is not known to be none. Zstandard frames that need
+    a dictionary are among them. A lost package or want of memory is an error, never a result. Frames of Zstandard with
+    windows up to 2 GB are read; such a window takes as much memory.
 
     Null and empty texts: no spans. Very long texts, and layers of any depth: scanned whole, each text with its
     layers alone. Repeated rows: each scanned alone. Equal
     spans of several layers: one; spans of equal starts go in the order of their kinds
     and ends. Null ids stay. An empty table: no rows. Other columns are ignored.
 
-    Returns id_col, n_assign, n_access, n_hex, base_sha256, spans, n_decoded.
+    Returns id_col, n_assign, n_access, n_hex, base_sha256, spans, n_decoded, n_unread.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     keyed = id_text(docs, id_col, text_col)
@@ -489,10 +558,10 @@ def find_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         for b in batches:
             rows = []
             for x in b.column("text"):
-                base, spans = secrets_of(x.as_py() or "", layer_bytes)
+                base, spans, unread = examined(x.as_py() or "", layer_bytes)
                 n = [sum(k == i for _, k, _ in base) for i in range(3)]
-                rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans) - len(set(base))))
-            cols = list(zip(*rows)) or [[]] * 6
-            yield pa.record_batch([b.column("id"), *(pa.array(c, pa.string() if i in (3, 4) else pa.int64()) for i, c in enumerate(cols))], names=["id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_decoded"])
+                rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans) - len(set(base)), len(unread)))
+            cols = list(zip(*rows)) or [[]] * 7
+            yield pa.record_batch([b.column("id"), *(pa.array(c, pa.string() if i in (3, 4) else pa.int64()) for i, c in enumerate(cols))], names=["id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_decoded", "n_unread"])
 
-    return keyed.mapInArrow(run, f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_decoded long").withColumnRenamed("id", id_col)
+    return keyed.mapInArrow(run, f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_decoded long, n_unread long").withColumnRenamed("id", id_col)

@@ -8,6 +8,7 @@ import hashlib
 import lzma
 import random
 import re
+import sys
 import time
 import urllib.parse
 import zlib
@@ -15,6 +16,7 @@ from html.parser import HTMLParser
 
 import numpy as np
 import pytest
+import zstandard
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -657,6 +659,82 @@ def test_decoding_ends():
         secret(text)
 
 
+FAR = zstandard.ZstdCompressionParameters(window_log=29)
+ZSTD = zstandard.ZstdCompressor(write_checksum=True).compress
+LEAK = b"the token: abcdefghijkl12345, and AKIA" + b"X" * 20 + b" end"
+
+
+def test_a_package_out_of_reach_is_no_result(monkeypatch):
+    """What needs a package is found or fails; it never counts as damaged data."""
+    blob = base64.b64encode(ZSTD(LEAK)).decode()
+    monkeypatch.setitem(sys.modules, "zstandard", None)
+    assert {(3, 0), (3, 1)} <= {(s, k) for s, k, _ in secret(f"at {blob} end")[1]}
+
+
+@pytest.mark.parametrize("error", [OSError, ValueError, EOFError, ImportError])
+def test_errors_of_a_source_are_raised(error):
+    def pieces():
+        yield gzip.compress(LEAK)[:30]
+        raise error("not the data's")
+
+    with pytest.raises(error):
+        list(secrets.Member(secrets.Again(pieces)))
+
+
+@pytest.mark.parametrize("message", [zlib.error("Error -4 while decompressing data: out of memory"), zstandard.ZstdError("zstd decompressor error: Allocation error : not enough memory")])
+def test_want_of_memory_is_raised(monkeypatch, message):
+    def decompress(self, data, most):
+        raise message
+
+    monkeypatch.setattr(secrets.Inflate, "decompress", decompress)
+    with pytest.raises(MemoryError):
+        secret(base64.b64encode(gzip.compress(LEAK)).decode())
+
+
+def test_zstandard_with_a_large_window():
+    packer = zstandard.ZstdCompressor(compression_params=FAR).compressobj()
+    raw = packer.compress(LEAK) + packer.flush()
+    assert zstandard.get_frame_parameters(raw).window_size > 1 << 27
+    base, spans, unread = secrets.examined("at " + base64.b64encode(raw).decode() + " end")
+    assert {(3, 0), (3, 1)} <= {(s, k) for s, k, _ in spans} and not unread
+
+
+@pytest.mark.parametrize("pack, at", [(gzip.compress, -8), (zlib.compress, -1), (bz2.compress, 10), (lzma.compress, -1), (ZSTD, -1)])
+@pytest.mark.parametrize("before", [0, 100_000, 1_000_000])
+def test_damaged_members_are_read_up_to_the_damage(pack, at, before):
+    raw = (random.Random(before).randbytes(200) * (before // 200))[: 800_000 if pack is bz2.compress else None] + LEAK
+    damaged = bytearray(pack(raw))
+    damaged[at] ^= 0x55
+    text = "at " + base64.b64encode(damaged).decode() + " end"
+    base, spans, unread = secrets.examined(text)
+    assert {(3, 0, len(text) - 4), (3, 1, len(text) - 4)} <= set(spans)
+    assert unread == ([] if pack is zlib.compress else [3])  # two bytes of zlib may be chance
+    member = secrets.Member(secrets.slices(bytes(damaged), 0))
+    out = b"".join(member)
+    assert raw.startswith(out) and len(raw) - len(out) <= 1 and member.state == "broken"
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, ZSTD])
+def test_members_that_end_too_early_are_told(pack):
+    raw = pack(random.Random(1).randbytes(600))
+    code = lambda b: base64.b64encode(b).decode()
+    wrapped = base64.encodebytes(raw).decode()
+    for whole in (code(raw), wrapped, urllib.parse.quote(code(raw), safe=""), code(gzip.compress(raw)), code(b"x" * 90 + raw + raw)):
+        assert secrets.examined(f"at {whole} end")[2] == []
+    for cut in (code(raw[:400]), base64.encodebytes(raw[:400]).decode(), urllib.parse.quote(code(raw[:400]), safe=""), code(gzip.compress(raw[:400])), "".join(f"%{x:02x}" for x in raw[:400])):
+        assert secrets.examined(f"at {cut} end")[2] == [3]
+    kinds = set()
+    assert secrets.kinds_of(lambda: iter([raw]), kinds, 64) and not secrets.kinds_of(lambda: iter([raw[:400]]), kinds, 64)
+
+
+def test_unread_members_have_a_column(spark):
+    raw = gzip.compress(random.Random(2).randbytes(600))
+    code = lambda b: base64.b64encode(b).decode()
+    texts = [None, "plain", code(raw), code(raw[:300]), code(raw[:300]) + " and " + code(raw[:200])]
+    out = secrets.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [r["n_unread"] for r in out.orderBy("doc_id").collect()] == [0, 0, 0, 1, 2]
+
+
 def test_secret_table(docs):
     out = secrets.find_secrets(docs)
     assert out.count() == docs.count() and out.where("n_assign is null or spans is null").isEmpty()
