@@ -450,7 +450,7 @@ def base64_layers(text: str, most: int) -> tuple[list[tuple[str, np.ndarray, np.
 
 
 def escaped_members(text: str, pattern: re.Pattern, decode: Callable[[re.Match], list[int]], most: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, bool]]]:
-    """Secrets of compressed members whose bytes are written as escapes, or as escapes and plain signs, one of the first among them, and places of those with whether they were read.
+    """Secrets of compressed members whose bytes are written as escapes, or as escapes and plain signs, and places of those with whether they were read.
 
     A span goes from a member's first byte to its last, or to the end of the text if it breaks off.
     """
@@ -473,7 +473,7 @@ def escaped_members(text: str, pattern: re.Pattern, decode: Callable[[re.Match],
     known = np.concatenate([*known, np.zeros(len(plain), bool)])
     out, reads = [], []
     for at, member, some in members(raw, 0, len(raw)):
-        if known[at : at + 4].any():
+        if known[at : at + member.size].any():
             last = at + member.size if member.state == "whole" else len(raw)
             kinds, all_ = kinds_in(raw, at, most) if some else (set(), True)
             out += [(int(starts[at]), k, int(ends[last - 1])) for k in kinds]

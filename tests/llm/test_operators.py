@@ -654,13 +654,23 @@ def test_compressed_bytes_written_as_escapes(pack, escape):
     assert {0, 1} <= {k for _, k, _ in secrets.secrets_of(base64.b64encode(pack(inner)).decode())[1]}  # and inside what is compressed in it
 
 
+FAR = zstandard.ZstdCompressionParameters(window_log=29)
+ZSTD = zstandard.ZstdCompressor(write_checksum=True).compress
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress, ZSTD])
+def test_the_only_escape_of_a_member_may_be_anywhere(pack):
+    raw = pack(b"the token: abcdefghijkl12345, and AKIA" + b"X" * 20)
+    for i in range(len(raw)):
+        text = "before " + "".join(f"%{x:02x}" if i == j or x in b"%\\&" else chr(x) for j, x in enumerate(raw)) + " after it"
+        assert {(7, 0, len(text) - 9), (7, 1, len(text) - 9)} <= set(secrets.secrets_of(text)[1])
+
+
 def test_decoding_ends():
     for text in ("%2525252541" * 50, "\\u005cu005c" * 50, base64.b64encode(b"aGVsbG8gd29ybGQgaGVsbG8=" * 3).decode(), "%" * 100, "=" * 100):
         secret(text)
 
 
-FAR = zstandard.ZstdCompressionParameters(window_log=29)
-ZSTD = zstandard.ZstdCompressor(write_checksum=True).compress
 LEAK = b"the token: abcdefghijkl12345, and AKIA" + b"X" * 20 + b" end"
 
 
