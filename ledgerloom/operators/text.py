@@ -83,7 +83,8 @@ def tokens(text: Column) -> Column:
 
 
 def ratio(text: Column, pattern: str) -> Column:
-    return F.regexp_count(text, F.lit(pattern)) / F.length(text)
+    """The share of a text that matches; null for an empty text, as for null."""
+    return F.regexp_count(text, F.lit(pattern)) / F.nullif(F.length(text), F.lit(0))
 
 
 def signs(text: Column, some: str) -> Column:
