@@ -66,6 +66,12 @@ def banded(value: Column, bands: tuple[Band, ...], show, closed: bool = False) -
     return out
 
 
+def printed(value: Column, shown: str) -> Column:
+    """A number with the decimals of `%.1f` and the like, from its exact binary value, halves to the even digit: as C prints it and format_string does not."""
+    places = int(shown[2:-1])
+    return F.call_function("format_number", value, F.lit("0" + "." * (places > 0) + "0" * places))
+
+
 def metric(r: Ratio) -> Column:
     """A struct of one ratio, null where a record does not have what it takes."""
     there = F.expr(r.under) > 0
@@ -74,7 +80,7 @@ def metric(r: Ratio) -> Column:
     value = F.expr(f"double({r.top})") / F.expr(f"double({r.under})")
 
     def show(text: str) -> Column:
-        args = [F.format_string(r.shown, value * r.times)] + ([F.format_string("%.0f", 365 / value)] if "{days}" in text else [])
+        args = [printed(value * r.times, r.shown)] + ([printed(365 / value, "%.0f")] if "{days}" in text else [])
         return F.format_string(text.replace("%", "%%").replace("{}", "%s").replace("{days}", "%s"), *args)
 
     # Debt bands are open above their limits, those of ROE below.

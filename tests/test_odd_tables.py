@@ -35,3 +35,9 @@ ODD = documents("", None, "   ", "12", "\t" * 60, "", "12 | 34 " * 60, "a b " *
 @pytest.mark.parametrize("name", ["vectorize_flag", "chunk_size"])
 def test_texts_without_signs(spark, tmp_path, name):
     assert equal(spark, tmp_path, name, documents=ODD)
+
+
+def test_ratios_that_lie_between_two_numbers_shown(spark, tmp_path):
+    lines = pd.read_parquet(os.path.join(SF, "lineitem.parquet"))
+    lines["l_extendedprice"] = (lines["l_partkey"] % 16 + 1.0) / 4
+    assert equal(spark, tmp_path, "metrics_interpretation", lineitem=lines)
