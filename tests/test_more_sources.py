@@ -61,6 +61,26 @@ def test_a_filter_on_kind_opens_no_other_member(spark, tmp_path):
     assert [(r["a"], r["b"]) for r in source.where("kind = 'concept'").collect()] == [("Sales", "money")]
 
 
+@pytest.mark.parametrize("before", [b"", b"sent before the package"])
+def test_a_run_reads_its_own_part_of_the_directory(tmp_path, monkeypatch, before):
+    """Runs of a package know where their entries are, none looks through all of them, and members go on together."""
+    n = 70_000  # more than the records of small archives can count
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        for i in range(n):
+            z.writestr(f"{i}.xsd", "<schema><element name='a'/></schema>")
+    (tmp_path / "x.zip").write_bytes(before + (tmp_path / "x.zip").read_bytes())
+    reader = package_source.PackageReader({"path": str(tmp_path), "runBytes": 50_000})
+    runs = reader.partitions()
+    assert sum(r.count for r in runs) == n and max(r.count for r in runs) < 2000
+    infos = []
+    monkeypatch.setattr(zipfile.ZipInfo, "_decodeExtra", lambda self, *_: infos.append(self.filename), raising=False)
+    batches = [b for r in (runs[0], runs[-1]) for b in reader.read(r)]
+    assert len(infos) <= runs[0].count + runs[-1].count and len(batches) == 2
+    assert batches[0].column("path")[0].as_py() == "0.xsd" and f"{n - 1}.xsd" in batches[1].column("path").to_pylist()
+    monkeypatch.setattr(package_source, "MOST", 4)
+    assert 1 < len(reader.partitions()) <= 8
+
+
 def test_table_functions(spark):
     functions.register(spark)
     df = spark.createDataFrame([(1, FILES["a-ixbrl.htm"]), (2, ""), (3, None)], "id int, x string")
