@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
 import zipfile
 
@@ -34,9 +35,13 @@ def in_sql(rows, statement: str, **named):
 
 
 def instances(t):
-    """An instance for each order: its lines as facts."""
-    fact = F.concat(F.lit("<ix:nonFraction name='p:c"), F.col("l_linenumber").cast("string"), F.lit("' contextRef='"), F.col("l_returnflag"), F.lit("' scale='6'"), F.when(F.col("l_linestatus") == "O", " unitRef='JPY'").otherwise(""), F.lit("><b>"), F.col("l_partkey").cast("string"), F.lit("</b> &amp; "), F.col("l_suppkey").cast("string"), F.lit("</ix:nonFraction>"))
-    return t.raw("lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(fact)), "").alias("html"))
+    """An instance for each order: its lines as facts, which are made where the lines of an order have met."""
+
+    def fact(x):
+        return F.concat(F.lit("<ix:nonFraction name='p:c"), x["l_linenumber"].cast("string"), F.lit("' contextRef='"), x["l_returnflag"], F.lit("' scale='6'"), F.when(x["l_linestatus"] == "O", " unitRef='JPY'").otherwise(""), F.lit("><b>"), x["l_partkey"].cast("string"), F.lit("</b> &amp; "), x["l_suppkey"].cast("string"), F.lit("</ix:nonFraction>"))
+
+    lines = F.collect_list(F.struct("l_linenumber", "l_returnflag", "l_linestatus", "l_partkey", "l_suppkey"))
+    return t.raw("lineitem").groupBy("l_orderkey").agg(lines.alias("lines")).select("l_orderkey", F.array_join(F.array_sort(F.transform("lines", fact)), "").alias("html"))
 
 
 @query("sql_ixbrl", "SELECT l_orderkey, 'p:c' || l_linenumber AS name, l_returnflag AS context, CASE WHEN l_linestatus = 'O' THEN 'JPY' ELSE '' END AS unit, '6' AS scale, CAST(NULL AS VARCHAR) AS sign, CAST(l_partkey AS VARCHAR) || ' & ' || l_suppkey AS text FROM lineitem")
@@ -78,20 +83,25 @@ def zipped(files: dict[str, str]) -> bytes:
     return out.getvalue()
 
 
-def put(rows, folder: str):
-    """Writes rows (name, content) as files of a shared folder, from the tasks that have them."""
+def put_zips(rows, folder: str, more: dict[str, str]) -> str:
+    """Writes rows (k, name, content), those of a k in one task, as members of p<k>.zip, one by one as they come, and some more."""
     root = folder if ":" in folder.split("/")[0] else f"file://{folder}"
 
     def run(batches):
-        for b in batches:
-            system, path = fs.FileSystem.from_uri(root)
-            system.create_dir(path)
-            for name, content in zip(b.column("name").to_pylist(), b.column("content")):
-                with system.open_output_stream(f"{path}/{name}") as f:
-                    f.write(content.as_py())
-            yield pa.record_batch([b.column("name")], names=["name"])
-
-    rows.select("name", "content").mapInArrow(run, "name string").write.format("noop").mode("overwrite").save()
+        system, path = fs.FileSystem.from_uri(root)
+        system.create_dir(path)
+        with contextlib.ExitStack() as stack:
+            books = {}
+            for b in batches:
+                for k, name, content in zip(*(b.column(c).to_pylist() for c in ("k", "name", "content"))):
+                    if k not in books:
+                        books[k] = stack.enter_context(zipfile.ZipFile(stack.enter_context(system.open_output_stream(f"{path}/p{k}.zip")), "w", zipfile.ZIP_DEFLATED))
+                        for n, text in more.items():
+                            books[k].writestr(n, text)
+                    books[k].writestr(name, content)
+        yield pa.record_batch([pa.array(list(books), pa.int32())], names=["k"])
+
+    rows.select("k", "name", "content").mapInArrow(run, "k int").write.format("noop").mode("overwrite").save()
     return root
 
 
@@ -104,16 +114,9 @@ def packages_source(t):
 
 def packaged(t):
     """Fifty packages of instances, a schema and a broken linkbase, as the data source reads them."""
-    rows = instances(t)
-    books = rows.groupBy((F.col("l_orderkey") % 50).alias("k")).agg(F.collect_list(F.struct("l_orderkey", "html")).alias("files"))
-
-    def pack(batches):
-        for b in batches:
-            content = [zipped({f"{f['l_orderkey']}-ixbrl.htm": f["html"] for f in files} | {"s.xsd": "<schema><element name='a' type='b'/></schema>", "x-lab.xml": "not well formed"}) for files in b.column("files").to_pylist()]
-            yield pa.record_batch([pa.array([f"p{k}.zip" for k in b.column("k").to_pylist()]), pa.array(content, pa.binary())], names=["name", "content"])
-
+    rows = instances(t).select((F.col("l_orderkey") % 50).cast("int").alias("k"), F.concat(F.col("l_orderkey").cast("string"), F.lit("-ixbrl.htm")).alias("name"), F.col("html").alias("content"))
     spark = rows.sparkSession
-    root = put(books.mapInArrow(pack, "name string, content binary"), new_folder(spark, "packages"))
+    root = put_zips(rows.repartitionById(50, "k"), new_folder(spark, "packages"), {"s.xsd": "<schema><element name='a' type='b'/></schema>", "x-lab.xml": "not well formed"})
     package_source.register(spark)
     return spark.read.format("report_packages").option("runBytes", 1 << 16).load(root)
 
