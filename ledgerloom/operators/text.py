@@ -7,7 +7,9 @@ import re
 import unicodedata
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -281,37 +283,114 @@ def alike(a: str, b: str, least: float) -> bool:
     return m.real_quick_ratio() > least and m.quick_ratio() > least and m.ratio() > least
 
 
+class Grams:
+    """Counts of signs and of hashed pairs, triples and fours of signs in some texts, which bound what difflib finds in common.
+
+    The blocks that two texts share are in order and do not overlap, so a block of s signs takes s - 1 pairs, s - 2 triples and s - 3
+    fours that both have. Each holds a sign that difflib looks for (in a second text of 200 signs or more, those that are no more than a hundredth of it)
+    but one at the very start, as a block goes on until signs differ. Hashes that clash raise the bounds only.
+    """
+
+    def __init__(self, texts: list[str], buckets: int = 2048):
+        self.size = np.array([len(x) for x in texts], np.int64)
+        kind = np.uint16 if self.size.max(initial=0) < 1 << 16 else np.uint32
+        signs = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        of = np.repeat(np.arange(len(texts)), self.size)
+        names, signs = np.unique(signs, return_inverse=True)
+        self.one = self.counted(of, signs, len(names), kind)
+        sought = (self.size < 200) | (self.one <= self.size // 100 + 1)
+        self.sought = np.where(sought, self.one, 0).astype(kind)
+        pair = signs[:-1] * 0x9E3779B1 + signs[1:] * 0x85EBCA6B
+        triple = pair[:-1] * 31 + signs[2:] * 0xC2B2AE35
+        four = triple[:-1] * 31 + signs[3:] * 0x27D4EB2F
+        self.more = [self.counted(of[q:][same := of[q:] == of[:-q]], (code[same] >> 12) & (buckets - 1), buckets, kind) for q, code in ((1, pair), (2, triple), (3, four))]
+
+    def counted(self, of: np.ndarray, code: np.ndarray, codes: int, kind: type) -> np.ndarray:
+        """How often each code is in each text: a row for each code."""
+        out = np.zeros((codes, len(self.size)), kind)
+        cuts = np.arange(0, len(self.size) + 1, 256)
+        for at, begin, end in zip(cuts, np.searchsorted(of, cuts), np.searchsorted(of, cuts + 256)):
+            n = min(256, len(self.size) - at)
+            out[:, at : at + n] = np.bincount(code[begin:end] * n + of[begin:end] - at, minlength=codes * n).reshape(codes, n)
+        return out
+
+    def passing(self, a: int, others: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """Those of others (each as the second text) that may have more signs than it needs in blocks shared with text a; the finer grams look at what the coarser ones left."""
+
+        def common(counts: np.ndarray) -> np.ndarray:
+            some = counts[:, a].nonzero()[0]
+            return np.minimum(counts[some[:, None], others], counts[some, a][:, None]).sum(0, dtype=np.int64)
+
+        left = common(self.one) > need
+        others, need = others[left], need[left]
+        if not len(others):
+            return others
+        some = self.one[:, a].nonzero()[0]
+        blocks = np.minimum(self.sought[some[:, None], others], self.one[some, a][:, None]).sum(0, dtype=np.int64) + 1
+        for q, counts in enumerate(self.more, 1):
+            left = common(counts) + q * blocks > need
+            others, need, blocks = others[left], need[left], blocks[left]
+            if not len(others):
+                break
+        return others
+
+
+def of_groups(rows: DataFrame, group: list[str], keep: Callable[[list[dict]], list[int]], *columns: str) -> DataFrame:
+    """Of the rows of each group, which are held at once, those in the places that keep() tells from their columns. Many groups go to Python together."""
+    packed = rows.groupBy(*group).agg(F.collect_list(F.struct(*rows.columns)).alias("_rows")).select("_rows")
+
+    def run(batches):
+        for b in batches:
+            lists = b.column("_rows")
+            flat, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
+            values, begin, kept = [flat.field(c).to_pylist() for c in columns], 0, []
+            for end in ends.tolist():
+                kept += [begin + i for i in sorted(keep(*[v[begin:end] for v in values]))]
+                begin = end
+            yield pa.RecordBatch.from_struct_array(flat.take(pa.array(kept, pa.int64())))
+
+    return packed.mapInArrow(run, rows.schema)
+
+
 def near_duplicates(chunks: DataFrame, group: str, content: str, order: str, kind: str, threshold: float = 0.80) -> DataFrame:
     """Chunks of each group that no longer chunk contains or resembles.
 
     Order decides, so a group is one call; groups are the chunks of one document. A
     chunk that lies within an accepted one (and is 5 % shorter) goes, or one whose
     sizes differ by less than 40 % and whose similarity passes the threshold of
-    their kinds and sizes.
+    their kinds and sizes. Only pairs that Grams lets pass are compared.
     """
 
     def limit(a: str, b: str, x: str, y: str) -> float:
         t = threshold - 0.05 * (a == b == "financial_summary") + 0.05 * (a in ("notes", "general") or b in ("notes", "general"))
         return t - 0.1 * ((len(x) + len(y)) / 2 < 100)
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple[str, str]] = []
-        rows, texts, places, kinds = [], pdf[content].tolist(), pdf[order].tolist(), pdf[kind].tolist()
-        for i in sorted(range(len(texts)), key=lambda i: (-len(texts[i]), places[i])):
-            text, sort = texts[i].strip(), kinds[i]
-            for other, its in kept:
-                if min(len(text), len(other)) < 30:
-                    continue
-                if text in other and len(text) < 0.95 * len(other):
-                    break
-                if min(len(text), len(other)) / max(len(text), len(other)) >= 0.6 and alike(text, other, limit(sort, its, text, other)):
-                    break
-            else:
-                kept.append((text, sort))
-                rows.append(i)
-        return pdf.iloc[sorted(rows)]
-
-    return chunks.groupBy(group).applyInPandas(keep, chunks.schema)
+    def keep(texts: list[str], places: list, kinds: list[str]) -> list[int]:
+        # Longest first. A text is compared with the kept ones before it.
+        by = sorted(range(len(texts)), key=lambda i: (-len(texts[i]), places[i]))
+        texts, kinds = [texts[i].strip() for i in by], [kinds[i] for i in by]
+        grams, kept = Grams(texts), np.zeros(len(by), bool)
+        size, notes, summary = grams.size, np.array([k in ("notes", "general") for k in kinds], bool), np.array([k == "financial_summary" for k in kinds], bool)
+
+        def goes(i: int) -> bool:
+            near = kept[:i] & (np.minimum(size[:i], size[i]) >= 30)
+            if any(texts[i] in texts[j] for j in np.flatnonzero(near & (size[i] < 0.95 * size[:i]))):
+                return True
+            near &= np.minimum(size[:i], size[i]) >= 0.6 * np.maximum(size[:i], size[i]) * (1 - 1e-9)
+            near = np.flatnonzero(near)
+            both = size[near] + size[i]
+            least = threshold - 0.05 * (summary[i] & summary[near]) + 0.05 * (notes[i] | notes[near]) - 0.1 * (both < 200)
+            for j in grams.passing(i, near, (least - 1e-9) * both / 2):
+                x, y = texts[i], texts[j]
+                if min(len(x), len(y)) / max(len(x), len(y)) >= 0.6 and difflib.SequenceMatcher(None, x, y).ratio() > limit(kinds[i], kinds[j], x, y):
+                    return True
+            return False
+
+        for i in range(len(by)):
+            kept[i] = not goes(i)
+        return [by[i] for i in np.flatnonzero(kept)]
+
+    return of_groups(chunks, [group], keep, content, order, kind)
 
 
 def language_mix(text: Column) -> Column:
@@ -334,18 +413,21 @@ def overlapping(chunks: DataFrame, group: list[str], content: str, order: str, m
     What is compared depends on what was kept, so a page is one call.
     """
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, kept = pdf.sort_values(order), []
-        texts = pdf[content].tolist()
+    def keep(texts: list[str], places: list) -> list[int]:
+        by, kept = sorted(range(len(texts)), key=lambda i: (places[i] is None, places[i])), []
+        texts = [texts[i] for i in by]
+        grams = Grams(texts)
         for i, text in enumerate(texts):
-            if kept and shared(texts[kept[-1]], text) > most:
+            last = kept[-1] if kept else i
+            need = most * min(len(text), len(texts[last])) * (1 - 1e-9)
+            if kept and len(grams.passing(last, np.array([i]), np.array([need]))) and shared(texts[last], text) > most:
                 if len(text) > len(texts[kept[-1]]):
                     kept[-1] = i
             else:
                 kept.append(i)
-        return pdf.iloc[kept]
+        return [by[i] for i in kept]
 
-    return chunks.groupBy(*group).applyInPandas(keep, chunks.schema)
+    return of_groups(chunks, group, keep, content, order)
 
 
 def standard_chunks(*kinds: DataFrame) -> DataFrame:
