@@ -5,6 +5,7 @@ from __future__ import annotations
 import difflib
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -292,7 +293,7 @@ class Grams:
     """
 
     def __init__(self, texts: list[str], buckets: int = 2048):
-        self.size = np.array([len(x) for x in texts], np.int64)
+        self.texts, self.size = texts, np.array([len(x) for x in texts], np.int64)
         kind = np.uint16 if self.size.max(initial=0) < 1 << 16 else np.uint32
         signs = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         of = np.repeat(np.arange(len(texts)), self.size)
@@ -317,36 +318,66 @@ class Grams:
     def passing(self, a: int, others: np.ndarray, need: np.ndarray) -> np.ndarray:
         """Those of others (each as the second text) that may have more signs than it needs in blocks shared with text a; the finer grams look at what the coarser ones left."""
 
-        def common(counts: np.ndarray) -> np.ndarray:
-            some = counts[:, a].nonzero()[0]
-            return np.minimum(counts[some[:, None], others], counts[some, a][:, None]).sum(0, dtype=np.int64)
+        def common(counts: np.ndarray, own: np.ndarray) -> np.ndarray:
+            some = own[:, a].nonzero()[0]
+            return np.minimum(counts[some[:, None], others], own[some, a][:, None]).sum(0, dtype=np.int64)
 
-        left = common(self.one) > need
-        others, need = others[left], need[left]
+        found = [common(self.one, self.one)]
+        left = found[0] > need
+        others, need, found = others[left], need[left], [c[left] for c in found]
         if not len(others):
             return others
-        some = self.one[:, a].nonzero()[0]
-        blocks = np.minimum(self.sought[some[:, None], others], self.one[some, a][:, None]).sum(0, dtype=np.int64) + 1
+        blocks = common(self.sought, self.one) + 1
         for q, counts in enumerate(self.more, 1):
-            left = common(counts) + q * blocks > need
-            others, need, blocks = others[left], need[left], blocks[left]
+            found.append(common(counts, counts))
+            left = found[q] + q * blocks > need
+            others, need, blocks, found = others[left], need[left], blocks[left], [c[left] for c in found]
             if not len(others):
-                break
-        return others
-
-
-def of_groups(rows: DataFrame, group: list[str], keep: Callable[[list[dict]], list[int]], *columns: str) -> DataFrame:
-    """Of the rows of each group, which are held at once, those in the places that keep() tells from their columns. Many groups go to Python together."""
+                return others
+        return others[[self.in_order(a, b, n, c) for b, n, c in zip(others.tolist(), need.tolist(), zip(*found))]]
+
+    def in_order(self, a: int, b: int, need: float, found) -> bool:
+        """Whether text b as the second one may have more signs than needed, as the signs that blocks hold stand in one order in both texts."""
+        x, y = self.texts[a], self.texts[b]
+        signs = {c for c, n in Counter(y).items() if len(y) < 200 or n <= len(y) // 100 + 1}
+        blocks = subsequence([c for c in x if c in signs], [c for c in y if c in signs]) + 1
+        return all(c + q * blocks > need for q, c in enumerate(found))
+
+    def following(self, most: float) -> np.ndarray:
+        """Whether each text but the last may share a part over `most` of the shorter one with the next."""
+        need = most * np.minimum(self.size[:-1], self.size[1:]) * (1 - 1e-9)
+        common = lambda a, b: np.minimum(a[:, :-1], b[:, 1:]).sum(0, dtype=np.int64)
+        found, blocks = [common(self.one, self.one), *(common(c, c) for c in self.more)], common(self.one, self.sought) + 1
+        may = np.all([c + q * blocks > need for q, c in enumerate(found)], axis=0)
+        for i in np.flatnonzero(may):
+            may[i] = self.in_order(i, i + 1, need[i], [c[i] for c in found])
+        return may
+
+
+def subsequence(a: list[str], b: list[str]) -> int:
+    """The length of the longest common subsequence, all places of a at once."""
+    places, whole = {}, (1 << len(a)) - 1
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    free = whole
+    for c in b:
+        met = free & places.get(c, 0)
+        free = ((free + met) | (free - met)) & whole
+    return len(a) - free.bit_count()
+
+
+def of_groups(rows: DataFrame, group: list[str], keep: Callable[..., list[int]], *columns: str) -> DataFrame:
+    """Of the rows of each group, which are held at once, those in the places that keep() tells.
+
+    Many groups go to Python together: keep() gets where each of them ends, and their columns one group after the other.
+    """
     packed = rows.groupBy(*group).agg(F.collect_list(F.struct(*rows.columns)).alias("_rows")).select("_rows")
 
     def run(batches):
         for b in batches:
             lists = b.column("_rows")
             flat, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
-            values, begin, kept = [flat.field(c).to_pylist() for c in columns], 0, []
-            for end in ends.tolist():
-                kept += [begin + i for i in sorted(keep(*[v[begin:end] for v in values]))]
-                begin = end
+            kept = sorted(keep(ends.tolist(), *(flat.field(c).to_pylist() for c in columns)))
             yield pa.RecordBatch.from_struct_array(flat.take(pa.array(kept, pa.int64())))
 
     return packed.mapInArrow(run, rows.schema)
@@ -390,7 +421,10 @@ def near_duplicates(chunks: DataFrame, group: str, content: str, order: str, kin
             kept[i] = not goes(i)
         return [by[i] for i in np.flatnonzero(kept)]
 
-    return of_groups(chunks, [group], keep, content, order, kind)
+    def keep_each(ends: list[int], *values: list) -> list[int]:
+        return [begin + i for begin, end in zip([0, *ends], ends) for i in keep(*[v[begin:end] for v in values])]
+
+    return of_groups(chunks, [group], keep_each, content, order, kind)
 
 
 def language_mix(text: Column) -> Column:
@@ -413,19 +447,21 @@ def overlapping(chunks: DataFrame, group: list[str], content: str, order: str, m
     What is compared depends on what was kept, so a page is one call.
     """
 
-    def keep(texts: list[str], places: list) -> list[int]:
-        by, kept = sorted(range(len(texts)), key=lambda i: (places[i] is None, places[i])), []
-        texts = [texts[i] for i in by]
-        grams = Grams(texts)
-        for i, text in enumerate(texts):
-            last = kept[-1] if kept else i
-            need = most * min(len(text), len(texts[last])) * (1 - 1e-9)
-            if kept and len(grams.passing(last, np.array([i]), np.array([need]))) and shared(texts[last], text) > most:
-                if len(text) > len(texts[kept[-1]]):
-                    kept[-1] = i
-            else:
-                kept.append(i)
-        return [by[i] for i in kept]
+    def keep(ends: list[int], texts: list[str], places: list) -> list[int]:
+        by = [i for begin, end in zip([0, *ends], ends) for i in sorted(range(begin, end), key=lambda i: (places[i] is None, places[i]))]
+        texts, out = [texts[i] for i in by], []
+        may = np.concatenate([Grams(texts[i : i + 256]).following(most) for i in range(0, len(texts), 255)]) if texts else []
+        for begin, end in zip([0, *ends], ends):
+            kept = []
+            for i in range(begin, end):
+                last = kept[-1] if kept else None
+                if kept and (may[last] or last < i - 1) and shared(texts[last], texts[i]) > most:
+                    if len(texts[i]) > len(texts[last]):
+                        kept[-1] = i
+                else:
+                    kept.append(i)
+            out += kept
+        return [by[i] for i in out]
 
     return of_groups(chunks, group, keep, content, order)
 

@@ -25,6 +25,7 @@ def test_bounds():
         a, b = pair()
         shared = sum(m.size for m in difflib.SequenceMatcher(None, a, b).get_matching_blocks())
         assert list(text.Grams([a, b, ""]).passing(0, np.array([1]), np.array([shared - 0.5]))) == [1]
+        assert text.Grams([a, b, ""]).following(max(0, shared - 0.5) / max(1, min(len(a), len(b))))[0] or not shared
 
 
 def kept_by(monkeypatch, rule, *args):
@@ -42,5 +43,5 @@ def test_few_pairs_are_compared_sign_by_sign(monkeypatch, rule, args, most):
     calls, real = [], difflib.SequenceMatcher
     monkeypatch.setattr(text.difflib, "SequenceMatcher", lambda *a: calls.append(a) or real(*a))
     keep = kept_by(monkeypatch, rule, *args)
-    kept = keep(texts, list(range(152)), ["x"] * 152) if rule is text.near_duplicates else keep(texts, list(range(152)))
+    kept = keep([152], texts, list(range(152)), *[["x"] * 152] * (rule is text.near_duplicates))
     assert sorted(kept) == list(range(150)) and 0 < len(calls) <= most
