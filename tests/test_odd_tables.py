@@ -41,3 +41,10 @@ def test_ratios_that_lie_between_two_numbers_shown(spark, tmp_path):
     lines = pd.read_parquet(os.path.join(SF, "lineitem.parquet"))
     lines["l_extendedprice"] = (lines["l_partkey"] % 16 + 1.0) / 4
     assert equal(spark, tmp_path, "metrics_interpretation", lineitem=lines)
+
+
+def test_disclosures_of_one_id_match_by_their_own_codes(spark, tmp_path):
+    orders = pd.read_parquet(os.path.join(SF, "orders.parquet"))
+    orders.loc[orders.index % 7 == 0, "o_orderkey"] = 8
+    orders.loc[orders.index % 5 == 0, "o_custkey"] += 10_000
+    assert equal(spark, tmp_path, "company_theta_match", orders=orders)
