@@ -48,3 +48,9 @@ def test_disclosures_of_one_id_match_by_their_own_codes(spark, tmp_path):
     orders.loc[orders.index % 7 == 0, "o_orderkey"] = 8
     orders.loc[orders.index % 5 == 0, "o_custkey"] += 10_000
     assert equal(spark, tmp_path, "company_theta_match", orders=orders)
+
+
+def test_names_and_dimensions_come_to_the_winners(spark):
+    plan = QUERIES["facts_cleaned"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    ranked = plan.split("Window [row_number", 1)[1]
+    assert "canonical_name" in plan and "canonical_name" not in ranked and "fiscal_span" not in ranked
