@@ -82,15 +82,23 @@ def top_of(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+#: Scores of queries and rows that are held at once.
+SCORES = 1 << 20
+
+
 def scored(left: pa.Table, right: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of queries (left) and rows (right): places of the k best rows of each query, as (query, row, score)."""
-    score = (matrix(left.column("v")) @ matrix(right.column("v")).T).round(12)
-    if score.shape[1] > k:
-        cut = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
-        q, r = np.nonzero(score >= cut[:, None])
-    else:
-        q, r = (x.ravel() for x in np.indices(score.shape))
-    return q, r, score[q, r]
+    """Of queries (left) and rows (right): places of the k best rows of each query, as (query, row, score). Some queries at a time meet all rows."""
+    asked, rows, out = matrix(left.column("v")), matrix(right.column("v")).T, []
+    step = max(1, SCORES // max(1, rows.shape[1]))
+    for at in range(0, len(asked), step):
+        score = (asked[at : at + step] @ rows).round(12)
+        if score.shape[1] > k:
+            cut = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
+            q, r = np.nonzero(score >= cut[:, None])
+        else:
+            q, r = (x.ravel() for x in np.indices(score.shape))
+        out.append((q + at, r, score[q, r]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
 class InvertedLists:

@@ -45,3 +45,21 @@ def test_few_pairs_are_compared_sign_by_sign(monkeypatch, rule, args, most):
     keep = kept_by(monkeypatch, rule, *args)
     kept = keep([152], texts, list(range(152)), *[["x"] * 152] * (rule is text.near_duplicates))
     assert sorted(kept) == list(range(150)) and 0 < len(calls) <= most
+
+
+def test_scores_of_a_block_are_not_held_at_once(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from ledgerloom.operators import vector_index
+
+    table = lambda n, seed: pa.table({"v": pa.array(list(np.random.default_rng(seed).random((n, 4))), pa.list_(pa.float64()))})
+    left, right = table(2000, 1), table(4000, 2)
+    tracemalloc.start()
+    q, r, s = vector_index.scored(left, right, 3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 2000 * 4000 * 8
+    score = (vector_index.matrix(left.column("v").combine_chunks()) @ vector_index.matrix(right.column("v").combine_chunks()).T).round(12)
+    assert len(q) >= 6000 and np.allclose(score[q, r], s) and np.array_equal(np.bincount(q, minlength=2000) >= 3, np.ones(2000, bool))
